@@ -15,6 +15,7 @@ from contractlake.functions import scalars as S
 from contractlake.operators import payload as P
 from contractlake.operators import star as ST
 from contractlake.plans import oracle as O
+from contractlake.functions.scalars import AS_OF
 from contractlake.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,3 +210,80 @@ def q_attach_parent_key(spark, sf):
 def q_rejected_contracts(spark, sf):
     """K7 error scope: contract-level rejects with their first failing rule."""
     return star(spark, sf).rejected
+
+
+# ---------------------------------------------------------------------------
+# §2.1-2.2, 2.10 events: gate, markers, status
+# ---------------------------------------------------------------------------
+
+from contractlake.operators import gate as G  # noqa: E402
+
+GC = O.gate_ctes()
+
+
+def gated(spark, sf):
+    return G.gate_events(fx.blob_events(spark, sf), fx.markers(spark, sf))
+
+
+@register("event_source", O.with_ctes(GC[:1], "SELECT * FROM ev"))
+def q_event_source(spark, sf):
+    """A1 (batch twin of the stream source): blob events with re-deliveries."""
+    return fx.blob_events(spark, sf)
+
+
+@register("parse_blob_url", O.with_ctes(GC[:5], "SELECT event_id, event_time, account, container, blob_path FROM p2"))
+def q_parse_blob_url(spark, sf):
+    ev = fx.blob_events(spark, sf).groupBy(*G.EVENT_COLS).count()
+    return ev.select("event_id", "event_time", *[v.alias(k) for k, v in G.parse_blob_url(F.col("url")).items()])
+
+
+@register("split_folder_file", O.with_ctes(GC[:6], "SELECT event_id, event_time, folder, file FROM p3"))
+def q_split_folder_file(spark, sf):
+    ev = fx.blob_events(spark, sf).groupBy(*G.EVENT_COLS).count()
+    blob = G.parse_blob_url(F.col("url"))["blob_path"]
+    return ev.select("event_id", "event_time", *[v.alias(k) for k, v in G.split_folder_file(blob).items()])
+
+
+@register("gate_events", O.with_ctes(GC, "SELECT * FROM gate_out"))
+def q_gate_events(spark, sf):
+    """B3 + E1 + T25: ordered gate rules with markers and in-batch repeats."""
+    return gated(spark, sf)
+
+
+@register("is_pdf_candidate", O.with_ctes(GC, "SELECT event_id, event_time, file, contains(lower(file), 'pdf') AS is_pdf FROM gate_out WHERE file IS NOT NULL"))
+def q_is_pdf_candidate(spark, sf):
+    g = gated(spark, sf)
+    return g.filter(F.col("file").isNotNull()).select("event_id", "event_time", "file",
+                                                     G.is_pdf_candidate(F.col("file")).alias("is_pdf"))
+
+
+@register("json_output_name", O.with_ctes(GC, "SELECT event_id, file, json_name FROM gate_out WHERE status = 'pass'"))
+def q_json_output_name(spark, sf):
+    return gated(spark, sf).filter(F.col("status") == "pass").select("event_id", "file", "json_name")
+
+
+@register("loop_guard", O.with_ctes(GC, """SELECT event_id, event_time, reason FROM gate_out
+  WHERE reason IN ('processed-events container', 'not a pdf file')"""))
+def q_loop_guard(spark, sf):
+    """Events ignored because they come from the marker container or are not documents."""
+    return gated(spark, sf).filter(F.col("reason").isin(G.R_MARKER_CONTAINER, G.R_NOT_PDF)).select(
+        "event_id", "event_time", "reason")
+
+
+@register("already_processed", O.with_ctes(GC, "SELECT DISTINCT event_id FROM ev WHERE event_id IN (SELECT event_id FROM mk)"))
+def q_already_processed(spark, sf):
+    """Left semi join of events to the marker table."""
+    return G.already_processed(fx.blob_events(spark, sf), fx.markers(spark, sf)).select("event_id").distinct()
+
+
+@register("mark_processed", O.with_ctes(GC, f"""SELECT DISTINCT event_id, TIMESTAMP '{AS_OF}' AS marked_at FROM gate_out
+  WHERE status = 'pass' AND event_id NOT IN (SELECT event_id FROM mk)"""))
+def q_mark_processed(spark, sf):
+    """A5: marker rows to append (idempotent)."""
+    return G.mark_processed(gated(spark, sf), fx.markers(spark, sf))
+
+
+@register("status_summary", O.with_ctes(GC, "SELECT status, reason, CAST(sum(copies) AS BIGINT) AS events FROM gate_out GROUP BY ALL"))
+def q_status_summary(spark, sf):
+    """events by (status, reason)."""
+    return G.status_summary(gated(spark, sf))

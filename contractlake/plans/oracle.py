@@ -313,3 +313,49 @@ def star_ctes() -> list[tuple[str, str]]:
 
 def with_ctes(ctes: list[tuple[str, str]], select: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{body}\n)" for n, body in ctes) + "\n" + select
+
+
+def gate_ctes() -> list[tuple[str, str]]:
+    """CTE chain for event gating (FIXTURES §3.2 input)."""
+    return [
+        ("ev", fx.blob_events_sql("duckdb")),
+        ("mk", fx.markers_sql("duckdb")),
+        ("d", "SELECT event_id, event_type, subject, url, event_time, count(*) AS copies FROM ev GROUP BY ALL"),
+        ("p", r"""SELECT *, split_part(regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1), '.', 1) AS account,
+            string_split(regexp_replace(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g'), '/') AS parts
+          FROM d"""),
+        ("p2", """SELECT *, parts[1] AS container,
+            CASE WHEN len(parts) > 1 THEN array_to_string(parts[2:], '/') END AS blob_path FROM p"""),
+        ("p3", """SELECT *, CASE WHEN len(string_split(blob_path, '/')) >= 2
+              THEN array_to_string(string_split(blob_path, '/')[1:len(string_split(blob_path, '/')) - 1], '/') END AS folder,
+            string_split(blob_path, '/')[-1] AS file FROM p2"""),
+        ("st", """SELECT *, CASE
+              WHEN contains(lower(subject), '/containers/processed-events/') THEN 'processed-events container'
+              WHEN event_type <> 'Microsoft.Storage.BlobCreated' THEN 'not a blob event'
+              WHEN url IS NULL OR url = '' THEN 'missing url'
+              WHEN blob_path IS NULL OR blob_path = '' THEN 'missing blob path'
+              WHEN file IS NULL OR file = '' THEN 'missing file name'
+              WHEN NOT contains(lower(file), 'pdf') THEN 'not a pdf file' END AS static_reason FROM p3"""),
+        ("fp", """SELECT event_id, event_time AS ft, subject AS fs, url AS fu, event_type AS fe FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_time, subject, url, event_type) AS rn
+            FROM st WHERE static_reason IS NULL) WHERE rn = 1"""),
+        ("g", """SELECT st.*, fp.ft IS NOT NULL AND (event_time > ft OR (event_time = ft AND (subject > fs
+                OR (subject = fs AND (coalesce(url > fu, false) OR (url = fu AND event_type > fe)))))) AS after_first,
+              fp.ft IS NOT NULL AND event_time = ft AND subject = fs AND url = fu AND event_type = fe AS is_first,
+              EXISTS (SELECT 1 FROM mk WHERE mk.event_id = st.event_id) AS marked
+            FROM st LEFT JOIN fp USING (event_id)"""),
+        ("g2", """SELECT *, CASE WHEN static_reason = 'processed-events container' THEN static_reason
+                 WHEN marked OR after_first THEN 'already processed' ELSE static_reason END AS reason FROM g"""),
+        ("g3", """SELECT *, CASE WHEN reason IS NULL THEN 'pass'
+                 WHEN reason IN ('missing url', 'missing blob path', 'missing file name') THEN 'error'
+                 ELSE 'skipped' END AS status FROM g2"""),
+        ("gated", """SELECT event_id, event_type, subject, url, event_time,
+                CASE WHEN status = 'pass' THEN 1 ELSE copies END AS copies, status, reason,
+                account, container, folder, file FROM g3
+              UNION ALL
+              SELECT event_id, event_type, subject, url, event_time, copies - 1, 'skipped', 'already processed',
+                account, container, folder, file FROM g3 WHERE status = 'pass' AND is_first AND copies > 1"""),
+        ("gate_out", """SELECT *, CASE WHEN status = 'pass' THEN
+                CASE WHEN ends_with(lower(file), '.pdf') THEN left(file, length(file) - 4) || '.json'
+                     ELSE file || '.json' END END AS json_name FROM gated"""),
+    ]
