@@ -17,6 +17,7 @@ from contractlake.operators import star as ST
 from contractlake.plans import oracle as O
 from contractlake.functions.scalars import AS_OF
 from contractlake.sources import fixtures as fx
+from contractlake.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -35,9 +36,13 @@ _NORM_CACHE: dict[tuple[int, str], DataFrame] = {}
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalized payloads, computed once and cut from their lineage with a reliable checkpoint in
+    the cluster's ``spark.checkpoint.dir`` (survives executor loss; the six star tables and all
+    reports read it instead of re-parsing every payload)."""
     key = (id(spark), sf_dir)
     if key not in _NORM_CACHE:
-        _NORM_CACHE[key] = P.normalize_payloads(fx.payload_docs(spark, sf_dir))
+        checkpoint_dir(spark)
+        _NORM_CACHE[key] = P.normalize_payloads(fx.payload_docs(spark, sf_dir)).checkpoint(eager=True)
     return _NORM_CACHE[key]
 
 
@@ -287,3 +292,141 @@ def q_mark_processed(spark, sf):
 def q_status_summary(spark, sf):
     """events by (status, reason)."""
     return G.status_summary(gated(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# access paths and reports over the star
+# ---------------------------------------------------------------------------
+
+from contractlake.operators import access as A  # noqa: E402
+
+
+def _sq(sel: str) -> str:
+    return O.with_ctes(SC, sel)
+
+
+@register("contracts_by_type", _sq("""SELECT tipo_contrato, tipo_servicio, count(*) AS contracts,
+  CAST(sum(monto_total) AS DECIMAL(38,2)) AS total_amount FROM t_contrato WHERE is_active GROUP BY ALL"""))
+def q_contracts_by_type(spark, sf):
+    """M1 (flagship): payloads -> accepted contracts -> count and amount by type."""
+    return A.contracts_by_type(star(spark, sf).contrato)
+
+
+@register("contracts_in_range", _sq("""SELECT id, event_id, fecha_inicio, fecha_termino FROM t_contrato
+  WHERE is_active AND fecha_inicio BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'"""))
+def q_contracts_in_range(spark, sf):
+    return A.contracts_in_range(star(spark, sf).contrato, "1995-01-01", "1996-12-31")
+
+
+@register("fines_of_contract", _sq("""SELECT c.event_id, m.contrato_id, m.id AS multa_id, m.tipo_incumplimiento, m.monto_multa_uf
+  FROM t_multas m JOIN t_contrato c ON m.contrato_id = c.id WHERE m.is_active AND c.is_active"""))
+def q_fines_of_contract(spark, sf):
+    s = star(spark, sf)
+    return A.fines_of_contract(s.multas, s.contrato)
+
+
+@register("fines_by_breach", _sq("""SELECT tipo_incumplimiento, count(*) AS fines,
+  CAST(sum(monto_multa_uf) AS DECIMAL(38,2)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
+def q_fines_by_breach(spark, sf):
+    return A.fines_by_breach(star(spark, sf).multas)
+
+
+for _name, _tab in (("company_by_tax_id", "compania_info"), ("provider_by_tax_id", "proveedores_info")):
+    def _mk_party(tab):
+        def fn(spark, sf):
+            s = star(spark, sf)
+            return A.party_by_tax_id(getattr(s, tab), s.contrato)
+        fn.__doc__ = f"M4: contracts per tax id of {tab}."
+        return fn
+    REGISTRY[_name] = (_mk_party(_tab), _sq(f"""SELECT p.rut, count(*) AS contracts, min(p.contrato_id) AS first_contrato_id
+      FROM t_{_tab} p JOIN t_contrato c ON p.contrato_id = c.id WHERE p.is_active AND c.is_active GROUP BY p.rut"""))
+
+
+@register("reps_by_national_id", _sq("""SELECT cedula_de_identidad, count(*) AS "rows", count(DISTINCT contrato_id) AS contracts
+  FROM t_representantes WHERE is_active GROUP BY ALL"""))
+def q_reps_by_national_id(spark, sf):
+    return A.reps_by_national_id(star(spark, sf).representantes)
+
+
+@register("entities_by_type", _sq("""SELECT tipo, count(*) AS entities, count(DISTINCT valor) AS distinct_values
+  FROM t_entidades WHERE is_active GROUP BY ALL"""))
+def q_entities_by_type(spark, sf):
+    return A.entities_by_type(star(spark, sf).entidades)
+
+
+@register("entities_by_type_name", _sq("""SELECT tipo, valor, count(*) AS entities FROM t_entidades WHERE is_active GROUP BY ALL"""))
+def q_entities_by_type_name(spark, sf):
+    return A.entities_by_type_name(star(spark, sf).entidades)
+
+
+ATTR_SQL = """SELECT id AS entidad_id, contrato_id, 'tipo' AS nombre_atributo, tipo AS valor FROM t_entidades WHERE is_active
+  UNION ALL SELECT id, contrato_id, 'valor', valor FROM t_entidades WHERE is_active"""
+
+
+@register("entity_attributes", _sq(f"""SELECT c.event_id, a.entidad_id, e.tipo, a.nombre_atributo, a.valor
+  FROM ({ATTR_SQL}) a JOIN t_entidades e ON a.entidad_id = e.id AND a.contrato_id = e.contrato_id
+  JOIN t_contrato c ON a.contrato_id = c.id WHERE e.is_active AND c.is_active"""))
+def q_entity_attributes(spark, sf):
+    """Contract ⋈ entity ⋈ attribute."""
+    s = star(spark, sf)
+    return A.contract_entity_attributes(s.contrato, s.entidades, A.entity_attributes(s.entidades))
+
+
+@register("attributes_by_name", _sq(f"""SELECT nombre_atributo, count(*) AS attributes, count(DISTINCT entidad_id) AS entities
+  FROM ({ATTR_SQL}) a GROUP BY ALL"""))
+def q_attributes_by_name(spark, sf):
+    return A.attributes_by_name(A.entity_attributes(star(spark, sf).entidades))
+
+
+@register("contracts_by_document", _sq("""SELECT nombre, count(*) AS contracts, min(id) AS first_id FROM t_contrato
+  WHERE is_active AND nombre IS NOT NULL GROUP BY ALL"""))
+def q_contracts_by_document(spark, sf):
+    return A.contracts_by_document(star(spark, sf).contrato)
+
+
+@register("section_counts", _sq("""SELECT c.id AS contrato_id, c.event_id,
+    coalesce(r.n, 0) AS representantes, coalesce(m.n, 0) AS multas, coalesce(e.n, 0) AS entidades
+  FROM t_contrato c
+  LEFT JOIN (SELECT contrato_id, count(*) AS n FROM t_representantes WHERE is_active GROUP BY ALL) r ON r.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, count(*) AS n FROM t_multas WHERE is_active GROUP BY ALL) m ON m.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, count(*) AS n FROM t_entidades WHERE is_active GROUP BY ALL) e ON e.contrato_id = c.id
+  WHERE c.is_active"""))
+def q_section_counts(spark, sf):
+    """F2."""
+    s = star(spark, sf)
+    return A.section_counts(s.contrato, s.representantes, s.multas, s.entidades)
+
+
+@register("fine_totals", _sq("""SELECT contrato_id, tipo_incumplimiento, count(*) AS fines,
+  CAST(sum(monto_multa_uf) AS DECIMAL(38,2)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
+def q_fine_totals(spark, sf):
+    """F7."""
+    return A.fine_totals(star(spark, sf).multas)
+
+
+@register("child_ids", _sq("""SELECT contrato_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids
+  FROM t_multas WHERE is_active GROUP BY contrato_id"""))
+def q_child_ids(spark, sf):
+    """generated fine ids per contract."""
+    return A.child_ids(star(spark, sf).multas)
+
+
+@register("star_view", _sq("""SELECT c.id AS contrato_id, c.event_id, c.tipo_contrato, c.parte_cliente, c.monto_total, c.fecha_inicio,
+    co.nombre AS compania_nombre, co.rut AS compania_rut, m.multas, r.representantes
+  FROM t_contrato c
+  LEFT JOIN t_compania_info co ON co.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || tipo_incumplimiento, '|' ORDER BY id) AS multas
+             FROM t_multas GROUP BY contrato_id) m ON m.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || nombre, '|' ORDER BY id) AS representantes
+             FROM t_representantes GROUP BY contrato_id) r ON r.contrato_id = c.id"""))
+def q_star_view(spark, sf):
+    """E5: nested contract view (rendered flat for comparison)."""
+    s = star(spark, sf)
+    return A.star_view_flat(A.star_view(s.contrato, s.compania_info, s.multas, s.representantes))
+
+
+@register("active_rows", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS active_rows FROM t_{t} WHERE is_active" for t in ST.STAR_TABLES)))
+def q_active_rows(spark, sf):
+    """B9."""
+    return A.active_rows(star(spark, sf).tables())
