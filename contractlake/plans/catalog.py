@@ -430,3 +430,97 @@ def q_star_view(spark, sf):
 def q_active_rows(spark, sf):
     """B9."""
     return A.active_rows(star(spark, sf).tables())
+
+
+# ---------------------------------------------------------------------------
+# pages and extraction
+# ---------------------------------------------------------------------------
+
+from contractlake.operators import extract as X  # noqa: E402
+from contractlake.operators import pages as PG  # noqa: E402
+
+PLS = fx.page_lines_sql("duckdb")
+WSP = O.WS + "+"
+
+
+@register("lines_by_page", f"""SELECT doc_id, page_no, count(*) AS n_lines, list(line ORDER BY line_no) AS lines
+  FROM ({PLS}) pl GROUP BY ALL""")
+def q_lines_by_page(spark, sf):
+    """F3."""
+    return PG.lines_by_page(fx.page_lines(spark, sf))
+
+
+@register("pack_pages", f"""SELECT doc_id, count(*) AS n_pages, string_agg('Page-' || CAST(page_no AS VARCHAR), ',' ORDER BY page_no) AS page_keys
+  FROM (SELECT DISTINCT doc_id, page_no FROM ({PLS}) pl) GROUP BY doc_id""")
+def q_pack_pages(spark, sf):
+    """Page map per document (keys in page order)."""
+    p = PG.pack_pages(fx.page_lines(spark, sf))
+    return p.select("doc_id", F.size("pages").alias("n_pages"), F.array_join(F.map_keys("pages"), ",").alias("page_keys"))
+
+
+@register("unpack_pages", f"SELECT doc_id, page_no, line_no, line FROM ({PLS}) pl")
+def q_unpack_pages(spark, sf):
+    """C17: page JSON read back to lines (round trip of C16 equals the input lines)."""
+    return PG.unpack_pages(PG.pack_pages(fx.page_lines(spark, sf)))
+
+
+@register("number_pages", f"""SELECT DISTINCT doc_id, 'Page-' || CAST(page_no AS VARCHAR) AS page_key, page_no FROM ({PLS}) pl""")
+def q_number_pages(spark, sf):
+    """G3."""
+    return PG.number_pages(PG.pack_pages(fx.page_lines(spark, sf)))
+
+
+@register("doc_stats", f"""SELECT doc_id,
+    CAST(sum(CASE WHEN {O.strip('line')} = '' THEN 0 ELSE len(regexp_split_to_array({O.strip('line')}, '{WSP}')) END) AS BIGINT) AS total_palabras,
+    count(*) AS lines, max(page_no) AS numero_pagina, CAST(sum(length(line)) AS BIGINT) AS chars
+  FROM ({PLS}) pl GROUP BY doc_id""")
+def q_doc_stats(spark, sf):
+    """Words, lines, pages, characters per document."""
+    return PG.doc_stats(fx.page_lines(spark, sf))
+
+
+@register("read_document", O.with_ctes(GC, f"""SELECT g.event_id, g.bp AS blob_path, s.doc_id,
+    CASE WHEN s.doc_id IS NULL THEN 'failed to load json' ELSE 'loaded' END AS load_status
+  FROM (SELECT event_id, CASE WHEN folder IS NULL OR folder = '' THEN file ELSE folder || '/' || file END AS bp
+        FROM gate_out WHERE status = 'pass') g
+  LEFT JOIN (SELECT DISTINCT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'in/2024/' ELSE '' END || 'c' || CAST(doc_id AS VARCHAR) || '.pdf' AS path
+             FROM documents) s ON s.path = g.bp"""))
+def q_read_document(spark, sf):
+    """A3 + T19 + T21: passing events look up their document; missing -> 'failed to load json'."""
+    req = gated(spark, sf).filter(F.col("status") == "pass").select("event_id", "folder", "file")
+    store = PG.doc_store(fx.page_lines(spark, sf))
+    return PG.read_document(req, store).select("event_id", "blob_path", "doc_id", "load_status")
+
+
+@register("files_for_day", f"""SELECT day, basename, arg_max(blob_path, listed_at) AS blob_path, max(listed_at) AS listed_at
+  FROM (SELECT blob_path, listed_at, strftime(listed_at, '%Y-%m-%d') AS day, string_split(blob_path, '/')[-1] AS basename
+        FROM ({fx.file_catalogue_sql('duckdb')}) c) x
+  WHERE starts_with(blob_path, day || '/') GROUP BY day, basename""")
+def q_files_for_day(spark, sf):
+    """A2: per-day listing keyed by basename, later listing wins."""
+    return PG.files_for_day(fx.file_catalogue(spark, sf)).select("day", "basename", "blob_path", "listed_at")
+
+
+LLS = fx.labeled_lines_sql("duckdb")
+
+
+def _x(field: str) -> str:
+    rx = X.LABEL_RX
+    return (f"arg_min(regexp_extract(line, '{rx}', 2), page_no * 1000000000 + line_no) "
+            f"FILTER (WHERE lower(regexp_extract(line, '{rx}', 1)) = '{[k for k, v in X.LABEL_FIELDS.items() if v == field][0]}')")
+
+
+@register("extract_fields", f"""SELECT doc_id, {_x('tipo_contrato')} AS tipo_contrato, {_x('fecha_inicio')} AS fecha_inicio,
+    {_x('monto_total')} AS monto_total,
+    TRY_CAST(NULLIF(regexp_extract({_x('termino_anticipado_plazo_dias')}, '(\\d+)', 1), '') AS INTEGER) AS termino_anticipado_plazo_dias
+  FROM ({LLS}) l WHERE lower(regexp_extract(line, '{X.LABEL_RX}', 1)) IN ({', '.join(O.q(k) for k in X.LABEL_FIELDS)})
+  GROUP BY doc_id""")
+def q_extract_fields(spark, sf):
+    """C19 (re-aimed): rule-based extraction of contract fields from page lines."""
+    return X.extract_fields(fx.labeled_lines(spark, sf))
+
+
+@register("extraction_request", None)
+def q_extraction_request(spark, sf):
+    """Request text per document (rows-only check)."""
+    return X.extraction_request(fx.page_lines(spark, sf))

@@ -246,6 +246,38 @@ def page_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
       FROM ({exploded}) e"""
 
 
+LABELS = ["Tipo de contrato", "Fecha de inicio", "Monto total", "Plazo de termino anticipado"]
+
+
+def labeled_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Page lines with ``Label: value`` lines in front (§3.4, extractor input): for document d the
+    order d (o_orderkey = doc_id) gives contract type, start date (§3.1 forms), amount and
+    early-termination days; labels sit on page 0, lines 1-4, before the document's own lines."""
+    t = refs(dialect, sf_dir)
+    k = "o_orderkey"
+    vals = [
+        f"'Tipo de contrato: ' || o_orderpriority",
+        f"'Fecha de inicio: ' || coalesce({date_text(k, 'o_orderdate')}, '')",
+        f"'Monto total: ' || coalesce({amount_text(k, 'CAST(floor(o_totalprice * 100) AS BIGINT)')}, '')",
+        f"'Plazo de termino anticipado: ' || {_s(f'{k} % 90')} || ' dias'",
+    ]
+    labels = " UNION ALL ".join(
+        f"SELECT d.doc_id, 0 AS page_no, {i + 1} AS line_no, {v} AS line "
+        f"FROM (SELECT DISTINCT doc_id FROM {t['documents']}) d JOIN {t['orders']} o ON o.o_orderkey = d.doc_id"
+        for i, v in enumerate(vals))
+    return f"SELECT doc_id, page_no, line_no, line FROM ({page_lines_sql(dialect, sf_dir)}) pl UNION ALL {labels}"
+
+
+def file_catalogue_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """A2 listing: every blob event's path placed under ``{yyyy-MM-dd}/`` of its event day."""
+    t = refs(dialect, sf_dir)
+    e = "event_id"
+    day = (f"{_s(f'year(ts)')} || '-' || lpad({_s('month(ts)')}, 2, '0') || '-' || "
+           f"lpad({_s('day(ts)')}, 2, '0')")
+    return f"""SELECT CASE WHEN {e} % 3 = 0 THEN 'in/' ELSE '' END || {day} || '/c' || {_s(f'{e} % 500')} || '.pdf'
+        AS blob_path, ts AS listed_at FROM {t['events']}"""
+
+
 # ---------------------------------------------------------------------------
 # Spark builders
 # ---------------------------------------------------------------------------
@@ -268,3 +300,11 @@ def payload_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(page_lines_sql("spark", sf_dir))
+
+
+def labeled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(labeled_lines_sql("spark", sf_dir))
+
+
+def file_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(file_catalogue_sql("spark", sf_dir))
