@@ -524,3 +524,163 @@ def q_extract_fields(spark, sf):
 def q_extraction_request(spark, sf):
     """Request text per document (rows-only check)."""
     return X.extraction_request(fx.page_lines(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# quality (K3-K6, F5, H1) and changes
+# ---------------------------------------------------------------------------
+
+from contractlake import schemas as SCH  # noqa: E402
+from contractlake.operators import changes as CH  # noqa: E402
+from contractlake.operators import quality as QL  # noqa: E402
+
+
+def broken_multas(s):
+    """Incoming fines with a broken parent key for every 50th id (FIXTURES §3.5)."""
+    return s.multas.withColumn("contrato_id", F.when(F.col("id") % 50 == 0, F.col("contrato_id") + 1000000)
+                               .otherwise(F.col("contrato_id")))
+
+
+BROKEN_MULTAS = "SELECT * REPLACE (CASE WHEN id % 50 = 0 THEN contrato_id + 1000000 ELSE contrato_id END AS contrato_id) FROM t_multas"
+
+
+@register("orphan_rows", _sq(f"SELECT id, contrato_id FROM ({BROKEN_MULTAS}) m WHERE contrato_id NOT IN (SELECT id FROM t_contrato)"))
+def q_orphan_rows(spark, sf):
+    """K4: fines whose contract does not exist."""
+    s = star(spark, sf)
+    return QL.orphan_rows(broken_multas(s), s.contrato).select("id", "contrato_id")
+
+
+@register("ordered_constraints", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS child_table, 'contrato' AS parent_table, 'contrato_id' AS fk_column, count(*) AS orphans "
+    f"FROM {('(' + BROKEN_MULTAS + ') x') if t == 'multas' else 't_' + t} WHERE contrato_id NOT IN (SELECT id FROM t_contrato)"
+    for t in SCH.LINKS_A)))
+def q_ordered_constraints(spark, sf):
+    """H1 (re-aimed): child -> parent links with orphan counts, ordered by table."""
+    s = star(spark, sf)
+    kids = {t: (broken_multas(s) if t == "multas" else getattr(s, t)) for t in SCH.LINKS_A}
+    return QL.orphan_counts(kids, s.contrato)
+
+
+NOT_NULL = {"representantes": ["contrato_id", "nombre", "cedula_de_identidad"],
+            "multas": ["contrato_id", "tipo_incumplimiento"], "entidades": ["contrato_id", "tipo", "valor"]}
+BROKEN_REPS = "SELECT * REPLACE (CASE WHEN id % 40 = 0 THEN NULL ELSE nombre END AS nombre) FROM t_representantes"
+
+
+@register("not_null_check", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls "
+    f"FROM {('(' + BROKEN_REPS + ') x') if t == 'representantes' else 't_' + t}"
+    for t, cols in NOT_NULL.items() for c in cols)))
+def q_not_null_check(spark, sf):
+    """K5: NULLs in NOT NULL columns (incoming representatives with missing names)."""
+    s = star(spark, sf)
+    reps = s.representantes.withColumn("nombre", F.when(F.col("id") % 40 == 0, F.lit(None)).otherwise(F.col("nombre")))
+    src = {"representantes": reps, "multas": s.multas, "entidades": s.entidades}
+    out = None
+    for t, cols in NOT_NULL.items():
+        one = QL.not_null_check(src[t], t, cols)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+LIMITS = {"compania_info": {"nombre": 255, "rut": 20, "domicilio": 255},
+          "representantes": {"nombre": 255, "cedula_de_identidad": 50}}
+BROKEN_COMP = "SELECT * REPLACE (CASE WHEN id % 30 = 0 THEN rut || '-0000000000000000000000' ELSE rut END AS rut) FROM t_compania_info"
+
+
+@register("length_check", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS too_long "
+    f"FROM {('(' + BROKEN_COMP + ') x') if t == 'compania_info' else 't_' + t}"
+    for t, lim in LIMITS.items() for c, n in lim.items())))
+def q_length_check(spark, sf):
+    """K6: values over the declared VARCHAR length (incoming tax ids too long)."""
+    s = star(spark, sf)
+    comp = s.compania_info.withColumn("rut", F.when(F.col("id") % 30 == 0, F.concat("rut", F.lit("-0000000000000000000000")))
+                                      .otherwise(F.col("rut")))
+    src = {"compania_info": comp, "representantes": s.representantes}
+    out = None
+    for t, lim in LIMITS.items():
+        one = QL.length_check(src[t], t, lim)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("duplicate_keys", _sq("SELECT rut, count(*) AS n FROM t_compania_info WHERE is_active GROUP BY rut HAVING count(*) > 1"))
+def q_duplicate_keys(spark, sf):
+    """party tax ids that repeat among active rows."""
+    return QL.duplicate_keys(star(spark, sf).compania_info, "rut")
+
+
+@register("describe_columns", None)
+def q_describe_columns(spark, sf):
+    """K3: column catalogue of the published star (rows-only check)."""
+    s = star(spark, sf)
+    out = None
+    for t, df in s.tables().items():
+        one = QL.describe_columns(spark, t, SCH.conform(df, SCH.STAR_A[t]).schema)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def change_rows(s):
+    """Updates to published contracts (FIXTURES §3.5): a text update, a soft delete and a
+    metadata-only update, by id residue."""
+    c = s.contrato.select("id")
+    t = lambda d: F.to_timestamp_ntz(F.lit(d))
+    a = c.filter(F.col("id") % 7 == 0).select("id", F.array(F.lit("descripcion")).alias("set_cols"),
+                                              F.concat(F.lit("Actualizado "), F.col("id").cast("string")).alias("descripcion"),
+                                              F.lit(None).cast("boolean").alias("is_active"), t("2026-01-02 00:00:00").alias("changed_at"))
+    b = c.filter(F.col("id") % 11 == 0).select("id", F.array(F.lit("is_active")).alias("set_cols"),
+                                               F.lit(None).cast("string").alias("descripcion"), F.lit(False).alias("is_active"),
+                                               t("2026-01-03 00:00:00").alias("changed_at"))
+    m = c.filter(F.col("id") % 13 == 0).select("id", F.array(F.lit("numero_pagina")).alias("set_cols"),
+                                               F.lit(None).cast("string").alias("descripcion"),
+                                               F.lit(None).cast("boolean").alias("is_active"), t("2026-01-04 00:00:00").alias("changed_at"))
+    return a.unionByName(b).unionByName(m)
+
+
+CHANGES_SQL = """SELECT id, ['descripcion'] AS set_cols, 'Actualizado ' || CAST(id AS VARCHAR) AS descripcion,
+    CAST(NULL AS BOOLEAN) AS is_active, TIMESTAMP '2026-01-02 00:00:00' AS changed_at FROM t_contrato WHERE id % 7 = 0
+  UNION ALL SELECT id, ['is_active'], NULL, false, TIMESTAMP '2026-01-03 00:00:00' FROM t_contrato WHERE id % 11 = 0
+  UNION ALL SELECT id, ['numero_pagina'], NULL, NULL, TIMESTAMP '2026-01-04 00:00:00' FROM t_contrato WHERE id % 13 = 0"""
+COMB_SQL = f"""SELECT id, list_sort(list_distinct(flatten(list(set_cols)))) AS set_cols, max(changed_at) AS changed_at,
+    arg_max(descripcion, changed_at) FILTER (WHERE descripcion IS NOT NULL) AS descripcion,
+    arg_max(is_active, changed_at) FILTER (WHERE is_active IS NOT NULL) AS is_active
+  FROM ({CHANGES_SQL}) ch GROUP BY id"""
+APPLIED_SQL = f"""SELECT t.id,
+    CASE WHEN c.id IS NOT NULL AND list_contains(c.set_cols, 'descripcion') THEN c.descripcion ELSE t.descripcion END AS descripcion,
+    CASE WHEN c.id IS NOT NULL AND list_contains(c.set_cols, 'is_active') THEN c.is_active ELSE t.is_active END AS is_active,
+    CASE WHEN c.id IS NOT NULL THEN c.changed_at ELSE t.updated_at END AS updated_at
+  FROM t_contrato t LEFT JOIN ({COMB_SQL}) c ON c.id = t.id"""
+
+
+def applied(spark, sf):
+    s = star(spark, sf)
+    return CH.apply_changes(s.contrato, change_rows(s))
+
+
+@register("touch_updated_at", _sq(APPLIED_SQL))
+def q_touch_updated_at(spark, sf):
+    """L2 + E4: changes applied, updated_at stamped on every updated row."""
+    return applied(spark, sf).select("id", "descripcion", "is_active", "updated_at")
+
+
+@register("join_updated_rows", _sq(f"""SELECT t.id, c.changed_at FROM t_contrato t JOIN ({COMB_SQL}) c ON c.id = t.id"""))
+def q_join_updated_rows(spark, sf):
+    """Target rows joined to the (combined) updated row set on the primary key."""
+    s = star(spark, sf)
+    return s.contrato.join(CH.combine_changes(change_rows(s)), "id").select("id", "changed_at")
+
+
+@register("touch_on_metadata", _sq(f"""SELECT id, list_has_any(set_cols, [{', '.join(O.q(c) for c in SCH.META_COLS)}]) AS touched
+  FROM ({COMB_SQL}) c"""))
+def q_touch_on_metadata(spark, sf):
+    """L3: does the update's SET list name a metadata column?"""
+    ch = CH.combine_changes(change_rows(star(spark, sf)))
+    return ch.select("id", CH.metadata_touched(F.col("set_cols")).alias("touched"))
+
+
+@register("soft_delete", _sq(f"SELECT id FROM ({APPLIED_SQL}) a WHERE NOT is_active"))
+def q_soft_delete(spark, sf):
+    """L4: rows soft-deleted by the change set (kept, inactive)."""
+    return applied(spark, sf).filter(~F.col("is_active")).select("id")
