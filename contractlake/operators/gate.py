@@ -116,13 +116,17 @@ def gate_events(events: DataFrame, markers: DataFrame | None = None,
               .when(reason.isin(R_NO_URL, R_NO_PATH, R_NO_FILE), "error")
               .otherwise("skipped"))
     g = g.withColumn("reason", reason).withColumn("status", status)
-    # identical copies of the first passing delivery: one passes, the rest are repeats
-    repeat_copies = (g.filter((F.col("status") == "pass") & is_first & (F.col("copies") > 1))
-                     .withColumn("copies", F.col("copies") - 1)
-                     .withColumn("status", F.lit("skipped")).withColumn("reason", F.lit(R_ALREADY)))
-    g = g.withColumn("copies", F.when(F.col("status") == "pass", F.lit(1)).otherwise(F.col("copies")))
-    out_cols = EVENT_COLS + ["copies", "status", "reason", "account", "container", "folder", "file"]
-    res = g.select(*out_cols).unionByName(repeat_copies.select(*out_cols))
+    # One pass: identical copies of the first passing delivery become one 'pass' row plus one
+    # 'already processed' row carrying the remaining copies (inline of a 1- or 2-element array).
+    is_pass = F.col("status") == "pass"
+    main = F.struct(F.when(is_pass, F.lit(1)).otherwise(F.col("copies")).cast("bigint").alias("copies"),
+                    F.col("status").alias("status"), F.col("reason").alias("reason"))
+    rep = F.struct((F.col("copies") - 1).cast("bigint").alias("copies"), F.lit("skipped").alias("status"),
+                   F.lit(R_ALREADY).alias("reason"))
+    rows = F.when(is_pass & is_first & (F.col("copies") > 1), F.array(main, rep)).otherwise(F.array(main))
+    keep = EVENT_COLS + ["account", "container", "folder", "file"]
+    res = g.select(*keep, F.inline(rows))
+    res = res.select(*EVENT_COLS, "copies", "status", "reason", "account", "container", "folder", "file")
     return res.withColumn("json_name", F.when(F.col("status") == "pass", json_output_name(F.col("file"))))
 
 
