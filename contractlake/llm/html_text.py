@@ -148,12 +148,11 @@ def parse(source: str) -> Page:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
             if block:
                 end_block()
-            inside = here[2]
-            furniture = here[1]
+            _, furniture, inside = stack[k] if k >= 0 else ("", here[1], here[2])
             if k >= 0:
-                furniture, inside = stack[k][1], stack[k][2]
                 pop(k)
-            page.runs.append(Run(f"tag {'furniture' if furniture else tag}", inside=inside and tag not in OWN_ARTICLE))
+            if not furniture:
+                page.runs.append(Run(f"tag {tag}", inside=inside and tag not in OWN_ARTICLE))
             continue
         attributes = {a[0].lower(): html.unescape(a[1] or a[2] or a[3]) for a in ATTRIBUTE.findall(found[3] or "")} if found[3] else {}
         if block:
@@ -169,7 +168,8 @@ def parse(source: str) -> Page:
         _, below, inside = stack[-1] if stack else ("", False, False)
         furniture = below or is_furniture(tag, attributes, inside)
         article = marks_article(tag, attributes) and not furniture
-        page.runs.append(Run(f"tag {'furniture' if furniture else tag}", inside=inside and not furniture))
+        if not below:  # furniture counts as one tag, whatever is in it
+            page.runs.append(Run(f"tag {'furniture' if furniture else tag}", inside=inside))
         if article and not inside:
             page.articles += 1
         if tag in RAW:

@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
 Words, pairs of neighbouring words and runs of three and four bytes are hashed to ``2**BITS`` vectors, which are
-averaged over the whole document and go through a linear layer and a softmax. Vectors and layer are trained together by
+averaged over the whole document, each of the four kinds with the same weight, and go through a linear layer and a softmax. Vectors and layer are trained together by
 numpy stochastic gradient descent on a bounded sample of labelled documents (``TRAIN_ROWS``); a part of the sample is
 kept back to set scale and offset of the output, which the trained documents would make too sure. A word that repeats
 its predecessor makes the pair feature "repeated", whichever word it is. As the layer is linear, a document's score is the
@@ -24,27 +24,29 @@ from pyspark.sql import functions as F
 
 from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, held_out, labelled_sample
 
-BITS, DIM, EPOCHS, BATCH, RATE, SEED = 17, 8, 6, 32, 0.3, 7
+KINDS, BITS, DIM, EPOCHS, BATCH, RATE, SEED = 4, 17, 8, 6, 32, 0.3, 7
+#: A small sample is gone through more often, so that so many steps are taken.
+LEAST_STEPS = 500
 #: Labelled documents to learn from, at most.
 TRAIN_ROWS = 4000
 #: One labelled document in so many is kept back from the training to set the softmax's scale and offset.
 CALIBRATION = 4
 
 
-def features(chunk: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(document, feature) of all occurrences, kind by kind."""
+def features(chunk: Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, documents, features) of all occurrences."""
     shift = np.uint64(64 - BITS)
     start, end = chunk.words(SPACE == False)  # noqa: E712
     word, doc = chunk.span(chunk.hashes(chunk.data), start, end), chunk.owner(start)
-    yield doc, (word >> shift).astype(np.int64)
+    yield 0, doc, (word >> shift).astype(np.int64)
     if len(word) > 1:
         pair = (word[:-1] * np.uint64(0x94D049BB133111EB) + word[1:]) * np.uint64(0x9E3779B97F4A7C15)
         pair[word[:-1] == word[1:]] = np.uint64(1 << 63)
         inside = doc[:-1] == doc[1:]
-        yield doc[1:][inside], (pair[inside] >> shift).astype(np.int64)
+        yield 1, doc[1:][inside], (pair[inside] >> shift).astype(np.int64)
     for n in (3, 4):
         owner, value = chunk.grams(n)
-        yield owner, ((value * np.uint32(2654435761 + 2 * n)) >> np.uint32(32 - BITS)).astype(np.int64)
+        yield n - 1, owner, ((value * np.uint32(2654435761 + 2 * n)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
 @dataclass
@@ -53,12 +55,13 @@ class Model:
     bias: float
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        total, n = np.zeros(len(texts)), np.zeros(len(texts))
+        total, n = np.zeros((KINDS, len(texts))), np.zeros((KINDS, len(texts)))
         for chunk in chunks(texts):
-            for doc, ids in features(chunk):
-                total += np.bincount(doc, weights=self.table[ids], minlength=len(texts))
-                n += np.bincount(doc, minlength=len(texts))
-        return 1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) + self.bias, -50, 50)))
+            for kind, doc, ids in features(chunk):
+                total[kind] += np.bincount(doc, weights=self.table[ids], minlength=len(texts))
+                n[kind] += np.bincount(doc, minlength=len(texts))
+        mean = (total / np.maximum(n, 1)).sum(axis=0) / KINDS
+        return 1 / (1 + np.exp(-np.clip(mean + self.bias, -50, 50)))
 
 
 def calibration(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -87,7 +90,7 @@ def train(docs: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
         so_far[rows] += slope * slope  # steps shrink with the slopes seen so far
         x[rows] -= RATE * slope / np.sqrt(so_far[rows])
 
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(learn))):
         order = rng.permutation(learn)
         for at in range(0, len(order), BATCH):
             some = order[at:at + BATCH]
@@ -118,14 +121,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [counted(doc, ids) for chunk in chunks(batch.column(1)) for doc, ids in features(chunk)]
+            parts = [(kind, *counted(doc, ids)) for chunk in chunks(batch.column(1)) for kind, doc, ids in features(chunk)]
             if not parts:
                 continue
-            doc, ids, times = (np.concatenate(x) for x in zip(*parts))
+            kind = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
+            doc, ids, times = (np.concatenate(x) for x in zip(*(p[1:] for p in parts)))
+            share = times / np.bincount(doc * KINDS + kind, weights=times)[doc * KINDS + kind] / KINDS
             pair, at = np.unique((doc << 32) | ids, return_inverse=True)
-            times = np.bincount(at, weights=times)
-            lengths = np.bincount(pair >> 32, minlength=batch.num_rows)
-            share = times / np.bincount(pair >> 32, weights=times, minlength=batch.num_rows)[pair >> 32]
+            share, lengths = np.bincount(at, weights=share), np.bincount(pair >> 32, minlength=batch.num_rows)
             cut = np.cumsum(lengths)[:-1]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([x.astype(np.int32).tobytes() for x in np.split(pair & 0xFFFFFFFF, cut)]),

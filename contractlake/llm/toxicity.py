@@ -4,8 +4,9 @@
    lexicon voters, dealt out by rank; a fixed list of insults and patterns (an insult after a second person, a
    run of insults, shouting) make pattern voters. A voter says toxic, clean or nothing.
 2. Label model. A generative model with one hidden class per document explains the votes of a bounded sample of
-   documents (``SAMPLE_ROWS``): each voter's accuracies, and its correlation with one other voter given the class (the
-   tree of largest conditional mutual information), by expectation maximization. Its posteriors are the training labels.
+   documents, labelled and unlabelled: each voter's accuracies, and its correlation with one other voter given the class
+   (the tree of largest conditional mutual information), by expectation maximization. Labels hold the class in place
+   there. Its posteriors given the votes are the training labels.
 3. Classifier. A linear model on hashed words and word beginnings is trained on the posteriors by stochastic gradient
    descent; all documents are scored by it in one pass without a shuffle.
 
@@ -104,17 +105,19 @@ def vote(feats: np.ndarray, patterns: list[int], lexicons: list[np.ndarray]) ->
 class LabelModel:
     """Hidden class, and each voter given the class and at most one other voter.
 
-    Accuracies and correlations are estimated from all votes. A lexicon holds a part of the vocabulary, perhaps of one
+    Accuracies and correlations are estimated from the votes on all documents; where a label is ``known`` (0 or 1, else
+    -1) it holds the hidden class in place while they are estimated. The posteriors come from the votes alone. A lexicon holds a part of the vocabulary, perhaps of one
     language, so that it finds nothing says little about a single document: in the posteriors that are handed on, all
     votes but "toxic" count by ``SILENCE``.
     """
 
-    def __init__(self, votes: np.ndarray, rounds: int = 20):
+    def __init__(self, votes: np.ndarray, known: np.ndarray | None = None, rounds: int = 20):
         n, v = votes.shape
         hot = np.stack([votes == k for k in (-1, 0, 1)], axis=2).reshape(n, 3 * v).astype(np.float64)
         says = (votes == 1).sum(axis=1) - 0.25 * (votes == -1).sum(axis=1)
         p = np.clip(1 / (1 + np.exp(-says)), 0.02, 0.98)  # first guess: a weighted majority
         for turn in range(rounds + 1):
+            p = p if known is None else np.where(known >= 0, np.clip(known, 0.02, 0.98), p)
             joint = np.stack([hot.T @ (w[:, None] * hot) for w in (1 - p, p)]).reshape(2, v, 3, v, 3) + 0.05
             joint /= joint.sum(axis=(2, 4), keepdims=True)
             single = joint.sum(axis=4)[:, :, :, :]  # class, voter, says, voter: the same for each other voter, up to smoothing
@@ -211,8 +214,8 @@ def classifier(rows: list[np.ndarray], p: np.ndarray) -> Model:
     return Model(names[keep], weights, bias)
 
 
-def _feature_rows(docs: DataFrame, id_col: str, text_col: str, extra: str) -> list:
-    """(extra, features, pattern votes) of a bounded set of documents, to the driver, in a fixed order."""
+def _feature_rows(docs: DataFrame, text_col: str) -> list:
+    """(y, features, pattern votes) of a bounded set of documents, to the driver, in a fixed order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             feats = distinct_features(batch.column(1))
@@ -220,7 +223,7 @@ def _feature_rows(docs: DataFrame, id_col: str, text_col: str, extra: str) -> li
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(np.int32).tobytes() for f in feats], pa.binary()),
                                               pa.array(votes, pa.list_(pa.int8()))], names=["y", "feats", "votes"])
 
-    found = docs.select(F.col(extra).cast("int").alias("y"), F.col(text_col).cast("binary").alias("_bytes")).mapInArrow(run, "y int, feats binary, votes array<tinyint>").collect()
+    found = docs.select("y", F.col(text_col).cast("binary").alias("_bytes")).mapInArrow(run, "y int, feats binary, votes array<tinyint>").collect()
     rows = sorted((-1 if r["y"] is None else r["y"], bytes(r["feats"]), list(r["votes"])) for r in found)
     return [(y, np.frombuffer(f, np.int32).astype(np.int64), v) for y, f, v in rows]
 
@@ -231,14 +234,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     picked = (docs.where(~held_out(id_col) & F.col(id_col).isNotNull()).select(id_col).distinct()
               .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS - LABELLED_ROWS // 2))
     sample = known.union(picked.join(known, id_col, "left_anti").select(id_col, F.lit(None).cast("int"))).select(id_col, "y")
-    rows = _feature_rows(docs.join(F.broadcast(sample), id_col), id_col, text_col, "y")  # LABELLED_ROWS + SAMPLE_ROWS rows at most
+    rows = _feature_rows(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col)  # LABELLED_ROWS + SAMPLE_ROWS rows at most
     labelled = [(y, f) for y, f, _ in rows if y >= 0]
     lexicons = pick_entries(labelled) if any(y == 1 for y, _ in labelled) else []
     feats = [f for _, f, _ in rows]
     if not rows:
         return Model(np.empty(0, dtype=np.int64), np.empty(0), -50.0)
     votes = np.array([vote(f, v, lexicons) for _, f, v in rows])
-    return classifier(feats, LabelModel(votes).posterior)
+    return classifier(feats, LabelModel(votes, np.array([y for y, _, _ in rows])).posterior)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
