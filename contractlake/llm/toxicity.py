@@ -5,7 +5,7 @@
    run of insults, shouting) make pattern voters. A voter says toxic, clean or nothing.
 2. Label model. A generative model with one hidden class per document explains the votes of a bounded sample of
    documents, labelled and unlabelled: each voter's accuracies, and its correlation with one other voter given the class
-   (the tree of largest conditional mutual information), by expectation maximization. Labels hold the class in place
+   (the tree of largest mutual information in either class), by expectation maximization. Labels hold the class in place
    there. Its posteriors given the votes are the training labels.
 3. Classifier. A linear model on hashed words and word beginnings is trained on the posteriors by stochastic gradient
    descent; all documents are scored by it in one pass without a shuffle.
@@ -124,7 +124,7 @@ class LabelModel:
             single = single[:, np.arange(v), :, np.arange(v)].transpose(1, 0, 2)
             prior = np.clip(np.array([1 - p.mean(), p.mean()]), 1e-3, None)
             info = (joint * np.log(joint / (single[:, :, :, None, None] * single[:, None, None, :, :]))).sum(axis=(2, 4))
-            parent = self.tree((prior[:, None, None] * info).sum(axis=0))
+            parent = self.tree(info.max(axis=0))
             log = np.tile(np.log(prior), (n, 1))
             for k in range(v):
                 a, weight = votes[:, k] + 1, np.where((votes[:, k] == 1) | (turn < rounds), 1, SILENCE)
@@ -139,8 +139,8 @@ class LabelModel:
         self.posterior, self.parent, self.accuracy = p, parent, single
 
     @staticmethod
-    def tree(info: np.ndarray, least: float = 0.01) -> list[int]:
-        """Each voter's parent in the maximum spanning tree (-1: root, or no voter that tells anything)."""
+    def tree(info: np.ndarray, least: float = 0.1) -> list[int]:
+        """Each voter's parent in the maximum spanning tree (-1: root, or none that tells more than ``least``: weaker links would explain the class away)."""
         parent, inside, best, link = [-1] * len(info), np.zeros(len(info), dtype=bool), np.full(len(info), -np.inf), np.full(len(info), -1)
         for _ in range(len(info)):
             k = int(np.argmax(np.where(inside, -np.inf, best)))

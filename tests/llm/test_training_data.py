@@ -375,7 +375,7 @@ def test_label_model_recovers_accuracies_and_links():
     right = [0.9, 0.85, 0.8, 0.75]
     votes = np.stack([np.where(rng.random(6000) < p, np.where(y, 1, -1), np.where(y, -1, 1)) for p in right], axis=1)
     votes = np.concatenate((votes, np.where(rng.random((6000, 1)) < 0.95, votes[:, 3:4], -votes[:, 3:4])), axis=1)  # a voter that copies the last one
-    model = toxicity.LabelModel(votes)
+    model = toxicity.LabelModel(votes, np.where(np.arange(6000) < 500, y, -1))
     assert model.parent[4] == 3 or model.parent[3] == 4
     for k, p in enumerate(right[:3]):
         assert abs(model.accuracy[1, k, 2] - p) < 0.08 and abs(model.accuracy[0, k, 0] - p) < 0.08
