@@ -3,10 +3,10 @@
 Input: blob events ``(event_id, event_type, subject, url, event_time)``.
 Output: one status row per *distinct delivery* with a ``copies`` count.
 
-Skew: re-delivered copies of one event are collapsed by an aggregation first (map-side
-partial aggregation), so even a hot event id holding a large share of all rows never lands
-in one task; the first passing delivery per id is another aggregation, joined back on
-``event_id`` (AQE splits a skewed join partition if needed). No window over event_id.
+Skew: identical copies of one event are collapsed by an aggregation (map-side partial aggregation). What
+is known per id -- first passing delivery, marker -- is aggregated once more and written as a table. Ids with
+many distinct deliveries (their number is bounded by the share that makes an id hot) get it by a broadcast, so
+their deliveries are never shuffled by id; the others join by id. No window over event_id.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.functions.scalars import AS_OF, as_of_ts
+from contractlake.session import saved
 
 # Fixed values of the reference's gate (statuses, reasons, names).
 BLOB_CREATED = "Microsoft.Storage.BlobCreated"
@@ -27,6 +28,9 @@ R_NO_PATH = "missing blob path"
 R_NO_FILE = "missing file name"
 R_NOT_PDF = "not a pdf file"
 
+# An id is hot from this many deliveries on, and from this share of all of them.
+HOT_DELIVERIES, HOT_SHARE = 1000, 1 / 1000
+
 EVENT_COLS = ["event_id", "event_type", "subject", "url", "event_time"]
 
 
@@ -78,7 +82,7 @@ def static_gate(df: DataFrame, strict_extension: bool = False) -> DataFrame:
     out = df.withColumns(u)
     out = out.withColumns(split_folder_file(F.col("blob_path")))
     reason = (F.when(F.lower(F.col("subject")).contains(MARKER_CONTAINER_PATH), R_MARKER_CONTAINER)
-              .when(F.col("event_type") != BLOB_CREATED, R_NOT_BLOB)
+              .when(~F.col("event_type").eqNullSafe(BLOB_CREATED), R_NOT_BLOB)
               .when(F.col("url").isNull() | (F.col("url") == ""), R_NO_URL)
               .when(F.col("blob_path").isNull() | (F.col("blob_path") == ""), R_NO_PATH)
               .when(F.col("file").isNull() | (F.col("file") == ""), R_NO_FILE)
@@ -93,17 +97,24 @@ def gate_events(events: DataFrame, markers: DataFrame | None = None,
     Returns ``event_id, event_type, subject, url, event_time, copies, status, reason, account,
     container, folder, file, json_name``. ``status`` is 'pass' for the delivery that proceeds.
     """
-    deliveries = events.groupBy(*EVENT_COLS).agg(F.count(F.lit(1)).alias("copies"))
+    deliveries = saved(events.groupBy(*EVENT_COLS).agg(F.count(F.lit(1)).alias("copies")), "deliveries")
     g = static_gate(deliveries, strict_extension)
     key = F.struct("event_time", "subject", "url", "event_type")
-    first_pass = (g.filter(F.col("_static").isNull()).groupBy("event_id")
-                  .agg(F.min(key).alias("_first")))
-    g = g.join(first_pass, "event_id", "left")
+    per_id = (g.filter(F.col("event_id").isNotNull()).groupBy("event_id")
+              .agg(F.min(F.when(F.col("_static").isNull(), key)).alias("_first"), F.count(F.lit(1)).alias("_n")))
     if markers is not None:
-        seen = markers.select("event_id").distinct().withColumn("_marked", F.lit(True))
-        g = g.join(seen, "event_id", "left")
+        ids = saved(per_id, "event-ids")
+        seen = ids.select("event_id").join(markers.select("event_id"), "event_id", "left_semi").withColumn("_marked", F.lit(True))
+        per_id = ids.join(seen, "event_id", "left")
     else:
-        g = g.withColumn("_marked", F.lit(None).cast("boolean"))
+        per_id = per_id.withColumn("_marked", F.lit(None).cast("boolean"))
+    per_id = saved(per_id, "event-decisions")
+    total = per_id.agg(F.sum("_n")).first()[0] or 0
+    is_hot = F.col("_n") > max(HOT_DELIVERIES, total * HOT_SHARE)
+    hot = F.broadcast(per_id.filter(is_hot).drop("_n"))    # at most 1 / HOT_SHARE ids
+    cold = per_id.filter(~is_hot).drop("_n")
+    g = (g.join(hot.select("event_id"), "event_id", "left_anti").join(cold, "event_id", "left")
+         .unionByName(g.join(hot, "event_id")))
     marked = F.coalesce(F.col("_marked"), F.lit(False))
     after_first = F.col("_first").isNotNull() & (key > F.col("_first"))
     is_first = F.col("_first").isNotNull() & (key == F.col("_first"))

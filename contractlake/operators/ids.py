@@ -1,11 +1,12 @@
 """G1: dense increasing surrogate keys without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` moves every row into one task. Instead:
-  1. range-partition and sort by the natural key (one shuffle, parallel),
-  2. number rows inside each partition (``monotonically_increasing_id`` low 33 bits),
-  3. count rows per partition -- one row per partition, so the offsets table is bounded by
-     the partition count, not the data -- and broadcast the running offsets back.
-The result equals the global ``row_number`` because range partitions are ordered by key.
+  1. split points of the key come from a bounded sample (first rows by a hash of the key),
+  2. a row's bucket is the number of split points below its key -- a function of the data, so that neither
+     partition coalescing nor a retry nor column pruning can change it,
+  3. rows are numbered inside their bucket, and the running total of the earlier buckets' counts (one row per
+     bucket, a bounded table) is added.
+The result equals the global ``row_number`` because buckets are ordered by key.
 """
 
 from __future__ import annotations
@@ -13,31 +14,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW33 = (1 << 33) - 1
+#: Rows of the sample per bucket: buckets of about equal size.
+SAMPLE_PER_BUCKET = 32
 
 
-def assign_dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
+def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
                      start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + (rank of the row in ``order_cols`` order) - 1.
+    """Add ``id_col`` = start + (rank of the row in ``order_cols`` order) - 1. One row out per row in.
 
     ``order_cols`` must identify a row uniquely for the ids to be deterministic across retries.
-    ``start`` may be a Column (e.g. ``max(id) + 1`` of the table being appended to).
+    ``start`` may be a Column (e.g. ``max(id) + 1`` of the table being appended to). ``df`` is read three
+    times (sample, counts, rows); cut its lineage first where that is costly.
     """
-    ordered = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-               else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
-    tagged = (ordered.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # Bounded by the number of partitions: safe to window in one task and to broadcast.
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    buckets = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*order_cols)
+    sample = sorted((r[0] for r in df.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(buckets * SAMPLE_PER_BUCKET).collect()),
+                    key=lambda k: [(x is not None, x) for x in k])  # bounded by the number of buckets; NULL sorts first, as in Spark
+    splits = [sample[i] for i in range(SAMPLE_PER_BUCKET, len(sample), SAMPLE_PER_BUCKET)]
+    types = [df.schema[c].dataType for c in order_cols]
+    literal = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(s, types, order_cols)]) for s in splits]
+    bucket = F.size(F.filter(F.array(*literal), lambda s: s <= key)) if literal else F.lit(0)
+    tagged = df.withColumn("_bucket", bucket)
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # Bounded by the number of buckets: safe to window in one task and to broadcast.
+    offsets = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)) - 1
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (tagged.withColumn("_local", local).join(F.broadcast(offsets), "_bucket", "left")
             .withColumn(id_col, (start_col + F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_pid", "_local", "_off"))
-
-
-def next_id(existing: DataFrame | None, id_col: str = "id") -> Column:
-    """``max(id) + 1`` of an existing table (1 when there is none) as a scalar subquery column."""
-    if existing is None:
-        return F.lit(1)
-    return F.lit(existing.agg(F.coalesce(F.max(id_col), F.lit(0)) + 1).first()[0])
+            .drop("_bucket", "_local", "_off"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from contractlake.functions.scalars import AS_OF, as_of_ts, py_strip
 from contractlake.operators import payload as P
 from contractlake.operators.ids import assign_dense_ids
+from contractlake.session import checkpoint_dir
 
 STAR_TABLES = ["contrato", "compania_info", "proveedores_info", "representantes", "entidades", "multas"]
 
@@ -114,6 +115,31 @@ def build_star(norm: DataFrame, as_of: str = AS_OF, starts: dict[str, int] | Non
     )
 
 
+def one_per_event(payloads: DataFrame) -> DataFrame:
+    """One payload per event id, the smallest by text: a repeated event must not become two contracts. A pre-aggregated
+    minimum, so an id that holds a large share of the rows doesn't land in one task."""
+    return payloads.groupBy("event_id").agg(F.min("payload").alias("payload"))
+
+
+def publish(star: Star, location: str, batch_id: int | None = None) -> Star:
+    """Write the six tables and the rejects as Parquet below ``location`` and return them read back, so that reports
+    scan them with pushed filters and pruned columns. With ``batch_id`` each table's partition of that batch is
+    replaced: writing a batch again changes nothing."""
+    out = {}
+    for name, df in {**star.tables(), "rejected": star.rejected}.items():
+        path = f"{location.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path if batch_id is None else f"{path}/batch_id={batch_id}")
+        out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Star(**out)
+
+
+def write_star(payloads: DataFrame, location: str, as_of: str = AS_OF) -> Star:
+    """A6 as one batch: payload rows (event_id, payload) -> one per event -> normalized once -> published tables."""
+    checkpoint_dir(payloads.sparkSession)
+    norm = P.normalize_payloads(one_per_event(payloads)).checkpoint(eager=True)
+    return publish(build_star(norm, as_of), location)
+
+
 def rejected_contracts(norm: DataFrame) -> DataFrame:
     """K7 / K8 contract-level rejects with their first failing rule."""
     return P.rejected(norm).select("event_id", "reason")

@@ -6,6 +6,7 @@ over them whole. Names follow SURVEY §2.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +33,15 @@ def register(name: str, sql: str | None):
 
 # Plans are rebuilt per call but the (costly to build) normalized frame is cached per session
 # and input folder: a DataFrame is an immutable plan, so sharing it is safe.
-_NORM_CACHE: dict[tuple[int, str], DataFrame] = {}
+_NORM_CACHE: dict[tuple[str, str], DataFrame] = {}
+_STAR_CACHE: dict[tuple[str, str], ST.Star] = {}
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized payloads, computed once and cut from their lineage with a reliable checkpoint in
     the cluster's ``spark.checkpoint.dir`` (survives executor loss; the six star tables and all
     reports read it instead of re-parsing every payload)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _NORM_CACHE:
         checkpoint_dir(spark)
         _NORM_CACHE[key] = P.normalize_payloads(fx.payload_docs(spark, sf_dir)).checkpoint(eager=True)
@@ -47,7 +49,12 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> ST.Star:
-    return ST.build_star(normalized(spark, sf_dir))
+    """The star, published once per session and input folder; every report scans the published tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAR_CACHE:
+        norm = normalized(spark, sf_dir)
+        _STAR_CACHE[key] = ST.publish(ST.build_star(norm), f"{checkpoint_dir(spark).rstrip('/')}/star-{uuid.uuid4().hex}")
+    return _STAR_CACHE[key]
 
 
 DA = fx.date_amount_sql("duckdb")
@@ -506,15 +513,14 @@ LLS = fx.labeled_lines_sql("duckdb")
 
 def _x(field: str) -> str:
     rx = X.LABEL_RX
-    return (f"arg_min(regexp_extract(line, '{rx}', 2), page_no * 1000000000 + line_no) "
+    return (f"arg_min(regexp_extract(line, '{rx}', 2), CAST(page_no AS BIGINT) * 1000000000 + line_no) "
             f"FILTER (WHERE lower(regexp_extract(line, '{rx}', 1)) = '{[k for k, v in X.LABEL_FIELDS.items() if v == field][0]}')")
 
 
 @register("extract_fields", f"""SELECT doc_id, {_x('tipo_contrato')} AS tipo_contrato, {_x('fecha_inicio')} AS fecha_inicio,
     {_x('monto_total')} AS monto_total,
     TRY_CAST(NULLIF(regexp_extract({_x('termino_anticipado_plazo_dias')}, '(\\d+)', 1), '') AS INTEGER) AS termino_anticipado_plazo_dias
-  FROM ({LLS}) l WHERE lower(regexp_extract(line, '{X.LABEL_RX}', 1)) IN ({', '.join(O.q(k) for k in X.LABEL_FIELDS)})
-  GROUP BY doc_id""")
+  FROM ({LLS}) l GROUP BY doc_id""")
 def q_extract_fields(spark, sf):
     """C19 (re-aimed): rule-based extraction of contract fields from page lines."""
     return X.extract_fields(fx.labeled_lines(spark, sf))
@@ -611,47 +617,36 @@ def q_duplicate_keys(spark, sf):
     return QL.duplicate_keys(star(spark, sf).compania_info, "rut")
 
 
-@register("describe_columns", None)
-def q_describe_columns(spark, sf):
-    """K3: column catalogue of the published star (rows-only check)."""
-    s = star(spark, sf)
-    out = None
-    for t, df in s.tables().items():
-        one = QL.describe_columns(spark, t, SCH.conform(df, SCH.STAR_A[t]).schema)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 def change_rows(s):
-    """Updates to published contracts (FIXTURES §3.5): a text update, a soft delete and a
-    metadata-only update, by id residue."""
+    """Updates to published contracts (FIXTURES §3.5): a text update, a later update of the same column to NULL, a soft
+    delete and a metadata-only update, by id residue; a contract can have all of them."""
     c = s.contrato.select("id")
-    t = lambda d: F.to_timestamp_ntz(F.lit(d))
-    a = c.filter(F.col("id") % 7 == 0).select("id", F.array(F.lit("descripcion")).alias("set_cols"),
-                                              F.concat(F.lit("Actualizado "), F.col("id").cast("string")).alias("descripcion"),
-                                              F.lit(None).cast("boolean").alias("is_active"), t("2026-01-02 00:00:00").alias("changed_at"))
-    b = c.filter(F.col("id") % 11 == 0).select("id", F.array(F.lit("is_active")).alias("set_cols"),
-                                               F.lit(None).cast("string").alias("descripcion"), F.lit(False).alias("is_active"),
-                                               t("2026-01-03 00:00:00").alias("changed_at"))
-    m = c.filter(F.col("id") % 13 == 0).select("id", F.array(F.lit("numero_pagina")).alias("set_cols"),
-                                               F.lit(None).cast("string").alias("descripcion"),
-                                               F.lit(None).cast("boolean").alias("is_active"), t("2026-01-04 00:00:00").alias("changed_at"))
-    return a.unionByName(b).unionByName(m)
+
+    def one(modulus, col, at, text=None, active=None):
+        return c.filter(F.col("id") % modulus == 0).select(
+            "id", F.array(F.lit(col)).alias("set_cols"), (text if text is not None else F.lit(None)).cast("string").alias("descripcion"),
+            F.lit(active).cast("boolean").alias("is_active"), F.to_timestamp_ntz(F.lit(at)).alias("changed_at"))
+    return (one(7, "descripcion", "2026-01-02 00:00:00", F.concat(F.lit("Actualizado "), F.col("id").cast("string")))
+            .unionByName(one(14, "descripcion", "2026-01-09 00:00:00"))
+            .unionByName(one(11, "is_active", "2026-01-03 00:00:00", active=False))
+            .unionByName(one(13, "numero_pagina", "2026-01-04 00:00:00")))
 
 
 CHANGES_SQL = """SELECT id, ['descripcion'] AS set_cols, 'Actualizado ' || CAST(id AS VARCHAR) AS descripcion,
     CAST(NULL AS BOOLEAN) AS is_active, TIMESTAMP '2026-01-02 00:00:00' AS changed_at FROM t_contrato WHERE id % 7 = 0
+  UNION ALL SELECT id, ['descripcion'], NULL, NULL, TIMESTAMP '2026-01-09 00:00:00' FROM t_contrato WHERE id % 14 = 0
   UNION ALL SELECT id, ['is_active'], NULL, false, TIMESTAMP '2026-01-03 00:00:00' FROM t_contrato WHERE id % 11 = 0
   UNION ALL SELECT id, ['numero_pagina'], NULL, NULL, TIMESTAMP '2026-01-04 00:00:00' FROM t_contrato WHERE id % 13 = 0"""
-COMB_SQL = f"""SELECT id, list_sort(list_distinct(flatten(list(set_cols)))) AS set_cols, max(changed_at) AS changed_at,
-    arg_max(descripcion, changed_at) FILTER (WHERE descripcion IS NOT NULL) AS descripcion,
-    arg_max(is_active, changed_at) FILTER (WHERE is_active IS NOT NULL) AS is_active
+COMB_SQL = f"""SELECT id, list_sort(list_distinct(flatten(list(set_cols)))) AS set_cols, max(changed_at) AS changed_at
   FROM ({CHANGES_SQL}) ch GROUP BY id"""
-APPLIED_SQL = f"""SELECT t.id,
-    CASE WHEN c.id IS NOT NULL AND list_contains(c.set_cols, 'descripcion') THEN c.descripcion ELSE t.descripcion END AS descripcion,
-    CASE WHEN c.id IS NOT NULL AND list_contains(c.set_cols, 'is_active') THEN c.is_active ELSE t.is_active END AS is_active,
-    CASE WHEN c.id IS NOT NULL THEN c.changed_at ELSE t.updated_at END AS updated_at
-  FROM t_contrato t LEFT JOIN ({COMB_SQL}) c ON c.id = t.id"""
+# written per residue, not as a fold over changes: what the contract must look like in the end
+APPLIED_SQL = """SELECT t.id,
+    CASE WHEN id % 14 = 0 THEN NULL WHEN id % 7 = 0 THEN 'Actualizado ' || CAST(id AS VARCHAR) ELSE descripcion END AS descripcion,
+    CASE WHEN id % 11 = 0 THEN false ELSE is_active END AS is_active,
+    CASE WHEN id % 14 = 0 THEN TIMESTAMP '2026-01-09 00:00:00' WHEN id % 13 = 0 THEN TIMESTAMP '2026-01-04 00:00:00'
+         WHEN id % 11 = 0 THEN TIMESTAMP '2026-01-03 00:00:00' WHEN id % 7 = 0 THEN TIMESTAMP '2026-01-02 00:00:00'
+         ELSE updated_at END AS updated_at
+  FROM t_contrato t"""
 
 
 def applied(spark, sf):
@@ -684,3 +679,28 @@ def q_touch_on_metadata(spark, sf):
 def q_soft_delete(spark, sf):
     """L4: rows soft-deleted by the change set (kept, inactive)."""
     return applied(spark, sf).filter(~F.col("is_active")).select("id")
+
+
+@register("touch_on_metadata_applied", _sq("""SELECT id, CASE WHEN id % 13 = 0 THEN TIMESTAMP '2026-01-04 00:00:00' ELSE updated_at END AS updated_at
+  FROM t_contrato"""))
+def q_touch_on_metadata_applied(spark, sf):
+    """L3: the changes applied, with updated_at stamped by updates of a metadata column only."""
+    s = star(spark, sf)
+    return CH.apply_changes(s.contrato, change_rows(s), meta_only=True).select("id", "updated_at")
+
+
+@register("soft_delete_keys", _sq("""SELECT id, id % 11 <> 0 AND is_active AS is_active,
+    CASE WHEN id % 11 = 0 THEN TIMESTAMP '2026-01-03 00:00:00' ELSE updated_at END AS updated_at FROM t_contrato"""))
+def q_soft_delete_keys(spark, sf):
+    """L4: contracts marked inactive by key; the rows are kept."""
+    c = star(spark, sf).contrato
+    at = F.to_timestamp_ntz(F.lit("2026-01-03 00:00:00"))
+    return CH.soft_delete(c, c.filter(F.col("id") % 11 == 0), at).select("id", "is_active", "updated_at")
+
+
+@register("contracts_by_type_after_changes", _sq(f"""SELECT t.tipo_contrato, t.tipo_servicio, count(*) AS contracts,
+    CAST(sum(t.monto_total) AS DECIMAL(38,2)) AS total_amount
+  FROM t_contrato t JOIN ({APPLIED_SQL}) a ON a.id = t.id WHERE a.is_active GROUP BY ALL"""))
+def q_contracts_by_type_after_changes(spark, sf):
+    """M1 + B9 over the changed version: soft-deleted contracts are left out."""
+    return A.contracts_by_type(applied(spark, sf))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator depends on. They are applied to an existing session too,
 # because the driver may hand us its own session.
@@ -47,15 +48,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a fresh scratch folder is set.
+    A session on one machine (``local`` or ``local[n]``, as in tests) that names none gets a fresh scratch folder;
+    anywhere else a missing setting is an error, as a machine-local folder would be lost with its executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="contractlake-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    else:
-        spark.sparkContext.setCheckpointDir(d)
+    spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a Parquet table to the shared folder and read back: scans of it can push filters and prune
+    columns, and nothing is recomputed when an executor is lost."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,8 +4,8 @@ The stream is a thin wrapper: every micro-batch runs the batch operators inside
 ``foreachBatch``. Exactly-forever de-duplication (J1) uses the marker *table*, not operator
 state: markers never expire, so bounded watermark state could not express it. Within one batch
 the gate keeps only the first passing delivery per id (T25). Markers are written before the
-work (J2, the reference's at-most-once); ``mark_after=True`` writes them after the star tables
-instead, so a failed batch is retried on restart.
+work (J2); ``mark_after=True`` writes them after the star tables instead. Either way a batch that failed and
+runs again replaces its own partitions (see ``StarSink``).
 
 All tables are Parquet folders under ``out_dir`` (a shared location on a cluster); the stream's
 checkpoint lives under ``spark.checkpoint.dir``.
@@ -13,9 +13,10 @@ checkpoint lives under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,15 +43,23 @@ def event_source(spark: SparkSession, path: str, fmt: str = "parquet", max_files
     return r.load(path)
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    if os.path.exists(path) and any(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The table at ``path`` (any file system Spark reads), or no rows if it was never written."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 @dataclass
 class StarSink:
-    """Where one pipeline instance keeps its tables."""
+    """Where one pipeline instance keeps its tables: Parquet folders with one partition per ``batch_id``.
+
+    A batch reads only what earlier batches wrote and replaces its own partitions, so a batch that failed anywhere
+    and runs again gives the tables it would have given at first. ``commits`` is written last.
+    """
     out_dir: str
     payloads: DataFrame          # (event_id, payload): extractor output, looked up per event (A3)
     as_of: str = AS_OF
@@ -59,37 +68,45 @@ class StarSink:
     def path(self, name: str) -> str:
         return f"{self.out_dir}/{name}"
 
+    def earlier(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame:
+        return _read_or_empty(spark, self.path(name), f"{schema}, batch_id bigint").filter(F.col("batch_id") < batch_id)
+
+    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
+
+    def committed(self, spark: SparkSession, name: str, schema: str) -> DataFrame:
+        """Rows of ``name`` from whole batches only."""
+        done = _read_or_empty(spark, self.path("commits"), "last_id bigint, table_name string, batch_id bigint").select("batch_id").distinct()
+        return _read_or_empty(spark, self.path(name), f"{schema}, batch_id bigint").join(done, "batch_id", "left_semi")
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch through gate, markers, payload lookup, normalization and the star."""
         spark = batch.sparkSession
-        markers = _read_or_empty(spark, self.path("processed_events"), MARKER_SCHEMA)
-        # Snapshot the gate decisions before any marker is written: a lazy plan re-evaluated after
-        # the marker append would see this batch's own markers. A reliable checkpoint (not a cache)
-        # also survives executor loss.
+        checkpoint_dir(spark)
+        markers = self.earlier(spark, "processed_events", MARKER_SCHEMA, batch_id).select("event_id")
+        # A reliable checkpoint: the decisions are read several times and survive executor loss.
         gated = G.gate_events(batch, markers).checkpoint(eager=True)
-        new_markers = G.mark_processed(gated, markers, self.as_of)
+        new_markers = G.mark_processed(gated, None, self.as_of)  # what passed isn't marked yet
         if not self.mark_after:
-            new_markers.write.mode("append").parquet(self.path("processed_events"))
+            self.write(new_markers, "processed_events", batch_id)
         passing = gated.filter(F.col("status") == "pass").select("event_id")
         found = passing.join(self.payloads, "event_id", "left")
-        norm = P.normalize_payloads(found.filter(F.col("payload").isNotNull()))
-        starts = {}
-        for t in ST.STAR_TABLES:
-            prev = _read_or_empty(spark, self.path(t), "id bigint")
-            starts[t] = int(prev.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]) + 1
-        star = ST.build_star(norm, self.as_of, starts)
-        for t, df in star.tables().items():
-            df.write.mode("append").parquet(self.path(t))
-        statuses = (gated.select("event_id", "event_time", "copies", "status", "reason")
-                    .withColumn("batch_id", F.lit(batch_id)))
+        norm = P.normalize_payloads(ST.one_per_event(found.filter(F.col("payload").isNotNull()))).checkpoint(eager=True)
+        last = self.earlier(spark, "commits", "last_id bigint, table_name string", batch_id).groupBy("table_name").agg(F.max("last_id").alias("last_id"))
+        last_ids = {r["table_name"]: r["last_id"] for r in last.collect()}  # six rows
+        star = ST.publish(ST.build_star(norm, self.as_of, {t: last_ids.get(t, 0) + 1 for t in ST.STAR_TABLES}), self.out_dir, batch_id)
+        statuses = gated.select("event_id", "event_time", "copies", "status", "reason")
         missing = (found.filter(F.col("payload").isNull())
                    .select("event_id", F.lit("error").alias("status2"), F.lit("failed to load json").alias("reason2")))
         statuses = (statuses.join(missing, "event_id", "left")
                     .withColumn("status", F.coalesce("status2", "status"))
                     .withColumn("reason", F.coalesce("reason2", "reason")).drop("status2", "reason2"))
-        statuses.write.mode("append").parquet(self.path("event_status"))
+        self.write(statuses, "event_status", batch_id)
         if self.mark_after:
-            new_markers.write.mode("append").parquet(self.path("processed_events"))
+            self.write(new_markers, "processed_events", batch_id)
+        written = [spark.read.parquet(f"{self.path(t)}/batch_id={batch_id}").agg(F.max("id").alias("last_id"))
+                   .select(F.coalesce("last_id", F.lit(last_ids.get(t, 0)).cast("bigint")).alias("last_id"), F.lit(t).alias("table_name")) for t in star.tables()]
+        self.write(reduce(DataFrame.unionByName, written).coalesce(1), "commits", batch_id)
 
 
 def run_stream(spark: SparkSession, events_dir: str, sink: StarSink, query_name: str = "event_to_star",
@@ -100,8 +117,3 @@ def run_stream(spark: SparkSession, events_dir: str, sink: StarSink, query_name:
          .foreachBatch(sink.process_batch).option("checkpointLocation", ckpt).queryName(query_name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
-
-
-def dedupe_within_watermark(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Bounded-state alternative to J1 (opt-in, weaker: forgets ids after the watermark)."""
-    return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])

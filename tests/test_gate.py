@@ -43,3 +43,20 @@ def test_repeats_in_batch(spark):
     assert out == [("x", 0, "pass", None, 1), ("x", 0, "skipped", "already processed", 1),
                    ("x", 5, "skipped", "already processed", 1),
                    ("y", 0, "skipped", "not a blob event", 1), ("y", 3, "pass", None, 1)]   # T25
+
+
+def test_null_event_type_is_skipped_and_hot_ids_match(spark, monkeypatch):
+    url = "https://acct.blob.core.windows.net/docs/c.pdf"
+    rows = [ev("n", url, typ=None), (None, "Microsoft.Storage.BlobCreated", "s", url, T0)]
+    rows += [ev("hot", url, minute=i) for i in range(300)] + [ev(f"c{i}", url, minute=i) for i in range(100)] + [ev("m", url, minute=i) for i in range(50)]
+    df = spark.createDataFrame(rows, "event_id string, event_type string, subject string, url string, event_time timestamp_ntz")
+    markers = spark.createDataFrame([("m",), ("m",)], "event_id string")
+    plain = G.gate_events(df, markers).collect()
+    monkeypatch.setattr(G, "HOT_DELIVERIES", 20)
+    monkeypatch.setattr(G, "HOT_SHARE", 0.0)
+    split = G.gate_events(df, markers).collect()
+    assert sorted(map(repr, plain)) == sorted(map(repr, split)) and len(plain) == len(rows)
+    out = {(r.event_id, r.event_time): r for r in split}
+    assert out["n", T0].reason == "not a blob event"
+    assert [r.event_time for r in split if r.event_id == "hot" and r.status == "pass"] == [T0]
+    assert all(r.reason == "already processed" for r in split if r.event_id == "m")
