@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contractlake.llm.stage import saved
 from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, held_out, labelled_sample
 
 KINDS, BITS, DIM, EPOCHS, BATCH, RATE, SEED = 4, 17, 8, 6, 32, 0.3, 7
@@ -83,7 +84,7 @@ def train(docs: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
     rng = np.random.default_rng(SEED)
     back = np.arange(len(docs)) % CALIBRATION == 0 if min(np.bincount(y)) >= 10 * CALIBRATION else np.zeros(len(docs), dtype=bool)
     learn = np.flatnonzero(~back)
-    vectors, layer, bias = rng.standard_normal((1 << BITS, DIM)) / DIM, rng.standard_normal((DIM, 2)) / DIM, np.zeros(2)
+    vectors, layer, bias = rng.standard_normal((1 << BITS, DIM), dtype=np.float32) / DIM, rng.standard_normal((DIM, 2)) / DIM, np.zeros(2)
     seen = [np.full_like(x, 1e-6) for x in (vectors, layer, bias)]
 
     def step(x: np.ndarray, so_far: np.ndarray, slope: np.ndarray, rows=slice(None)) -> None:
@@ -135,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                 pa.array([x.astype(np.float32).tobytes() for x in np.split(share, cut)])], names=["y", "ids", "share"])
 
     own = docs.select(id_col, F.col(text_col).cast("binary").alias("_bytes")).join(F.broadcast(sample), id_col)  # TRAIN_ROWS rows at most
-    rows = own.select("y", "_bytes").mapInArrow(count, "y int, ids binary, share binary").collect()
+    rows = saved(own.select("y", "_bytes").mapInArrow(count, "y int, ids binary, share binary"), "quality-sample").toLocalIterator()
     rows = sorted((r["y"], bytes(r["ids"]), bytes(r["share"])) for r in rows if r["ids"])
     return train([(y, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for y, i, s in rows])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes worked on at a time; longer texts are read in pieces that end at white space where there is some.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, dtype=bool)

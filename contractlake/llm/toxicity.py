@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contractlake.llm.stage import saved
 from contractlake.llm.text_features import LETTER, LOWER, Chunk, chunks, held_out, labelled_sample
 
 BITS, SEED = 22, 11
-#: Labelled documents that entries are picked from, and documents the label model and the classifier learn from, at most.
-LABELLED_ROWS, SAMPLE_ROWS = 8000, 8000
+#: Labelled documents that entries are picked from, and all documents the label model and the classifier learn from, at most.
+LABELLED_ROWS, SAMPLE_ROWS = 8000, 9000
 #: An entry needs so many toxic documents and so large a share of them, not counting near copies, and so large a log odds ratio.
 ENTRY_DOCS, ENTRY_SHARE, ENTRY_ODDS, ENTRIES, LEXICONS = 4, 0.012, 2.8, 4000, 6
 PREFIXES = (4, 5, 6)
@@ -76,22 +77,26 @@ def pattern_votes(text: bytes) -> list[int]:
             1 if hits and SHOUT.search(text) else 0]
 
 
+def tally(rows: list[np.ndarray], weights: np.ndarray | None = None) -> np.ndarray:
+    """How many rows have each feature, or the sum of their weights."""
+    total = np.zeros((1 + len(PREFIXES)) << BITS, dtype=np.float32)
+    for k, feats in enumerate(rows):
+        total[feats] += 1 if weights is None else weights[k]
+    return total
+
+
 def pick_entries(rows: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
     """Lexicons: features that are much more frequent in toxic documents, dealt to LEXICONS lists of each kind by rank."""
     sketch = {(y, *f[:3].tolist()): (y, f) for y, f in reversed(rows) if len(f)}  # near copies share their smallest hashes
-    rows = list(sketch.values())
-    toxic, clean = (np.concatenate([f for y, f in rows if y == k] or [np.empty(0, dtype=np.int64)]) for k in (1, 0))
-    n1, n0 = (sum(y == k for y, _ in rows) for k in (1, 0))
-    names, count = np.unique(toxic, return_counts=True)
-    other = np.zeros(len(names), dtype=np.int64)
-    have, times = np.unique(clean, return_counts=True)
-    place = np.searchsorted(have, names)
-    found = (place < len(have)) & (have[np.minimum(place, max(len(have) - 1, 0))] == names) if len(have) else np.zeros(len(names), dtype=bool)
-    other[found] = times[place[found]]
+    toxic, clean = ([f for y, f in sketch.values() if y == k] for k in (1, 0))
+    n1, n0 = len(toxic), len(clean)
+    count, other = tally(toxic), tally(clean)
+    names = np.flatnonzero(count >= max(ENTRY_DOCS, ENTRY_SHARE * n1))
+    count, other = count[names], other[names]
     odds = np.log((count + 0.5) / (n1 + 1)) - np.log((other + 0.5) / (n0 + 1))
     lists = []
     for kind in range(1 + len(PREFIXES)):
-        good = np.flatnonzero((names >> BITS == kind) & (count >= max(ENTRY_DOCS, ENTRY_SHARE * n1)) & (odds >= ENTRY_ODDS))
+        good = np.flatnonzero((names >> BITS == kind) & (odds >= ENTRY_ODDS))
         good = good[np.lexsort((names[good], -(odds * np.sqrt(count))[good]))][:ENTRIES]
         lists += [np.sort(names[good[k::LEXICONS]]) for k in range(LEXICONS) if len(good) > k]
     return lists
@@ -187,17 +192,16 @@ def _matches(texts: pa.Array, names: np.ndarray) -> Iterator[np.ndarray]:
 def classifier(rows: list[np.ndarray], p: np.ndarray) -> Model:
     """Linear model on feature sets and posterior labels. Features that tell the classes apart take part."""
     n1, n0 = p.sum() + 1, (1 - p).sum() + 1
-    names, place = np.unique(np.concatenate(rows), return_inverse=True) if rows else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
-    if not len(names):
-        return Model(names, np.empty(0), float(np.log(n1 / n0)) if rows else -50.0)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    seen, toxic = np.bincount(place), np.bincount(place, weights=p[doc])
-    rate = n1 / (n1 + n0)
-    clear = (toxic - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 1e-9)
-    keep = (np.abs(clear) > 4) & (seen >= 3)
-    new = np.cumsum(keep) - 1
-    lists = [new[x][keep[x]].astype(np.int64) for x in np.split(place, np.cumsum([len(r) for r in rows])[:-1])]
-    rng, weights, bias = np.random.default_rng(SEED), np.zeros(keep.sum()), float(np.log(n1 / n0))
+    if not any(len(r) for r in rows):
+        return Model(np.empty(0, dtype=np.int64), np.empty(0), float(np.log(n1 / n0)) if rows else -50.0)
+    seen, toxic, rate = tally(rows), tally(rows, p), n1 / (n1 + n0)
+    names = np.flatnonzero(seen >= 3)
+    seen, toxic = seen[names], toxic[names]
+    names = names[np.abs(toxic - seen * rate) > 4 * np.sqrt(seen * rate * (1 - rate))]
+    place = np.full((1 + len(PREFIXES)) << BITS, -1, dtype=np.int32)
+    place[names] = np.arange(len(names))
+    lists = [x[x >= 0] for x in (place[r] for r in rows)]
+    rng, weights, bias = np.random.default_rng(SEED), np.zeros(len(names)), float(np.log(n1 / n0))
     past, past_bias = np.full(len(weights), 1e-3), 1e-3
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
@@ -211,7 +215,7 @@ def classifier(rows: list[np.ndarray], p: np.ndarray) -> Model:
             weights -= RATE * slope / np.sqrt(past)
             past_bias += miss.sum() ** 2
             bias -= RATE * miss.sum() / np.sqrt(past_bias)
-    return Model(names[keep], weights, bias)
+    return Model(names, weights, bias)
 
 
 def _feature_rows(docs: DataFrame, text_col: str) -> list:
@@ -223,18 +227,18 @@ def _feature_rows(docs: DataFrame, text_col: str) -> list:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(np.int32).tobytes() for f in feats], pa.binary()),
                                               pa.array(votes, pa.list_(pa.int8()))], names=["y", "feats", "votes"])
 
-    found = docs.select("y", F.col(text_col).cast("binary").alias("_bytes")).mapInArrow(run, "y int, feats binary, votes array<tinyint>").collect()
-    rows = sorted((-1 if r["y"] is None else r["y"], bytes(r["feats"]), list(r["votes"])) for r in found)
-    return [(y, np.frombuffer(f, np.int32).astype(np.int64), v) for y, f, v in rows]
+    found = saved(docs.select("y", F.col(text_col).cast("binary").alias("_bytes")).mapInArrow(run, "y int, feats binary, votes array<tinyint>"), "toxicity-sample")
+    rows = sorted((-1 if r["y"] is None else r["y"], bytes(r["feats"]), list(r["votes"])) for r in found.toLocalIterator())
+    return [(y, np.frombuffer(f, np.int32), v) for y, f, v in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Voters from labelled documents, label model and classifier from these and as many again without a look at labels."""
+    """Voters from labelled documents, label model and classifier from these and some more documents."""
     known = labelled_sample(labels, label_col, LABELLED_ROWS, id_col)
     picked = (docs.where(~held_out(id_col) & F.col(id_col).isNotNull()).select(id_col).distinct()
-              .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS - LABELLED_ROWS // 2))
+              .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS - LABELLED_ROWS))
     sample = known.union(picked.join(known, id_col, "left_anti").select(id_col, F.lit(None).cast("int"))).select(id_col, "y")
-    rows = _feature_rows(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col)  # LABELLED_ROWS + SAMPLE_ROWS rows at most
+    rows = _feature_rows(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col)  # SAMPLE_ROWS rows at most
     labelled = [(y, f) for y, f, _ in rows if y >= 0]
     lexicons = pick_entries(labelled) if any(y == 1 for y, _ in labelled) else []
     feats = [f for _, f, _ in rows]
