@@ -704,3 +704,27 @@ def q_soft_delete_keys(spark, sf):
 def q_contracts_by_type_after_changes(spark, sf):
     """M1 + B9 over the changed version: soft-deleted contracts are left out."""
     return A.contracts_by_type(applied(spark, sf))
+
+
+NEW_REPS_SQL = """SELECT contrato_id, id AS pos, CASE WHEN id % 5 = 0 THEN '  ' ELSE nombre END AS nombre,
+    CASE WHEN id % 4 = 0 THEN 'N' || CAST(id AS VARCHAR) ELSE cedula_de_identidad END AS cedula_de_identidad FROM t_representantes
+  UNION ALL SELECT contrato_id, id + 1000000000, 'otro', cedula_de_identidad FROM t_representantes"""
+
+
+@register("resolved_representatives", _sq(f"""SELECT contrato_id, pos, nombre, cedula_de_identidad, existing_id IS NOT NULL AS reused,
+    CAST(coalesce(existing_id, 999999 + row_number() OVER (PARTITION BY existing_id IS NULL ORDER BY contrato_id, pos)) AS BIGINT) AS id
+  FROM (SELECT f.*, a.existing_id
+        FROM (SELECT * FROM ({NEW_REPS_SQL}) n WHERE {O.strip('nombre')} <> '' AND {O.strip('cedula_de_identidad')} <> ''
+              QUALIFY row_number() OVER (PARTITION BY contrato_id, cedula_de_identidad ORDER BY pos) = 1) f
+        LEFT JOIN (SELECT contrato_id, cedula_de_identidad, min(id) AS existing_id FROM t_representantes WHERE id % 3 <> 0 GROUP BY ALL) a
+          ON a.contrato_id = f.contrato_id AND a.cedula_de_identidad = f.cedula_de_identidad) j"""))
+def q_resolved_representatives(spark, sf):
+    """B8 + G2 + E2: valid representatives, the first per national id, with the id of an active one reused."""
+    r = star(spark, sf).representantes
+    text = F.col("id").cast("string")
+    new = r.select("contrato_id", F.col("id").alias("pos"), F.when(F.col("id") % 5 == 0, "  ").otherwise(F.col("nombre")).alias("nombre"),
+                   F.when(F.col("id") % 4 == 0, F.concat(F.lit("N"), text)).otherwise(F.col("cedula_de_identidad")).alias("cedula_de_identidad"))
+    again = r.select("contrato_id", (F.col("id") + 1000000000).alias("pos"), F.lit("otro").alias("nombre"), "cedula_de_identidad")
+    existing = r.withColumn("is_active", F.col("id") % 3 != 0)
+    return (ST.resolve_existing_reps(new.unionByName(again), existing, 1000000)
+            .select("contrato_id", "pos", "nombre", "cedula_de_identidad", "reused", "id"))
