@@ -228,9 +228,3 @@ def default_national_id(nombre: Column, role: Column, as_of: str = AS_OF) -> Col
 def bounded_preview(c: Column) -> Column:
     """First 500 characters kept for diagnosis."""
     return F.left(c, F.lit(PREVIEW_CHARS))
-
-
-def word_count(text: Column) -> Column:
-    """D14 words: whitespace-separated tokens of the trimmed text (0 for empty)."""
-    t = py_strip(F.coalesce(text, F.lit("")))
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, rf"{PY_SPACE}+")))

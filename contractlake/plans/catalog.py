@@ -728,3 +728,11 @@ def q_resolved_representatives(spark, sf):
     existing = r.withColumn("is_active", F.col("id") % 3 != 0)
     return (ST.resolve_existing_reps(new.unionByName(again), existing, 1000000)
             .select("contrato_id", "pos", "nombre", "cedula_de_identidad", "reused", "id"))
+
+
+@register("default_national_id", _sq(f"""SELECT id, 'DEFAULT-' || left(array_to_string(list_slice(regexp_split_to_array({O.strip('nombre')}, '{WSP}'), 1, 2), ''), 10)
+    || '-Cliente-' || strftime(TIMESTAMP '{AS_OF}', '%Y%m%d%H%M%S') AS national_id FROM t_representantes"""))
+def q_default_national_id(spark, sf):
+    """The id that a representative without a national id is given."""
+    r = star(spark, sf).representantes
+    return r.select("id", S.default_national_id(F.col("nombre"), F.lit("Cliente")).alias("national_id"))
