@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.components import connected_components
@@ -226,24 +226,38 @@ def near_links(prints: DataFrame, budget: int) -> DataFrame:
     return work.select("a", "b", "fa", "fb").mapInArrow(run, "src long, dst long")
 
 
-def simhash_groups(docs: DataFrame, words_per_shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fingerprint as 16 hex digits, component_id: the smallest id that links reach), one per input row."""
-    own = saved(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
+def named_leaves(own: DataFrame, budget: int, id_col: str) -> DataFrame:
+    """Rows (fp, least: its smallest id, root: a fingerprint that stands for the component, component_id), one per distinct fingerprint of ``own``."""
     leaves = saved(own.groupBy("fp").agg(F.min(id_col).alias("least")), "leaves")
     roots = connected_components(near_links(leaves.select("fp"), budget))
     linked = saved(leaves.join(roots, leaves["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "linked")
     names = saved(linked.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    by_print = saved(linked.join(names, "root").select("fp", "component_id"), "components")
+    return linked.join(names, "root")
+
+
+def simhash_groups(docs: DataFrame, words_per_shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, fingerprint as 16 hex digits, component_id: the smallest id that links reach), one per input row."""
+    own = saved(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
+    by_print = saved(named_leaves(own, budget, id_col).select("fp", "component_id"), "components")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return own.join(by_print, "fp").select(id_col, digits.alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose id names its component; rows that repeat an id are one document (the first by
-    text stays), rows without an id stay."""
-    named = simhash_groups(docs, words_per_shingle, budget, id_col, text_col).where(F.col(id_col) == F.col("component_id"))
-    kept = saved(named.select(F.col(id_col).alias("_kept_id")).distinct(), "kept")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    with_id = docs.where(F.col(id_col).isNotNull()).join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
-    once = with_id.select("*", first.alias("_row_of_id")).where(F.col("_row_of_id") == 1).drop("_row_of_id")
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    """One row, all columns, of each component: the first by id, rows without an id last, then by text, then by the other columns
+    as JSON. Rows are told apart by their fingerprint, not by their id: an id whose texts are in several components stays for each
+    of them that it is the smallest id of."""
+    @F.arrow_udf("long")
+    def print_of(texts: pa.Array) -> pa.Array:
+        prints = b"".join(fingerprint(v.as_py() or b"", words_per_shingle) for v in texts)
+        return pa.array(np.frombuffer(prints, ">i8").astype(np.int64))
+
+    printed = saved(docs.withColumn("_fp", print_of(F.col(text_col).cast("binary"))), "printed")  # the fingerprint goes with its row: ids repeat
+    named = named_leaves(printed.select(id_col, F.col("_fp").alias("fp")), budget, id_col)
+    first = saved(named.where(F.col("least").eqNullSafe(F.col("component_id")))
+                  .select(F.col("fp").alias("_first_fp"), F.col("component_id").alias("_first_id"), F.col("root").alias("_root")), "first")
+    may_stay = printed.join(first, (printed["_fp"] == first["_first_fp"]) & printed[id_col].eqNullSafe(first["_first_id"]))
+    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+    order = F.struct(F.col(text_col), *([F.to_json(F.struct(*others))] if others else []))
+    once = may_stay.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))  # before the exchange, each part keeps a row per component
+    return once.select("_row.*")
