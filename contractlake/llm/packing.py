@@ -5,8 +5,8 @@ with k buckets, every document is padded to the longest length of its bucket, an
 less. Inside each bucket documents are numbered without gaps and cut into batches of as many documents as the token
 budget holds at the bucket's padded length (one, if a single document is over the budget: nothing is cut or dropped).
 
-Lengths up to ``EXACT_LENGTH`` have a histogram cell each, longer ones are rounded up to 1/128 of their power of two, so the
-histogram is bounded (some thousand cells) whatever the corpus; boundaries are optimal for these padded lengths.
+The histogram has a cell for each distinct length, rounded nowhere: it grows with the distinct lengths (n tokens in all have about
+sqrt(2 n) of them at most), not with the rows, and the dynamic programme takes n log n steps for each bucket, in vector steps.
 A bucket may hold a third of all rows: numbering goes by (bucket, hash part) and adds up the parts' counts.
 
 Contract: a token is a run of other than ASCII white space, a null or empty text has none and counts as length 0 (its
@@ -33,7 +33,7 @@ def tokens(text: Column) -> Column:
 
 
 def cell(length: Column) -> Column:
-    """The padded length that stands for ``length`` in the histogram: itself, or rounded up to 7 leading bits."""
+    """``length`` itself, or rounded up to 7 leading bits where it is over ``EXACT_LENGTH``. Boundaries don't use it."""
     grain = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(2)))) - 7).cast("long")
     return F.when(length <= EXACT_LENGTH, length).otherwise(F.ceil(length / grain).cast("long") * grain).cast("long")
 
@@ -48,18 +48,20 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
     best, came = length * rows[1:], []
     for _ in range(1, min(buckets, n)):
         new, start = np.empty(n), np.empty(n, dtype=np.int64)
-        jobs = [(0, n - 1, 0, n - 1)]  # (cells whose best start is sought, range it lies in): starts never move back as the end moves on
-        while jobs:
-            lo, hi, a, b = jobs.pop()
+        # of the cells lo..hi, the best start of the middle one lies in a..b: starts never move back as the end moves on. All ranges of a level at once.
+        lo, hi, a, b = (np.array([x]) for x in (0, n - 1, 0, n - 1))
+        while len(lo):
             j = (lo + hi) // 2
-            i = np.arange(a, min(b, j) + 1)
-            cost = np.where(i > 0, best[i - 1], 0.0) + length[j] * (rows[j + 1] - rows[i])
-            k = int(np.argmin(cost))
-            new[j], start[j] = cost[k], i[k]
-            if lo < j:
-                jobs.append((lo, j - 1, a, start[j]))
-            if j < hi:
-                jobs.append((j + 1, hi, start[j], b))
+            sizes = np.minimum(b, j) - a + 1
+            first = np.cumsum(sizes) - sizes
+            i = np.arange(sizes.sum()) - np.repeat(first - a, sizes)
+            end = np.repeat(j, sizes)
+            cost = np.where(i > 0, best[i - 1], 0.0) + length[end] * (rows[end + 1] - rows[i])
+            new[j] = np.minimum.reduceat(cost, first)
+            least = np.flatnonzero(cost == np.repeat(new[j], sizes))
+            start[j] = k = i[least[np.searchsorted(least, first)]]
+            left, right = lo < j, j < hi
+            lo, hi, a, b = (np.concatenate(x) for x in ((lo[left], j[right] + 1), (j[left] - 1, hi[right]), (a[left], k[right]), (k[left], b[right])))
         came.append(start)
         best = new
     ends, j = [], n - 1
@@ -73,13 +75,13 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_tokens, bucket, padded_tokens, batch, slot), one per input row. Batches are numbered inside their bucket from 0, slots inside their batch."""
-    rows = saved(docs.select(id_col, tokens(F.col(text_col)).alias("n_tokens")).withColumn("cell", cell(F.col("n_tokens"))), "lengths")
-    found = sorted(tuple(r) for r in rows.groupBy("cell").count().collect())  # bounded: the cells of the histogram
+    rows = saved(docs.select(id_col, tokens(F.col(text_col)).alias("n_tokens")), "lengths")
+    found = sorted(tuple(r) for r in rows.groupBy("n_tokens").count().collect())  # a row per distinct length
     ends = boundaries(np.array([c for c, _ in found], dtype=np.int64), np.array([n for _, n in found], dtype=np.int64), buckets)
     parts = max(1, sum(n for _, n in found) // PART_ROWS)
     bucket, padded = F.lit(None).cast("int"), F.lit(None).cast("long")
     for number, end in reversed(list(enumerate(ends))):
-        inside = F.col("cell") <= end
+        inside = F.col("n_tokens") <= end
         bucket, padded = F.when(inside, F.lit(number)).otherwise(bucket), F.when(inside, F.lit(end).cast("long")).otherwise(padded)
     placed = rows.select(id_col, "n_tokens", bucket.alias("bucket"), padded.alias("padded_tokens"), F.pmod(F.xxhash64(id_col, "n_tokens"), F.lit(parts)).alias("part"))
     before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
