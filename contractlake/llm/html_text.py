@@ -4,7 +4,9 @@ A page is a sequence of words, which score positive, and tags, which score negat
 stand: the weights are learned from labelled pages, those that mark their article themselves (``<article>``, ``<main>`` or
 the matching role), by counting how often words of a place and tags of a name lie inside and outside of it. One linear
 scan finds the contiguous region with the largest sum. Of that region the blocks that stand in menus, headers, footers,
-sidebars, notices, adverts, forms or reader comments are left out, which are known by their tags, roles, classes and ids.
+sidebars, notices, adverts, forms or reader comments are left out, which are known by their tags and roles. Classes and ids
+only make an element suspect (headings and paragraphs never): one that holds the marked article or most of the page's words
+stays, a name that also fits a section of an article counts if half of the words are links, else it only sets the words' weight.
 
 Words of a run have one weight, so the scan goes by runs. Pages are parsed as browsers would: tags may stay open, end
 tags may be missing, scripts and styles end at their own end tag only, comments that never end hide the rest.
@@ -34,9 +36,10 @@ LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 # Fixed values of the HTML standard.
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math object audio video canvas select".split())
+RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg annotation annotation-xml mphantom object audio video canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME_CLOSES = frozenset("li dt dd tr td th option thead tbody tfoot".split())
 # What page furniture is called.
@@ -51,6 +54,15 @@ FURNITURE_NAMES = frozenset(
     "form search login signup "
     "comment comments commentlist discussion disqus replies respond "
     "share sharing social follow skip".split())
+# Of these, what sections of articles are called, too; words that stand beside furniture's name in one class or id; what articles are called.
+ALSO_SECTIONS = frozenset(
+    "navigation header copyright legal colophon aside related recommended recommendations trending popular notice notices consent banner alert "
+    "subscription disclaimer promotion form search login signup discussion respond replies sharing follow skip".split())
+BESIDE = frozenset(
+    "site page global main primary secondary top bottom left right inner outer box bar list item items slot unit block area container wrapper wrap section "
+    "group panel module zone links link buttons button icons icon bars post article entry story content text title heading blog user reader "
+    "social media mobile desktop sticky fixed floating small large".split())
+CONTENT_NAMES = frozenset("content article post story entry column columns".split())
 NOT_SO = frozenset("has with no not without".split())
 OWN_ARTICLE = frozenset("html body main article".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -65,12 +77,25 @@ class Run:
     inside: bool = False  # of a marked article
 
 
+@dataclass
+class Suspect:
+    """An element whose class or id may name furniture (``sure``: surely), and what it holds outside of tags and roles of furniture."""
+    sure: bool
+    inside: bool  # of a marked article
+    within: int = -1  # the suspect around it
+    words: int = 0
+    links: int = 0
+    articles: int = 0
+
+
 @dataclass
 class Page:
     runs: list[Run] = field(default_factory=list)
     blocks: list[list[str]] = field(default_factory=list)
     furniture: list[bool] = field(default_factory=list)
     articles: int = 0
+    words: int = 0
+    suspects: dict[int, Suspect] = field(default_factory=dict)  # by the place of their tag in the source
 
 
 def is_furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -80,11 +105,29 @@ def is_furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool
         return True
     if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
+    return False
+
+
+def suspect(tag: str, attributes: dict[str, str], in_article: bool) -> Suspect | None:
+    if tag in OWN_ARTICLE or tag in HEADINGS or tag == "p":
+        return None
+    named, sure, content = False, False, False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
         parts = [p.lower() for p in NAME_PART.findall(name)]
-        if parts and parts[0] not in NOT_SO and not FURNITURE_NAMES.isdisjoint(parts):
-            return not (in_article and tag == "header" and FURNITURE_NAMES.isdisjoint(set(parts) - {"header"}))
-    return False
+        first = next((k for k, p in enumerate(parts) if p in FURNITURE_NAMES), None)
+        if first is None:
+            content |= not CONTENT_NAMES.isdisjoint(parts)
+        elif NOT_SO.isdisjoint(parts[:first]) and not (in_article and tag == "header" and FURNITURE_NAMES.isdisjoint(set(parts) - {"header"})):
+            named = True
+            sure |= FURNITURE_NAMES | BESIDE >= set(parts) and not ALSO_SECTIONS | BESIDE >= set(parts)
+    return Suspect(sure and not content, in_article) if named else None
+
+
+def is_named_furniture(found: Suspect, page: Page) -> bool:
+    """Whether a suspect is left out. One that holds a marked article never is, nor one that holds most words, unless the article is beside it."""
+    if found.articles or (2 * found.words >= page.words and (found.inside or not page.articles)):
+        return False
+    return found.sure or 2 * found.links >= found.words
 
 
 def marks_article(tag: str, attributes: dict[str, str]) -> bool:
@@ -92,16 +135,30 @@ def marks_article(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def parse(source: str) -> Page:
-    """Runs and blocks of a page."""
+    """Runs and blocks of a page; parsed once more if there are suspects, as what they are is known at the end only."""
+    page = parse_as(source, {})
+    if not page.suspects:
+        return page
+    for found in reversed(page.suspects.values()):
+        if found.within >= 0:
+            outer = page.suspects[found.within]
+            outer.words, outer.links, outer.articles = outer.words + found.words, outer.links + found.links, outer.articles + found.articles
+    named = {k: is_named_furniture(v, page) for k, v in page.suspects.items()}
+    return parse_as(source, named, frozenset(k for k, v in page.suspects.items() if not named[k] and not v.articles and 2 * v.words < page.words))
+
+
+def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = frozenset()) -> Page:
+    """Runs, blocks and suspects of a page; ``named`` tells whether the suspect at a place of the source is furniture, ``weighed`` has those
+    whose words have a weight of their own."""
     page, at, n = Page(), 0, len(source)
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture or below it, in a marked article
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, furniture or below it, in a marked article, innermost suspect around
     text: list[str] = []
-    here = ("body", False, False, False)  # block tag, furniture, inside, link
+    here = ("body", False, False, False, -1)  # block tag, furniture, inside, link, innermost suspect around
 
     def place() -> None:
         nonlocal here
-        block = next((t for t, _, _ in reversed(stack) if t not in INLINE), "body")
-        here = (block, stack[-1][1] if stack else False, stack[-1][2] if stack else False, any(t == "a" for t, _, _ in stack[-4:]))
+        block = next((t for t, *_ in reversed(stack) if t not in INLINE), "body")
+        here = (block, *(stack[-1][1:3] if stack else (False, False)), any(t == "a" for t, *_ in stack[-4:]), stack[-1][3] if stack else -1)
 
     def end_block() -> None:
         if text:
@@ -114,8 +171,13 @@ def parse(source: str) -> Page:
             words = len(raw.split())
             text.append(raw)
             if words:
-                block, furniture, inside, link = here
-                page.runs.append(Run(f"word {'furniture' if furniture else 'heading' if block in HEADINGS else block}{' link' if link else ''}", words, len(page.blocks), inside))
+                block, furniture, inside, link, around = here
+                if not furniture:
+                    page.words += words
+                    if around >= 0:
+                        page.suspects[around].words += words
+                        page.suspects[around].links += words * link
+                page.runs.append(Run(f"word {'furniture' if furniture else 'named' if around in weighed else 'heading' if block in HEADINGS else block}{' link' if link else ''}", words, len(page.blocks), inside))
 
     def pop(to: int) -> None:
         del stack[to:]
@@ -148,7 +210,7 @@ def parse(source: str) -> Page:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
             if block:
                 end_block()
-            _, furniture, inside = stack[k] if k >= 0 else ("", here[1], here[2])
+            _, furniture, inside, _ = stack[k] if k >= 0 else ("", here[1], here[2], -1)
             if k >= 0:
                 pop(k)
             if not furniture:
@@ -165,19 +227,23 @@ def parse(source: str) -> Page:
                         break
                     if stack[k][0] not in INLINE and not (tag in SAME_CLOSES and stack[k][0] == "p"):
                         break
-        _, below, inside = stack[-1] if stack else ("", False, False)
-        furniture = below or is_furniture(tag, attributes, inside)
+        _, below, inside, around = stack[-1] if stack else ("", False, False, -1)
+        furniture = below or is_furniture(tag, attributes, inside) or named.get(start, False)
+        if attributes and not furniture and (found_name := suspect(tag, attributes, inside)):
+            found_name.within, page.suspects[start], around = around, found_name, start
         article = marks_article(tag, attributes) and not furniture
         if not below:  # furniture counts as one tag, whatever is in it
             page.runs.append(Run(f"tag {'furniture' if furniture else tag}", inside=inside))
         if article and not inside:
             page.articles += 1
+            if around >= 0:
+                page.suspects[around].articles += 1
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
             at = n if end is None else (source.find(">", end.start()) + 1 or n)
             continue
         if tag not in VOID and not (found[3] or "").rstrip().endswith("/"):
-            stack.append((tag, furniture, (inside or article) and not furniture))
+            stack.append((tag, furniture, (inside or article) and not furniture, around))
             place()
     end_block()
     return page
