@@ -508,6 +508,23 @@ def q_files_for_day(spark, sf):
     return PG.files_for_day(fx.file_catalogue(spark, sf)).select("day", "basename", "blob_path", "listed_at")
 
 
+@register("files_by_folder", f"""SELECT folder, day, basename, blob_path, listed_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY folder, day, basename ORDER BY listed_at DESC, blob_path DESC) AS k
+        FROM (SELECT CASE WHEN starts_with(blob_path, 'in/') THEN 'in' ELSE '' END AS folder, strftime(listed_at, '%Y-%m-%d') AS day,
+                     string_split(blob_path, '/')[-1] AS basename, blob_path, listed_at
+              FROM (SELECT blob_path, listed_at FROM ({fx.file_catalogue_sql('duckdb')}) c
+                    UNION ALL SELECT replace(blob_path, '/c', '/again/c'), CAST(CAST(listed_at AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR
+                    FROM ({fx.file_catalogue_sql('duckdb')}) d) u) f) r
+  WHERE k = 1""")
+def q_files_by_folder(spark, sf):
+    """A2: the listings of all folders, every event's file in one of them; each is listed again at noon in a subfolder, so that the
+    later listing is now the one, now the other."""
+    c = fx.file_catalogue(spark, sf)
+    noon = (F.date_trunc("day", "listed_at") + F.expr("INTERVAL 12 HOURS")).cast(c.schema["listed_at"].dataType)
+    again = c.select(F.replace("blob_path", F.lit("/c"), F.lit("/again/c")).alias("blob_path"), noon.alias("listed_at"))
+    return PG.files_by_folder(c.unionByName(again)).select("folder", "day", "basename", "blob_path", "listed_at")
+
+
 LLS = fx.labeled_lines_sql("duckdb")
 
 
