@@ -142,6 +142,23 @@ def star_view_flat(view: DataFrame) -> DataFrame:
                      "|").alias("representantes"))
 
 
+def star_view_full(view: DataFrame, proveedores: DataFrame, ents: DataFrame) -> DataFrame:
+    """E5 with all of a contract's children: ``star_view`` with its provider and entities, pre-aggregated per contract."""
+    prov = (active(proveedores).groupBy("contrato_id")
+            .agg(F.array_sort(F.collect_list(F.struct("id", "nombre", "rut"))).alias("proveedores")))
+    ent = (active(ents).groupBy("contrato_id")
+           .agg(F.array_sort(F.collect_list(F.struct("id", "tipo", "valor"))).alias("entidades")))
+    return view.join(prov, "contrato_id", "left").join(ent, "contrato_id", "left")
+
+
+def star_view_full_flat(view: DataFrame) -> DataFrame:
+    """``star_view_full`` rendered as comparable text columns: a child's fields as id:field:field, none for NULL."""
+    def text(c: str, *fields: str):
+        parts = F.transform(c, lambda x: F.concat_ws(":", x["id"].cast("string"), *[F.coalesce(x[f], F.lit("")) for f in fields]))
+        return F.array_join(parts, "|").alias(c)
+    return view.select("contrato_id", "event_id", text("proveedores", "nombre", "rut"), text("entidades", "tipo", "valor"))
+
+
 def active_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """Active row count per star table."""
     out = None

@@ -634,6 +634,51 @@ def q_duplicate_keys(spark, sf):
     return QL.duplicate_keys(star(spark, sf).compania_info, "rut")
 
 
+@register("party_duplicate_keys", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, rut, count(*) AS n FROM t_{t} WHERE is_active GROUP BY rut HAVING count(*) > 1"
+    for t in ("compania_info", "proveedores_info"))))
+def q_party_duplicate_keys(spark, sf):
+    """F5 over both party tables: tax ids that repeat among active rows."""
+    s = star(spark, sf)
+    found = [QL.duplicate_keys(getattr(s, t), "rut").select(F.lit(t).alias("table_name"), "rut", "n") for t in ("compania_info", "proveedores_info")]
+    return found[0].unionByName(found[1])
+
+
+STAR_LIMITS = {t: lim for t, schema in SCH.STAR_A.items() if (lim := {f.name: f.metadata["max_length"] for f in schema.fields if "max_length" in f.metadata})}
+# one column of each table that has limits, too long in every so many rows
+TOO_LONG = {"contrato": ("tipo_contrato", 20), "multas": ("plazo_constancia", 50), "compania_info": ("rut", 30), "proveedores_info": ("rut", 25),
+            "representantes": ("nombre", 40), "entidades": ("tipo", 35)}
+
+
+@register("star_length_check", _sq(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS too_long "
+    f"FROM (SELECT * REPLACE (CASE WHEN id % {TOO_LONG[t][1]} = 0 THEN {TOO_LONG[t][0]} || repeat('0', 300) ELSE {TOO_LONG[t][0]} END AS {TOO_LONG[t][0]}) FROM t_{t}) x"
+    for t, lim in STAR_LIMITS.items() for c, n in lim.items())))
+def q_star_length_check(spark, sf):
+    """K6 over every length-limited column of the six star tables (incoming values too long in each)."""
+    out = None
+    for t, df in star(spark, sf).tables().items():
+        col, every = TOO_LONG[t]
+        broken = df.withColumn(col, F.when(F.col("id") % every == 0, F.concat(col, F.lit("0" * 300))).otherwise(F.col(col)))
+        one = QL.length_check(broken, t, STAR_LIMITS[t])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("star_view_full", _sq("""SELECT c.id AS contrato_id, c.event_id, p.proveedores, e.entidades
+  FROM t_contrato c
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || coalesce(nombre, '') || ':' || coalesce(rut, ''), '|' ORDER BY id) AS proveedores
+             FROM t_proveedores_info WHERE is_active GROUP BY contrato_id) p ON p.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || coalesce(tipo, '') || ':' || coalesce(valor, ''), '|' ORDER BY id) AS entidades
+             FROM t_entidades WHERE is_active GROUP BY contrato_id) e ON e.contrato_id = c.id
+  WHERE c.is_active"""))
+def q_star_view_full(spark, sf):
+    """E5: the providers and entities of each contract, beside what ``star_view`` shows."""
+    s = star(spark, sf)
+    view = A.star_view(s.contrato, s.compania_info, s.multas, s.representantes)
+    return A.star_view_full_flat(A.star_view_full(view, s.proveedores_info, s.entidades))
+
+
 def change_rows(s):
     """Updates to published contracts (FIXTURES §3.5): a text update, a later update of the same column to NULL, a soft
     delete and a metadata-only update, by id residue; a contract can have all of them."""
