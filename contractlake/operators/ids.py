@@ -1,12 +1,12 @@
 """G1: dense increasing surrogate keys without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` moves every row into one task. Instead:
-  1. split points of the key come from a bounded sample (first rows by a hash of the key),
-  2. a row's bucket is the number of split points below its key -- a function of the data, so that neither
-     partition coalescing nor a retry nor column pruning can change it,
-  3. rows are numbered inside their bucket, and the running total of the earlier buckets' counts (one row per
-     bucket, a bounded table) is added.
-The result equals the global ``row_number`` because buckets are ordered by key.
+  1. rows are range-partitioned and sorted by the key: Spark samples split points and looks each row up among them by
+     binary search, so a row costs the logarithm of the number of partitions,
+  2. the sorted rows are written to the shared folder with their partition and their place in it, so neither a
+     retry, nor coalescing, nor a plan that reads fewer columns can number them differently later,
+  3. the running total of the earlier partitions' counts (one row per partition, a bounded table) is added.
+The result equals the global ``row_number`` because the partitions are ordered by key.
 """
 
 from __future__ import annotations
@@ -14,32 +14,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of the sample per bucket: buckets of about equal size.
-SAMPLE_PER_BUCKET = 32
+from contractlake.session import saved
+
+#: ``monotonically_increasing_id`` keeps the partition above this many bits and the row's place in it below.
+PLACE_BITS = 33
 
 
 def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
                      start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + (rank of the row in ``order_cols`` order) - 1. One row out per row in.
+    """Add ``id_col`` = start + (rank of the row in ``order_cols`` order) - 1. One row out per row in; NULL keys come first.
 
-    ``order_cols`` must identify a row uniquely for the ids to be deterministic across retries.
-    ``start`` may be a Column (e.g. ``max(id) + 1`` of the table being appended to). ``df`` is read three
-    times (sample, counts, rows); cut its lineage first where that is costly.
+    ``order_cols`` must identify a row uniquely for the ids to be deterministic, and so that no one key fills a
+    partition. ``start`` may be a Column (e.g. ``max(id) + 1`` of the table being appended to). ``num_partitions``
+    (default: ``spark.sql.shuffle.partitions``) bounds the range partitions; neighbours that turn out small are read
+    by one task. ``df`` is read twice (Spark's sample of the key, then the rows); cut its lineage first where that is costly.
     """
-    buckets = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*order_cols)
-    sample = sorted((r[0] for r in df.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(buckets * SAMPLE_PER_BUCKET).collect()),
-                    key=lambda k: [(x is not None, x) for x in k])  # bounded by the number of buckets; NULL sorts first, as in Spark
-    splits = [sample[i] for i in range(SAMPLE_PER_BUCKET, len(sample), SAMPLE_PER_BUCKET)]
-    types = [df.schema[c].dataType for c in order_cols]
-    literal = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(s, types, order_cols)]) for s in splits]
-    bucket = F.size(F.filter(F.array(*literal), lambda s: s <= key)) if literal else F.lit(0)
-    tagged = df.withColumn("_bucket", bucket)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # Bounded by the number of buckets: safe to window in one task and to broadcast.
-    offsets = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)) - 1
+    spark = df.sparkSession
+    place = "_place"
+    while place in df.columns:
+        place += "_"
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(num_partitions or partitions))
+        rows = saved(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                     .withColumn(place, F.monotonically_increasing_id()), "ids")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    part = F.shiftright(place, PLACE_BITS)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition: safe to window in one task and to broadcast.
+    offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off"))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (tagged.withColumn("_local", local).join(F.broadcast(offsets), "_bucket", "left")
-            .withColumn(id_col, (start_col + F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_bucket", "_local", "_off"))
+    number = (start_col + F.col("_off") + F.col(place).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))).cast("bigint")
+    kept = [rows[c] for c in df.columns if c != id_col]
+    return rows.join(F.broadcast(offsets), part == F.col("_part"), "left").select(*kept, number.alias(id_col))

@@ -56,3 +56,17 @@ def test_star_of_wide_payloads_has_no_orphans(spark):
     assert star.contrato.count() == star.compania_info.count()
     assert star.compania_info.join(star.contrato, F.col("contrato_id") == star.contrato["id"], "left_anti").count() == 0
     assert star.contrato.agg(F.countDistinct("id")).first()[0] == star.contrato.count()
+
+
+def test_thousands_of_partitions_cost_no_more(spark):
+    import time
+    df = spark.range(0, 100_000).select((F.col("id") * 7919 % 100_003).alias("k"), F.col("id").alias("_place"))
+    took = {}
+    for parts in (8, 4000):
+        start = time.time()
+        got = assign_dense_ids(df, ["k"], "rid", num_partitions=parts)
+        assert got.columns == ["k", "_place", "rid"]
+        assert got.agg(F.min("rid"), F.max("rid"), F.countDistinct("rid")).first() == (1, 100_000, 100_000)
+        assert got.select("rid", F.row_number().over(Window.orderBy("k")).alias("n")).filter("rid <> n").count() == 0
+        took[parts] = time.time() - start
+    assert took[4000] < 10 * max(took[8], 1.0)
