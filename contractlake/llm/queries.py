@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlake.llm import bpe, cap_filters, hash_tree, html_text, packing, quality, simhash_trie, topk, toxicity, warc
+from contractlake.llm import bpe, cap_filters, hash_tree, html_text, mixing, packing, quality, simhash_trie, topk, toxicity, warc
 from contractlake.llm.stage import batch_rows
 
 SHARDS = 40
@@ -68,6 +68,10 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.simhash_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, budget=3)
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_warc_revisits, op3_length_buckets, op4_main_text, op5_quality, op6_bpe,
-                            op7_toxicity, op8_hash_tree, op9_cap_filters, op10_simhash_trie, pipeline)}
+                            op7_toxicity, op8_hash_tree, op9_cap_filters, op10_simhash_trie, op13_mixing, pipeline)}
 
 GOOD_VECTOR = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0"
 
@@ -136,4 +140,30 @@ select e.vec_id, coalesce(n.n, 0) as n_links, c.component_id, e.vec_id is not nu
 from embeddings e left join c on c.a = e.vec_id left join n on n.u = e.vec_id
 """
 
-ORACLES: dict[str, str] = {"op1_topk_search": TOPK_SQL, "op2_warc_revisits": WARC_SQL, "op8_hash_tree": HASH_TREE_SQL, "op9_cap_filters": CAP_FILTERS_SQL}
+# The words that a source's share takes are the first of its shuffled stream, so SQL needs no blocks and no schedule.
+MIXING_SQL = r"""
+with recursive d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
+c as (select *, row_number() over (partition by doc_id, source, size) as copy from d),
+s as (select source, sum(size)::bigint as source_size, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 3 when 1 then 1 else 2 end as weight from d group by source),
+total as (select sum(source_size)::double * 1.5 as t from s),
+-- shares are dealt again and again: a round settles the sources that the level would fill
+deal(round, source, source_size, weight, full_up, level) as (
+    select 0, source, source_size, weight, false, (select t from total) / nullif((select sum(weight) from s), 0) from s
+    union all
+    select round + 1, source, source_size, weight, now_full,
+           ((select t from total) - coalesce(sum(2 * source_size) filter (now_full) over (), 0)) / nullif(sum(weight) filter (not now_full) over (), 0)
+    from (select *, full_up or 2 * source_size <= level * weight as now_full, bool_or(not full_up and 2 * source_size <= level * weight) over () as more from deal)
+    where more),
+f as (select source, source_size, case when full_up then 2.0 * source_size else level * weight end::double as target from deal where round = (select max(round) from deal)),
+w as (select *, least(floor(target + 0.5)::bigint, 2 * source_size) as words from f),
+p as (select c.doc_id, c.size, w.source_size, w.target, w.words,
+             coalesce(sum(c.size) over (partition by c.source order by md5(coalesce(c.doc_id::varchar, 'null') || '/' || c.size || '/' || c.copy), c.doc_id nulls first, c.size, c.copy
+                                        rows between unbounded preceding and 1 preceding), 0) as pos
+      from c join w on c.source is not distinct from w.source)
+select doc_id, size, source_size, target,
+       (greatest(0, least(pos + size, words) - pos) + greatest(0, least(pos + source_size + size, words) - (pos + source_size)))::bigint as taken
+from p
+"""
+
+ORACLES: dict[str, str] = {"op1_topk_search": TOPK_SQL, "op2_warc_revisits": WARC_SQL, "op8_hash_tree": HASH_TREE_SQL, "op9_cap_filters": CAP_FILTERS_SQL,
+                           "op13_mixing": MIXING_SQL}

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +33,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A table is broadcast if it has at most so many rows and so many bytes of text in them.
+BROADCAST_ROWS, BROADCAST_TEXT = 200_000, 32 << 20
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it is small, checked by counting it; else as it is, for Spark to shuffle and split."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(text, F.lit(0))), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_TEXT else df
+
+
 def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
     """Rows per Arrow batch: whole documents can be long, so batches are kept small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
