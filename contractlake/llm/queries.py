@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlake.llm import bpe, cap_filters, hash_tree, html_text, mixing, packing, quality, simhash_trie, topk, toxicity, warc
+from contractlake.llm import bpe, cap_filters, collocations, hash_tree, html_text, manifest, mixing, packing, quality, simhash_trie, topk, toxicity, warc
 from contractlake.llm.stage import batch_rows
 
 SHARDS = 40
@@ -68,6 +68,16 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.simhash_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, budget=3)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    more = F.col("n_chars").cast("decimal(20,0)") + 1  # a long's last value has a next one here
+    return manifest.verified(table(spark, sf_dir, "documents"), {"n_chars": F.when(tampered, more).otherwise(F.col("n_chars")).cast("string")})
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -80,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_warc_revisits, op3_length_buckets, op4_main_text, op5_quality, op6_bpe,
-                            op7_toxicity, op8_hash_tree, op9_cap_filters, op10_simhash_trie, op13_mixing, pipeline)}
+                            op7_toxicity, op8_hash_tree, op9_cap_filters, op10_simhash_trie, op11_collocations, op12_manifest, op13_mixing, pipeline)}
 
 GOOD_VECTOR = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0"
 
@@ -140,6 +150,61 @@ select e.vec_id, coalesce(n.n, 0) as n_links, c.component_id, e.vec_id is not nu
 from embeddings e left join c on c.a = e.vec_id left join n on n.u = e.vec_id
 """
 
+COLLOCATIONS_SQL = r"""
+with p as (select coalesce(lang, 'und') as lang,
+                  unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (select lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i : w[i] || ' ' || w[i + 1]),
+                                      list_transform(range(1, len(w) - 1), lambda i : w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as phrase from w),
+f as (select lang, phrase, count(*) as c, len(string_split(phrase, ' ')) as k from g group by lang, phrase),
+n as (select lang, sum(c)::bigint as n from f where k = 1 group by lang),
+cut as (select lang, phrase, c as a, k, unnest(range(1, k)) as pos, string_split(phrase, ' ') as s from f where k > 1 and c >= 10),
+part as (select lang, phrase, a, k, pos, array_to_string(s[1:pos], ' ') as head, array_to_string(s[pos + 1:], ' ') as tail from cut),
+lr as (select part.*, l.c as l, r.c as r, (1000000::hugeint * a * a // (l.c::hugeint * r.c))::bigint as score
+       from part join f l on l.lang = part.lang and l.phrase = head join f r on r.lang = part.lang and r.phrase = tail),
+weakest as (select * from lr qualify row_number() over (partition by lang, phrase order by score, pos) = 1),
+gone as (select lang, head as phrase from lr where k = 3 and pos = 2 and 100 * a >= 50 * l union select lang, tail from lr where k = 3 and pos = 1 and 100 * a >= 50 * r),
+kept as (select * from weakest anti join gone using (lang, phrase)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000
+"""
+
+_part = "coalesce(strlen({0}::varchar) || ':' || {0}::varchar, '-')"
+_leaf = "sha256(" + " || ".join(_part.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_crc = """xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(regexp_extract_all(hex(encode(doc_id::varchar)), '..'), lambda b : ('0x' || b)::ubigint)),
+                            lambda c, b : xor(c >> 8, t[cast(xor(c, b) & 255 as integer) + 1])), 4294967295::ubigint)"""
+# Level by level: groups are trees, and the subroots the leaves of one more tree.
+MANIFEST_SQL = f"""
+with recursive steps as (select list_transform(range(256), lambda i : list_reduce(list_prepend(i::ubigint, range(8)::ubigint[]),
+               lambda c, _ : case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end)) as t),
+l as (select doc_id, lang, {_leaf.format(n="n_chars")} as leaf,
+             case when n_chars is not null and doc_id is not null and {_crc} % 7 = 0 then {_leaf.format(n="(n_chars::hugeint + 1)")} end as now from documents, steps),
+p as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place, dense_rank() over (order by lang nulls first) - 1 as tree from l),
+up(tree, level, place, digest) as (
+    select tree, 0, place, leaf from p
+    union all
+    select tree, level + 1, place // 2, sha256(string_agg(digest, '' order by place))
+    from (select *, count(*) over (partition by tree) as n from up) where n > 1 group by tree, level, place // 2),
+tops as (select tree, arg_max(digest, level) as subroot, max(level) as levels from up group by tree),
+over(level, place, digest) as (
+    select 0, tree, subroot from tops
+    union all
+    select level + 1, place // 2, sha256(string_agg(digest, '' order by place))
+    from (select *, count(*) over () as n from over) where n > 1 group by level, place // 2),
+root as (select arg_max(digest, level) as root, max(level) as levels from over),
+nodes as (select tree, level, place, digest from up union all
+          select t.tree, t.levels + 1 + o.level, o.place, o.digest from tops t, over o),
+walk(doc_id, leaf, tree, place, level, ends, levels, own, digest, siblings) as (
+    select p.doc_id, p.leaf, p.tree, p.place, 0, t.levels, t.levels + r.levels, case when t.levels = 0 then p.tree else p.place end, coalesce(p.now, p.leaf), '' from p join tops t using (tree), root r
+    union all
+    select w.doc_id, w.leaf, w.tree, w.place, w.level + 1, w.ends, w.levels, case when w.level + 1 = w.ends then w.tree else w.own // 2 end,
+           sha256(case when n.digest is null then w.digest when w.own % 2 = 1 then n.digest || w.digest else w.digest || n.digest end), w.siblings || coalesce(n.digest, '')
+    from walk w left join nodes n on n.tree = w.tree and n.level = case when w.level < w.ends then w.level else w.level + 1 end and n.place = xor(w.own, 1)
+    where w.level < w.levels)
+select w.doc_id, w.leaf, t.subroot, r.root, sha256(w.siblings) as proof_sha256, w.digest as folded_root, w.digest = r.root as verified
+from walk w join tops t using (tree), root r where w.level = w.levels
+"""
+
 # The words that a source's share takes are the first of its shuffled stream, so SQL needs no blocks and no schedule.
 MIXING_SQL = r"""
 with recursive d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
@@ -166,4 +231,4 @@ from p
 """
 
 ORACLES: dict[str, str] = {"op1_topk_search": TOPK_SQL, "op2_warc_revisits": WARC_SQL, "op8_hash_tree": HASH_TREE_SQL, "op9_cap_filters": CAP_FILTERS_SQL,
-                           "op13_mixing": MIXING_SQL}
+                           "op11_collocations": COLLOCATIONS_SQL, "op12_manifest": MANIFEST_SQL, "op13_mixing": MIXING_SQL}
