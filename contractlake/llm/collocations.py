@@ -25,7 +25,6 @@ too, and 64 bits wide. No words give no rows; equal scores go by count, then phr
 from __future__ import annotations
 
 import struct
-from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -39,7 +38,9 @@ from contractlake.llm.stage import broadcast_if_small, saved
 
 LONGEST = 3
 #: Words that a task gathers before it builds automata of them; phrases of a range, about; phrases for each cut that a shard proposes.
-RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 21, 1 << 21, 1 << 16
+RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 20, 1 << 20, 1 << 15
+#: Phrases that a builder takes at a time.
+BLOCK_PHRASES = 1 << 18
 NO_LANGUAGE = "und"
 
 # Upper-case letters and the tab, what they become, and the signs and line ends that part pieces.
@@ -99,52 +100,92 @@ def summed(words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> Phrases:
     return Phrases(words, ids[order[starts]].astype(np.int32), np.add.reduceat(counts[order], starts))
 
 
+#: Odd numbers that mix an arc's label, weight and target to 64 bits, twice.
+_SALTS = [tuple(np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)),
+          tuple(np.array([0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25], dtype=np.uint64))]
+
+
 class Builder:
-    """Incremental construction: ``add`` takes sorted phrases, ``done`` gives the automaton."""
+    """Incremental construction: ``add`` takes the next block of sorted phrases and freezes all states whose phrases have come;
+    the last word's and the last two words' states stay open until a later phrase leaves them. The register knows frozen states
+    by two 64-bit sums over their arcs, which are taken for the arcs themselves."""
 
     def __init__(self) -> None:
-        self.register: dict[bytes, int] = {}
-        self.first, self.label, self.weight, self.target = [0, 0], [], [], []  # state 0 ends
-        self.open: list[list[tuple[int, int, int]]] = [[] for _ in range(LONGEST)]  # arcs that left the states on the last phrase's way
-        self.last: tuple[int, ...] = ()
-
-    def _freeze(self, depth: int) -> int:
-        arcs = self.open[depth]
-        if not arcs:
-            return 0
-        key = struct.pack(f"{3 * len(arcs)}q", *[x for arc in arcs for x in arc])
-        state = self.register.get(key)
-        if state is None:
-            state = self.register[key] = len(self.first) - 1
-            for label, weight, target in arcs:
-                self.label.append(label)
-                self.weight.append(weight)
-                self.target.append(target)
-            self.first.append(len(self.label))
-        self.open[depth] = []
-        return state
-
-    def _close(self, upto: int) -> None:
-        """Freeze the states below depth ``upto`` on the last phrase's way."""
-        for depth in range(len(self.last), upto, -1):
-            state = self._freeze(depth) if depth < LONGEST else 0
-            if state:
-                label, weight, _ = self.open[depth - 1][-1]
-                self.open[depth - 1][-1] = (label, weight, state)
-
-    def add(self, phrase: tuple[int, ...], weight: int) -> None:
-        shared = 0
-        while shared < len(self.last) and shared < len(phrase) and self.last[shared] == phrase[shared]:
-            shared += 1
-        self._close(shared)
-        for depth in range(shared, len(phrase)):  # words on the way to a phrase weigh nothing unless they are phrases too
-            self.open[depth].append((phrase[depth], weight if depth == len(phrase) - 1 else 0, 0))
-        self.last = phrase
+        self.register: dict[int, tuple[int, int]] = {}
+        self.states, self.arcs = 1, 0  # state 0 ends
+        self.first: list[np.ndarray] = [np.zeros(2, dtype=np.int64)]
+        self.done_arcs: list[tuple[np.ndarray, ...]] = []
+        none = np.zeros(0, dtype=np.int64)
+        self.ids, self.weights = np.zeros((0, LONGEST), dtype=np.int64), none  # phrases that begin with the last two words
+        # arcs that left the states after one word and after none, with the word before them
+        self.level: list[tuple[np.ndarray, ...]] = [(none, none, none), (none, none, none, none)]
+
+    def _freeze(self, starts: np.ndarray, label: np.ndarray, weight: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The states of runs of arcs; a run begins at each of ``starts`` and none is empty."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.int64)
+        sums = []
+        for salt in _SALTS:
+            x = label.astype(np.uint64) * salt[0] + weight.astype(np.uint64) * salt[1] + target.astype(np.uint64) * salt[2]
+            x ^= x >> np.uint64(31)
+            x *= salt[3]
+            sums.append(np.add.reduceat(x ^ (x >> np.uint64(29)), starts))
+        known, at, same = np.unique(sums[0], return_index=True, return_inverse=True)
+        state, fresh = np.empty(len(known), dtype=np.int64), np.zeros(len(known), dtype=bool)
+        for k, (key, other) in enumerate(zip(known.tolist(), sums[1][at].tolist())):
+            found = self.register.get(key)
+            if found is None or found[1] != other:
+                found = self.register[key] = (self.states, other)
+                self.states += 1
+                fresh[k] = True
+            state[k] = found[0]
+        out = state[same]
+        odd = np.flatnonzero(sums[1] != sums[1][at][same])  # equal in one sum only: a state of its own
+        out[odd] = np.arange(self.states, self.states + len(odd))
+        self.states += len(odd)
+        new = np.concatenate((at[fresh][np.argsort(state[fresh])], odd))
+        ends = np.append(starts, len(label))
+        n = ends[new + 1] - ends[new]
+        arc = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[new], n)
+        self.done_arcs.append((label[arc], weight[arc], target[arc]))
+        self.first.append(self.arcs + np.cumsum(n))
+        self.arcs += int(n.sum())
+        return out
+
+    def add(self, ids: np.ndarray, weights: np.ndarray, last: bool = False) -> None:
+        ids, weights = np.vstack((self.ids, ids)), np.concatenate((self.weights, weights))
+        # states after two words: phrases by their first two words; the last ones wait for the next block
+        begins = np.flatnonzero(np.r_[True, (ids[1:, 0] != ids[:-1, 0]) | (ids[1:, 1] != ids[:-1, 1])]) if len(ids) else np.zeros(0, dtype=np.int64)
+        keep = len(ids) if last or not len(begins) else int(begins[-1])
+        self.ids, self.weights = ids[keep:], weights[keep:]
+        ids, weights, begins = ids[:keep], weights[:keep], begins[begins < keep]
+        own = np.where(ids[begins, 2] == 0, weights[begins], 0)  # the count of the two words, or of one, themselves
+        inner = ids[:, 2] > 0
+        group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, keep)))[inner]
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, dtype=np.int64)
+        state = np.zeros(len(begins), dtype=np.int64)
+        state[group[starts]] = self._freeze(starts, ids[inner, 2], weights[inner], np.zeros(int(inner.sum()), dtype=np.int64))
+        a, b = ids[begins, 0], ids[begins, 1]
+        # states after one word: a row without a second word carries the word's own count
+        before, label, weight, target = (np.concatenate(x) for x in zip(self.level[1], (a, b, own, state)))
+        begins = np.flatnonzero(np.r_[True, before[1:] != before[:-1]]) if len(before) else np.zeros(0, dtype=np.int64)
+        keep = len(before) if last or not len(begins) else int(begins[-1])
+        self.level[1] = (before[keep:], label[keep:], weight[keep:], target[keep:])
+        before, label, weight, target, begins = before[:keep], label[:keep], weight[:keep], target[:keep], begins[begins < keep]
+        own = np.where(label[begins] == 0, weight[begins], 0)
+        inner = label > 0
+        group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, keep)))[inner]
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, dtype=np.int64)
+        state = np.zeros(len(begins), dtype=np.int64)
+        state[group[starts]] = self._freeze(starts, label[inner], weight[inner], target[inner])
+        self.level[0] = tuple(np.concatenate(x) for x in zip(self.level[0], (before[begins], own, state)))
 
     def done(self, words: list[bytes]) -> Automaton:
-        self._close(0)
-        root = self._freeze(0)
-        return Automaton(words, *[np.array(x, dtype=np.int64) for x in (self.first, self.label, self.weight, self.target)], root)
+        self.add(np.zeros((0, LONGEST), dtype=np.int64), np.zeros(0, dtype=np.int64), last=True)
+        label, weight, target = self.level[0]
+        root = int(self._freeze(np.zeros(1, dtype=np.int64), label, weight, target)[0]) if len(label) else 0
+        arcs = [np.concatenate(x) for x in zip(*self.done_arcs)] if self.done_arcs else [np.zeros(0, dtype=np.int64)] * 3
+        return Automaton(words, np.concatenate(self.first), *arcs, root)
 
 
 @dataclass
@@ -225,9 +266,8 @@ def build(p: Phrases) -> Automaton:
     number = np.zeros(len(p.words) + 1, dtype=np.int64)
     number[used] = np.arange(1, len(used) + 1)
     builder = Builder()
-    add = builder.add
-    for (a, b, c), weight in zip(number[p.ids].tolist(), p.counts.tolist()):
-        add((a, b, c) if c else (a, b) if b else (a,), weight)
+    for lo in range(0, len(p), BLOCK_PHRASES):
+        builder.add(number[p.ids[lo:lo + BLOCK_PHRASES]], p.counts[lo:lo + BLOCK_PHRASES])
     return builder.done([p.words[k - 1] for k in used.tolist()])
 
 
@@ -239,21 +279,25 @@ def united(parts: list[Phrases]) -> Phrases:
     return summed(words, np.vstack(ids), np.concatenate([p.counts for p in parts]))
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Run:
     """Words of one language, gathered to be counted."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {BREAK: 0}
+        self.known = _Numbers({BREAK: 0})
         self.texts: list[np.ndarray] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
-        known = self.known
         words = text.translate(_CLEAN).replace(BREAK, b" " + BREAK + b" ").split()
-        for w in words:
-            if w not in known:
-                known[w] = len(known)
-        self.texts.append(np.fromiter((known[w] for w in words), dtype=np.int32, count=len(words)))
+        self.texts.append(np.fromiter(map(self.known.__getitem__, words), dtype=np.int32, count=len(words)))
         self.texts.append(np.zeros(1, dtype=np.int32))
         self.size += len(words) + 1
 
@@ -268,42 +312,60 @@ class _Run:
         ids = np.stack([flat[k:k + n] for k in range(LONGEST)], axis=1)
         ids = ids[ids[:, 0] > 0]
         ids[:, 2][ids[:, 1] == 0] = 0
-        full = summed(words, ids, np.ones(len(ids), dtype=np.int64))  # the longest phrase from each word on
-        parts = [full]
-        for length in range(1, LONGEST):  # shorter ones: those that go on, cut short
-            on = full.ids[:, length] > 0
-            cut = full.ids[on].copy()
-            cut[:, length:] = 0
-            parts.append(Phrases(words, cut, full.counts[on]))
-        return len(ids), summed(words, np.vstack([p.ids for p in parts]), np.concatenate([p.counts for p in parts]))
-
-
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return len(ids), with_prefixes(summed(words, ids, np.ones(len(ids), dtype=np.int64)))  # the longest phrase from each word on
+
+
+def with_prefixes(full: Phrases) -> Phrases:
+    """Sorted phrases, each counted where no longer one was, -> all phrases that they begin with, counted everywhere."""
+    ids, n = full.ids, full.counts
+    if not len(n):
+        return full
+    one = np.r_[True, ids[1:, 0] != ids[:-1, 0]]
+    two = (one | np.r_[True, ids[1:, 1] != ids[:-1, 1]]) & (ids[:, 1] > 0)
+    rows = [(one, 1, np.add.reduceat(n, np.flatnonzero(one)))]
+    if two.any():
+        rows.append((two, 2, np.add.reduceat(np.where(ids[:, 1] > 0, n, 0), np.flatnonzero(two))))
+    three = ids[:, 2] > 0
+    rows.append((three, 3, n[three]))
+    ahead = np.cumsum(sum(r[0].astype(np.int64) for r in rows))
+    place = ahead - sum(r[0].astype(np.int64) for r in rows)  # of the first row that comes out for each
+    out, counts = np.zeros((ahead[-1], LONGEST), dtype=np.int32), np.empty(ahead[-1], dtype=np.int64)
+    for begins, length, sums in rows:
+        out[place[begins], :length] = ids[begins, :length]
+        counts[place[begins]] = sums
+        place = place + begins
+    return Phrases(full.words, out, counts)
+
+
+def _shards(run_words: int, proposal: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches (lang, text) -> (lang, n_words, n_phrases, proposals, automaton)."""
-    runs: dict[str, _Run] = {}
-    size = 0
     names = ["lang", "n_words", "n_phrases", "proposals", "automaton"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary()]
 
-    def flush() -> Iterator[pa.RecordBatch]:
+    def built(runs: dict[str, _Run]) -> Iterator[pa.RecordBatch]:
         for lang, run in runs.items():
             n, p = run.counted()
             if n:
-                offset = int(p.counts.sum() * 7919 + len(p)) % PROPOSAL  # a place that differs from shard to shard
-                proposals = [b" ".join(p.at(i)) for i in range(offset, len(p), PROPOSAL)]
+                offset = (int(p.counts.sum()) * 7919 + len(p)) % proposal  # a place that differs from shard to shard
+                proposals = [b" ".join(p.at(i)) for i in range(offset, len(p), proposal)]
                 row = ([lang], [n], [len(p)], [proposals], [build(p).pack()])
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], names)
 
-    for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-            run = runs.setdefault(lang, _Run())
-            before = run.size
-            run.add(text.as_buffer().to_pybytes())
-            size += run.size - before
-            if size >= RUN_WORDS:
-                yield from flush()
-                runs, size = {}, 0
-    yield from flush()
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: dict[str, _Run] = {}
+        size = 0
+        for batch in batches:
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+                run = runs.setdefault(lang, _Run())
+                before = run.size
+                run.add(text.as_buffer().to_pybytes())
+                size += run.size - before
+                if size >= run_words:
+                    yield from built(runs)
+                    runs, size = {}, 0
+        yield from built(runs)
+
+    return shards
 
 
 def _parts(cuts: dict[str, list[Phrase]], lang: str, p: Phrases) -> Iterator[tuple[int, Phrases]]:
@@ -332,7 +394,7 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, in
     return groupby(rows, key=lambda r: (r["lang"], r["part"]))
 
 
-def _union(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _union(least: int, range_phrases: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pieces sorted by range -> (lang, part, automaton) of each range's phrases with ``least`` occurrences or more."""
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, k), rows in _by_range(batches):
@@ -340,7 +402,7 @@ def _union(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             for row in rows:
                 waiting.append(Automaton.unpack(row["automaton"]).phrases())
                 size += len(waiting[-1])
-                if size >= RANGE_PHRASES:  # as many as the range is meant to hold: sum them up before more come
+                if size >= range_phrases:  # as many as the range is meant to hold: sum them up before more come
                     whole, waiting, size = united([*([whole] if whole else []), *waiting]), [], 0
             whole = united([*([whole] if whole else []), *waiting])
             frequent = whole.rows(whole.counts >= least)
@@ -424,10 +486,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "a", "l1", "r1", "l2", "r2", "head", "tail"])
 
 
-def cuts_of(shards: DataFrame) -> dict[str, list[Phrase]]:
-    """Sorted cuts of each language that needs some. Proposals stand for ``PROPOSAL`` phrases each, so the driver sees some 30 for each range."""
-    per = RANGE_PHRASES // PROPOSAL
-    large = shards.groupBy("lang").agg(F.sum("n_phrases").alias("n")).where(F.col("n") > RANGE_PHRASES)
+def cuts_of(shards: DataFrame, range_phrases: int, proposal: int) -> dict[str, list[Phrase]]:
+    """Sorted cuts of each language that needs some. A proposal stands for ``proposal`` phrases, so the driver sees range_phrases / proposal for each range."""
+    per = max(1, range_phrases // proposal)
+    large = shards.groupBy("lang").agg(F.sum("n_phrases").alias("n")).where(F.col("n") > range_phrases)
     rows = shards.select("lang", F.explode("proposals").alias("cut")).join(broadcast_if_small(large.select("lang")), "lang", "left_semi").collect()
     out: dict[str, list[Phrase]] = {}
     for lang, cut in rows:
@@ -435,13 +497,14 @@ def cuts_of(shards: DataFrame) -> dict[str, list[Phrase]]:
     return {lang: sorted(set(sorted(all_)[per // 2::per])) for lang, all_ in out.items()}
 
 
-def counts(docs: DataFrame, least: int, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame, dict[str, list[Phrase]]]:
+def counts(docs: DataFrame, least: int, text_col: str = "text", lang_col: str = "lang", run_words: int = RUN_WORDS, range_phrases: int = RANGE_PHRASES,
+           proposal: int = PROPOSAL) -> tuple[DataFrame, DataFrame, dict[str, list[Phrase]]]:
     """(lang, n) of all words; (lang, part, automaton) of the phrases with ``least`` occurrences or more, by range; the cuts of the ranges."""
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shards = saved(texts.mapInArrow(_shards, "lang string, n_words long, n_phrases long, proposals array<binary>, automaton binary"), "phrase-shards")
-    cuts = cuts_of(shards)
+    shards = saved(texts.mapInArrow(_shards(run_words, proposal), "lang string, n_words long, n_phrases long, proposals array<binary>, automaton binary"), "phrase-shards")
+    cuts = cuts_of(shards, range_phrases, proposal)
     pieces = shards.select("lang", "automaton").mapInArrow(_cut(cuts), "lang string, part int, automaton binary")
-    ranges = saved(pieces.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(_union(least), "lang string, part int, automaton binary"), "phrase-ranges")
+    ranges = saved(pieces.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(_union(least, range_phrases), "lang string, part int, automaton binary"), "phrase-ranges")
     return shards.groupBy("lang").agg(F.sum("n_words").alias("n")), ranges, cuts
 
 
@@ -456,9 +519,10 @@ def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
     return F.when(fits(guesses[2]), guesses[2]).when(fits(guesses[1]), guesses[1]).otherwise(guesses[0])
 
 
-def collocations(docs: DataFrame, least: int = 10, covered_percent: int = 50, first: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows (lang, rank, phrase, a, l, r, n, score): each language's ``first`` candidates by the score of their weakest cut."""
-    words, ranges, cuts = counts(docs, least, text_col, lang_col)
+def collocations(docs: DataFrame, least: int = 10, covered_percent: int = 50, first: int = 2000, text_col: str = "text", lang_col: str = "lang", **sizes: int) -> DataFrame:
+    """Rows (lang, rank, phrase, a, l, r, n, score): each language's ``first`` candidates by the score of their weakest cut.
+    ``sizes`` are those of ``counts``."""
+    words, ranges, cuts = counts(docs, least, text_col, lang_col, **sizes)
     shape = "lang string, part int, asker int, automaton binary"
     known = ranges.select("lang", "part", F.lit(None).cast("int").alias("asker"), "automaton")
     asked = ranges.mapInArrow(_ask(cuts), shape)
