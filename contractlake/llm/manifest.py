@@ -213,7 +213,8 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "d
     subroots = saved(subroots.select(F.col("place").alias("tree"), F.col("digest").alias("subroot"), F.col("proof").alias("above")), "manifest-subroots")
 
     down = _backward(rounds, tops.select("tree", "round").join(subroots.select("tree", "above"), "tree"))
-    ends = subroots.select("tree", "subroot").join(trees.select("tree", "grp"), "tree").crossJoin(F.broadcast(root.select(F.col("digest").alias("root"))))
+    top = root.select("digest").first()  # one row, none for an empty table
+    ends = subroots.select("tree", "subroot", F.lit(top and top[0]).alias("root")).join(trees.select("tree", "grp"), "tree")
     return (down.join(broadcast_if_small(ends), "tree")
             .select(F.col("id").alias(id_col), F.col("grp").alias(group_col), F.col("digest").alias("leaf"), "place", "subroot", "root", "proof",
                     *[F.col(f"also_{k}").alias(k) for k in also]))
