@@ -32,8 +32,8 @@ WEIGHTS = (3, 1, 2)
 #: The mix holds so many words, in hundredths of all words, and no source (and so no document) more often than that.
 PERCENT, MOST_TIMES = 150, 2
 BLOCK_WORDS = 1024
-#: Steps, or rows, that one numbering chunk holds, about.
-CHUNK = 1 << 16
+#: Steps that one numbering chunk holds, and rows that one part of a shuffled source's share holds, about.
+CHUNK, PART_ROWS = 1 << 16, 1 << 13
 
 
 @dataclass
@@ -113,7 +113,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     known = sources.select(F.col("source").alias("name"), "number", "source_size", "target", "words")
     each = each.withColumn("draw", mixed_up).join(broadcast_if_small(known), F.col("source").eqNullSafe(F.col("name")))
     rows = sized.agg(F.sum("copies")).first()[0] or 0
-    parts = max(1, rows // CHUNK * 4)
+    parts = 1 + rows // PART_ROWS
     part = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * parts)
     each = saved(each.select("id", "source", "size", "copy", "number", "source_size", "target", "words", "draw", part.alias("part")), "mix-documents")
 
