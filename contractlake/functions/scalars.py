@@ -181,15 +181,43 @@ def iso_date_strict(s: Column) -> Column:
     return F.when(s.rlike(_LAYOUTS[0][0]), F.try_to_date(s, "yyyy-M-d"))
 
 
-def parse_uf_amount(txt: Column) -> Column:
-    """D3 UF fine amount: NULL / blank / 'null' -> NULL; keep digits . , ; ',' -> '.'; parse;
-    unparsable -> NULL (not 0). Digits of separate numbers are concatenated (T17)."""
+#: UF amounts: 26 digits before the point and 12 behind it, more than any binary fraction that a JSON number keeps exactly.
+UF_TYPE = "decimal(38,12)"
+
+
+def _uf_digits(txt: Column) -> Column:
     t = py_strip(txt)
     cleaned = F.replace(F.regexp_replace(t, r"[^0-9.,]", ""), F.lit(","), F.lit("."))
-    val = cleaned.try_cast("double")
-    return (F.when(txt.isNull() | (t == "") | (F.lower(t) == "null") | (cleaned == ""),
-                   F.lit(None).cast("decimal(18,2)"))
-            .otherwise(val.try_cast("decimal(18,2)")))
+    # one point at most and a digit: what a float is read from
+    return F.when((F.lower(t) != "null") & cleaned.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), cleaned)
+
+
+def parse_uf_amount(txt: Column) -> Column:
+    """D3 UF fine amount from text: NULL / blank / 'null' -> NULL; keep digits . , ; ',' -> '.'; parse, every digit
+    kept; unparsable -> NULL (not 0). Digits of separate numbers are concatenated (T17). NULL, too, where the type has
+    no room for all digits: see ``uf_out_of_range``."""
+    digits = _uf_digits(txt)
+    return F.when(~_no_room(digits), digits.try_cast(UF_TYPE))
+
+
+def _no_room(digits: Column) -> Column:
+    return ~digits.rlike(r"^0*[0-9]{0,26}(\.[0-9]{0,12}0*)?$")
+
+
+def uf_out_of_range(txt: Column) -> Column:
+    """True for an amount that can be read, but has more digits than the column can keep."""
+    return F.coalesce(_no_room(_uf_digits(txt)), F.lit(False))
+
+
+def uf_amount(v: Column, s: Column, txt: Column) -> Column:
+    """D3 over a JSON value (v, its vtype s, its text): numbers by their numeric value without sign (an exponent is
+    read, not taken for digits), anything else by its text. A struct (amount, no_room)."""
+    double = F.abs(F.try_variant_get(v, "$", "double"))
+    exact = double.try_cast(UF_TYPE)
+    exponent = is_num(s) & F.contains(F.upper(txt), F.lit("E"))
+    return F.struct(
+        F.when(exponent, F.when(exact.cast("double") == double, exact)).otherwise(parse_uf_amount(txt)).alias("amount"),
+        F.when(exponent, F.coalesce(exact.cast("double") != double, F.lit(True))).otherwise(uf_out_of_range(txt)).alias("no_room"))
 
 
 def safe_string(c: Column) -> Column:
@@ -202,6 +230,11 @@ def default_end_date(start_text: Column) -> Column:
     return F.date_add(iso_date_strict(start_text), DEFAULT_END_DAYS)
 
 
+def unreadable(v: Column, s: Column, value: Column) -> Column:
+    """True when a JSON value is given, not null, and D9 / D10 can't read it: the store would refuse the row."""
+    return v.isNotNull() & (s != "VOID") & value.isNull()
+
+
 def flag_value(v: Column, s: Column | None = None, txt: Column | None = None) -> Column:
     """D9 BIT column from a JSON value: boolean as is, number != 0, text cast, else NULL."""
     s = vtype(v) if s is None else s

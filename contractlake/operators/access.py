@@ -39,7 +39,7 @@ def fines_of_contract(multas: DataFrame, contrato: DataFrame) -> DataFrame:
 def fines_by_breach(multas: DataFrame) -> DataFrame:
     """M3: active fines by breach type."""
     return (active(multas).groupBy("tipo_incumplimiento")
-            .agg(F.count(F.lit(1)).alias("fines"), F.sum("monto_multa_uf").cast("decimal(38,2)").alias("total_uf")))
+            .agg(F.count(F.lit(1)).alias("fines"), F.try_sum("monto_multa_uf").cast("decimal(38,12)").alias("total_uf")))
 
 
 def party_by_tax_id(party: DataFrame, contrato: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def section_counts(contrato: DataFrame, reps: DataFrame, multas: DataFrame, ents
 def fine_totals(multas: DataFrame) -> DataFrame:
     """count and UF sum per (contract, breach type)."""
     return (active(multas).groupBy("contrato_id", "tipo_incumplimiento")
-            .agg(F.count(F.lit(1)).alias("fines"), F.sum("monto_multa_uf").cast("decimal(38,2)").alias("total_uf")))
+            .agg(F.count(F.lit(1)).alias("fines"), F.try_sum("monto_multa_uf").cast("decimal(38,12)").alias("total_uf")))
 
 
 def child_ids(children: DataFrame) -> DataFrame:

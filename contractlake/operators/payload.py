@@ -19,7 +19,7 @@ from contractlake.functions import canon
 from contractlake.functions.scalars import (
     AS_OF, DEFAULT_TIPO_CONTRATO, DEFAULT_TIPO_SERVICIO, date_not_text, default_end_date, flag_value,
     int_value, is_arr, is_falsy, is_obj, iso_date_strict, normalize_date, normalize_date_text,
-    normalize_decimal, parse_uf_amount, py_strip, safe_string, variant_text, vtype,
+    normalize_decimal, py_strip, safe_string, uf_amount, unreadable, variant_text, vtype,
 )
 
 SECTIONS = ["Contrato", "Multas", "CompaniaInfo", "ProveedoresInfo", "Representantes", "Entidades"]
@@ -38,6 +38,10 @@ REP_LIMITS = {"nombre": 255, "cedula_identidad": 50}
 FINE_ROW_LIMITS = {"plazo_constancia": 255}
 ENTITY_ROW_LIMITS = {"tipo": 255}
 
+FLAG_FIELDS = ["renovacion_automatica", "termino_anticipado_activo", "exclusividad_activo"]
+INT_FIELDS = ["termino_anticipado_plazo_dias"]
+
+QUARANTINED = "array<struct<scope:string,pos:int,field:string,reason:string,payload:string>>"
 OK = "ok"
 
 
@@ -104,7 +108,7 @@ def is_empty_object(v: Column) -> Column:
 
 def object_elements(sec_v: Column, sec_s: Column, sec_text: Column, kind: str,
                     single_ok: bool = False) -> Column:
-    """B11 + C9-C11: ``ARRAY<STRUCT<pos INT, e ARRAY<STRUCT<key,value,raw>>>>`` of the object
+    """B11 + C9-C11: ``ARRAY<STRUCT<pos INT, text, e ARRAY<STRUCT<key,value,raw>>>>`` of the object
     elements of a repeated section (non-objects skipped, positions kept), keys canonicalized.
     With ``single_ok`` a single object counts as a one-element list (entities C11, providers C14);
     otherwise only lists yield elements (a text or object section iterates to nothing, T15)."""
@@ -118,7 +122,7 @@ def object_elements(sec_v: Column, sec_s: Column, sec_text: Column, kind: str,
     indexed = F.transform(pairs, lambda x, i: F.struct(i.alias("pos"), x["t"].alias("t"), x["k"].alias("k")))
     objs = F.filter(indexed, lambda x: is_obj(x["k"]))
     return F.transform(objs, lambda x: F.struct(
-        x["pos"].alias("pos"),
+        x["pos"].alias("pos"), x["t"].alias("text"),
         canon.canon_entries(kind, F.from_json(x["t"], "map<string,variant>")).alias("e")))
 
 
@@ -138,7 +142,9 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
 
     Output columns: input columns except the payload, ``reason`` (``ok`` when accepted),
     ``contract`` struct, ``company`` / ``provider`` structs, ``providers`` / ``reps`` /
-    ``fines`` / ``entities`` arrays of structs, ``unmapped_keys`` (T6 side column).
+    ``fines`` / ``entities`` arrays of structs, ``unmapped_keys`` (T6 side column); of a rejected payload
+    ``rejected_field`` and the whole ``rejected_payload``. A fine or entity that won't be stored has a ``problem``
+    (field, reason) and its JSON ``text``.
 
     Built in stages: every VARIANT, its type string and its text are computed once as a column
     and then referenced, which keeps each generated method small enough for whole-stage codegen.
@@ -208,8 +214,11 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
         F.col("_ft_descripcion").alias("descripcion"),
         F.col("_ft_nombre").alias("nombre"),
     ]
+    # What the store can't read as a flag or a whole number fails the row there, and with it the contract.
+    readable = {f: flag_value(*fv(f)) for f in FLAG_FIELDS} | {f: int_value(F.col(f"_f_{f}"), F.col(f"_ft_{f}")) for f in INT_FIELDS}
+    bad_value = F.coalesce(*[F.when(unreadable(F.col(f"_f_{f}"), F.col(f"_fs_{f}"), value), F.lit(f)) for f, value in readable.items()])
     # D2 raises on a truthy non-text date; the default end date is text, so only given values count.
-    date_error = date_not_text(*fv("fecha_inicio")) | (~end_falsy & date_not_text(*fv("fecha_termino")))
+    date_error = F.when(date_not_text(*fv("fecha_inicio")), "fecha_inicio").when(~end_falsy & date_not_text(*fv("fecha_termino")), "fecha_termino")
 
     c = (c.withColumn("_comp_e", canon.canon_entries("company", F.from_json(F.col("_comp_t"), "map<string,variant>")))
          .withColumn("_prov_e", canon.canon_entries("company", F.from_json(F.col("_prov_t"), "map<string,variant>")))
@@ -237,17 +246,40 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     def ftext(e: Column, name: str) -> Column:
         return variant_text(canon.field(e, name))
 
+    def uf(e: Column) -> Column:
+        value = canon.field(e, "monto_multa_uf")
+        return uf_amount(value, vtype(value), variant_text(value))
+
+    # read in one step, judged in the next: each expression is evaluated once per element
     fines = F.transform(F.col("_fines"), lambda m: F.struct(
         m["pos"].alias("pos"),
         safe_string(ftext(m["e"], "tipo_incumplimiento")).alias("tipo_incumplimiento"),
         safe_string(ftext(m["e"], "implicancias")).alias("implicancias"),
-        parse_uf_amount(ftext(m["e"], "monto_multa_uf")).alias("monto_multa_uf"),
+        uf(m["e"]).alias("uf"),
         safe_string(ftext(m["e"], "plazo_constancia")).alias("plazo_constancia"),
-        safe_string(ftext(m["e"], "descripcion_completa")).alias("descripcion_completa")))
-
+        safe_string(ftext(m["e"], "descripcion_completa")).alias("descripcion_completa"),
+        m["text"].alias("text")))
     ents = F.transform(F.col("_ents"), lambda x: F.struct(
         x["pos"].alias("pos"), safe_string(ftext(x["e"], "tipo")).alias("tipo"),
-        safe_string(ftext(x["e"], "valor")).alias("valor")))
+        safe_string(ftext(x["e"], "valor")).alias("valor"), x["text"].alias("text")))
+    c = c.withColumn("_fine_rows", fines).withColumn("_ent_rows", ents)
+
+    def judged(row: Column, cols: list[Column], problems: list[tuple[str, Column, str]]) -> Column:
+        problem = F.lit(None).cast("struct<field:string,reason:string>")
+        for name, bad, why in reversed(problems):
+            problem = F.when(bad, F.struct(F.lit(name).alias("field"), F.lit(why).alias("reason"))).otherwise(problem)
+        return F.struct(*cols, problem.alias("problem"), F.when(problem.isNotNull(), row["text"]).alias("text"))
+
+    fines = F.transform(F.col("_fine_rows"), lambda m: judged(
+        m, [m["pos"].alias("pos"), m["tipo_incumplimiento"].alias("tipo_incumplimiento"), m["implicancias"].alias("implicancias"),
+            m["uf"]["amount"].alias("monto_multa_uf"), m["plazo_constancia"].alias("plazo_constancia"),
+            m["descripcion_completa"].alias("descripcion_completa")],
+        [("tipo_incumplimiento", m["tipo_incumplimiento"] == "", "missing"), ("monto_multa_uf", m["uf"]["no_room"], "amount out of range"),
+         *[(k, F.char_length(m[k]) > n, "value too long") for k, n in FINE_ROW_LIMITS.items()]]))
+    ents = F.transform(F.col("_ent_rows"), lambda x: judged(
+        x, [x["pos"].alias("pos"), x["tipo"].alias("tipo"), x["valor"].alias("valor")],
+        [("tipo, valor", (x["tipo"] == "") & (x["valor"] == ""), "missing"),
+         *[(k, F.char_length(x[k]) > n, "value too long") for k, n in ENTITY_ROW_LIMITS.items()]]))
 
     provs = F.transform(F.col("_provs"), lambda x: F.struct(
         x["pos"].alias("pos"), text_field(x["e"], "nombre").alias("nombre"),
@@ -282,29 +314,33 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
          .withColumn("unmapped_keys", unmapped)
          .withColumn("_rep_type_error", rep_type_error)
          .withColumn("_date_error", date_error)
+         .withColumn("_bad_value", bad_value)
          .withColumn("_start_bad", start_bad_for_default))
 
     ct, co, pv = F.col("contract"), F.col("company"), F.col("provider")
-    reason = (F.when(F.col("reason") != OK, F.col("reason"))
-              .when(is_empty_object(F.col("_c")), "Missing Contrato data")
-              .when(F.col("_start_bad"), "invalid fecha_inicio for default fecha_termino")
-              .when(is_empty_object(F.col("_comp_v")), "Missing CompaniaInfo data")
-              .when(is_empty_object(F.col("_prov_v")), "Missing ProveedoresInfo data")
-              .when(not_iterable("Representantes"), "Representantes is not iterable")
-              .when(F.col("_rep_type_error"), "representative field is not text")
-              .when(not_iterable("Multas"), "Multas is not iterable")
-              .when(F.col("_date_error"), "database_error: date is not text")
-              .when(too_long({k: ct[k] for k in CONTRACT_LIMITS}, CONTRACT_LIMITS),
-                    "database_error: value too long for Contrato")
-              .when(too_long({k: co[k] for k in PARTY_LIMITS}, PARTY_LIMITS),
-                    "database_error: value too long for CompaniaInfo")
-              .when(too_long({k: pv[k] for k in PARTY_LIMITS}, PARTY_LIMITS),
-                    "database_error: value too long for ProveedoresInfo")
-              .when(F.exists(F.col("reps"), lambda r: too_long({k: r[k] for k in REP_LIMITS}, REP_LIMITS)),
-                    "database_error: value too long for Representantes")
-              .otherwise(OK))
-    drop = [x for x in c.columns if x.startswith("_")] + [payload_col]
-    return c.withColumn("reason", reason).drop(*drop)
+    # (reason, field at fault, condition), in the order in which the rules are applied
+    rules = [
+        ("Missing Contrato data", F.lit("Contrato"), is_empty_object(F.col("_c"))),
+        ("invalid fecha_inicio for default fecha_termino", F.lit("fecha_inicio"), F.col("_start_bad")),
+        ("Missing CompaniaInfo data", F.lit("CompaniaInfo"), is_empty_object(F.col("_comp_v"))),
+        ("Missing ProveedoresInfo data", F.lit("ProveedoresInfo"), is_empty_object(F.col("_prov_v"))),
+        ("Representantes is not iterable", F.lit("Representantes"), not_iterable("Representantes")),
+        ("representative field is not text", F.lit("Representantes"), F.col("_rep_type_error")),
+        ("Multas is not iterable", F.lit("Multas"), not_iterable("Multas")),
+        ("database_error: date is not text", F.col("_date_error"), F.col("_date_error").isNotNull()),
+        ("database_error: value can't be read", F.col("_bad_value"), F.col("_bad_value").isNotNull()),
+        *[(f"database_error: value too long for {table}", F.lit(table), too_long({k: of[k] for k in limits}, limits))
+          for table, of, limits in (("Contrato", ct, CONTRACT_LIMITS), ("CompaniaInfo", co, PARTY_LIMITS), ("ProveedoresInfo", pv, PARTY_LIMITS))],
+        ("database_error: value too long for Representantes", F.lit("Representantes"),
+         F.exists(F.col("reps"), lambda r: too_long({k: r[k] for k in REP_LIMITS}, REP_LIMITS))),
+    ]
+    verdict = F.struct(F.lit(OK).alias("reason"), F.lit(None).cast("string").alias("field"))
+    for why, name, broken in reversed(rules):
+        verdict = F.when(broken, F.struct(F.lit(why).alias("reason"), name.alias("field"))).otherwise(verdict)
+    verdict = F.when(F.col("reason") != OK, F.struct(F.col("reason"), F.lit("payload").alias("field"))).otherwise(verdict)
+    c = c.withColumn("_verdict", verdict).withColumn("reason", F.col("_verdict.reason")).withColumn("rejected_field", F.col("_verdict.field"))
+    c = c.withColumn("rejected_payload", F.when(F.col("reason") != OK, F.col(payload_col)))
+    return c.drop(*[x for x in c.columns if x.startswith("_")], payload_col)
 
 
 def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
@@ -338,14 +374,14 @@ def explode_reps(norm: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def explode_fines(norm: DataFrame, key: str = "event_id", validate: bool = True) -> DataFrame:
-    """C10 + B6 + D3 + D4: fines of accepted contracts; blank breach type and row-level
-    length failures are skipped (K7 row scope)."""
-    out = (accepted(norm).select(key, F.explode("fines").alias("f"))
-           .select(key, "f.pos", "f.tipo_incumplimiento", "f.implicancias", "f.monto_multa_uf",
-                   "f.plazo_constancia", "f.descripcion_completa"))
+    """C10 + B6 + D3 + D4: fines of accepted contracts; blank breach type, an amount without room and row-level
+    length failures are skipped (K7 row scope, see ``quarantine``)."""
+    f = F.col("fines")
     if validate:
-        out = valid_fines(out)
-    return out
+        f = F.filter(f, lambda m: m["problem"].isNull())
+    return (accepted(norm).select(key, F.explode(f).alias("f"))
+            .select(key, "f.pos", "f.tipo_incumplimiento", "f.implicancias", "f.monto_multa_uf",
+                    "f.plazo_constancia", "f.descripcion_completa"))
 
 
 def valid_fines(fines: DataFrame) -> DataFrame:
@@ -359,11 +395,10 @@ def valid_fines(fines: DataFrame) -> DataFrame:
 def explode_entities(norm: DataFrame, key: str = "event_id", validate: bool = True) -> DataFrame:
     """C11 + C12 + D4: entities of accepted contracts. The legacy single blank fallback entity
     (C12) is always dropped by B7, so it is never materialized."""
-    out = (accepted(norm).select(key, F.explode("entities").alias("x"))
-           .select(key, "x.pos", "x.tipo", "x.valor"))
+    x = F.col("entities")
     if validate:
-        out = valid_entities(out)
-    return out
+        x = F.filter(x, lambda e: e["problem"].isNull())
+    return accepted(norm).select(key, F.explode(x).alias("x")).select(key, "x.pos", "x.tipo", "x.valor")
 
 
 def valid_entities(ents: DataFrame) -> DataFrame:
@@ -380,6 +415,21 @@ def providers_as_list(norm: DataFrame, key: str = "event_id") -> DataFrame:
             .select(key, "p.pos", "p.nombre", "p.rut", "p.domicilio"))
 
 
+def quarantine(norm: DataFrame, key: str = "event_id") -> DataFrame:
+    """What was not stored, with the whole text that it came in: (key, scope, pos, field, reason, payload). Scope ``contract``
+    for rejected payloads; ``fine`` and ``entity`` for the rows that an accepted contract lost (K7)."""
+    def lost(scope: str, rows: str) -> Column:
+        bad = F.transform(F.filter(F.col(rows), lambda x: x["problem"].isNotNull()), lambda x: F.struct(
+            F.lit(scope).alias("scope"), x["pos"].alias("pos"), x["problem"]["field"].alias("field"),
+            x["problem"]["reason"].alias("reason"), x["text"].alias("payload")))
+        return F.coalesce(bad, F.array()).cast(QUARANTINED)
+
+    whole = F.array(F.struct(F.lit("contract").alias("scope"), F.lit(None).cast("int").alias("pos"), F.col("rejected_field").alias("field"),
+                             F.col("reason").alias("reason"), F.col("rejected_payload").alias("payload"))).cast(QUARANTINED)
+    rows = F.when(F.col("reason") != OK, whole).otherwise(F.concat(lost("fine", "fines"), lost("entity", "entities")))
+    return norm.select(key, F.inline(rows))
+
+
 def main_entity(norm: DataFrame, key: str = "event_id") -> DataFrame:
     """First entity of each accepted contract, or the blank legacy entity."""
     first = F.try_element_at(F.col("entities"), F.lit(1))

@@ -156,20 +156,43 @@ def q_explode_reps(spark, sf):
     return P.explode_reps(normalized(spark, sf))
 
 
-@register("explode_fines", O.with_ctes(PC, """SELECT f.* FROM fine_v f JOIN acc USING (event_id)
-  WHERE tipo_incumplimiento <> '' AND length(plazo_constancia) <= 255"""))
+@register("explode_fines", O.with_ctes(PC, """SELECT f.event_id, f.pos, tipo_incumplimiento, implicancias, monto_multa_uf, plazo_constancia, descripcion_completa
+  FROM fine_v f JOIN acc USING (event_id) WHERE tipo_incumplimiento <> '' AND NOT uf_bad AND length(plazo_constancia) <= 255"""))
 def q_explode_fines(spark, sf):
     """C10 + C4 + G4 + B6 + D3 + D4 + B11."""
     return P.explode_fines(normalized(spark, sf))
 
 
-@register("explode_entities", O.with_ctes(PC, """SELECT x.* FROM ent_v x JOIN acc USING (event_id)
+@register("explode_entities", O.with_ctes(PC, """SELECT x.event_id, x.pos, x.tipo, x.valor FROM ent_v x JOIN acc USING (event_id)
   WHERE (tipo <> '' OR valor <> '') AND length(tipo) <= 255"""))
 def q_explode_entities(spark, sf):
     """C11 + C7 + C12 + B7 + D4."""
     return P.explode_entities(normalized(spark, sf))
 
 
+REJECT_FIELDS = {
+    "Missing Contrato data": "'Contrato'", "invalid fecha_inicio for default fecha_termino": "'fecha_inicio'",
+    "Missing CompaniaInfo data": "'CompaniaInfo'", "Missing ProveedoresInfo data": "'ProveedoresInfo'",
+    "Representantes is not iterable": "'Representantes'", "representative field is not text": "'Representantes'",
+    "Multas is not iterable": "'Multas'", "database_error: value can''t be read": "n.bad_value",
+    "database_error: date is not text": f"CASE WHEN NOT {O.falsy('n.f_fecha_inicio')} AND json_type(n.f_fecha_inicio) <> 'VARCHAR' THEN 'fecha_inicio' ELSE 'fecha_termino' END"}
+REJECT_FIELD_SQL = "CASE n.reason " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in REJECT_FIELDS.items()) + \
+    " ELSE CASE WHEN starts_with(n.reason, 'database_error: value too long for ') THEN substr(n.reason, 36) ELSE 'payload' END END"
+
+
+@register("quarantine", O.with_ctes(PC, f"""SELECT n.event_id, 'contract' AS scope, CAST(NULL AS INTEGER) AS pos, {REJECT_FIELD_SQL} AS field,
+    n.reason, p.payload FROM norm n JOIN pl p USING (event_id) WHERE n.reason <> 'ok'
+  UNION ALL SELECT event_id, 'fine', pos, CASE WHEN tipo_incumplimiento = '' THEN 'tipo_incumplimiento' WHEN uf_bad THEN 'monto_multa_uf' ELSE 'plazo_constancia' END,
+    CASE WHEN tipo_incumplimiento = '' THEN 'missing' WHEN uf_bad THEN 'amount out of range' ELSE 'value too long' END, replace(text, '10000000.0', '1.0E7')
+  FROM fine_v JOIN acc USING (event_id) WHERE tipo_incumplimiento = '' OR uf_bad OR length(plazo_constancia) > 255
+  UNION ALL SELECT event_id, 'entity', pos, CASE WHEN tipo = '' AND valor = '' THEN 'tipo, valor' ELSE 'tipo' END,
+    CASE WHEN tipo = '' AND valor = '' THEN 'missing' ELSE 'value too long' END, text
+  FROM ent_v JOIN acc USING (event_id) WHERE (tipo = '' AND valor = '') OR length(tipo) > 255"""))
+def q_quarantine(spark, sf):
+    """D13 + K7: what was not stored, with field, reason and the whole text it came in."""
+    return P.quarantine(normalized(spark, sf))
+
+
 @register("providers_as_list", O.with_ctes(PC, """SELECT p.event_id, p.pos, p.nombre, p.rut, p.domicilio
   FROM provs_v p JOIN acc USING (event_id)"""))
 def q_providers_as_list(spark, sf):
@@ -333,7 +356,7 @@ def q_fines_of_contract(spark, sf):
 
 
 @register("fines_by_breach", _sq("""SELECT tipo_incumplimiento, count(*) AS fines,
-  CAST(sum(monto_multa_uf) AS DECIMAL(38,2)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
+  CAST(sum(monto_multa_uf) AS DECIMAL(38,12)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
 def q_fines_by_breach(spark, sf):
     return A.fines_by_breach(star(spark, sf).multas)
 
@@ -405,7 +428,7 @@ def q_section_counts(spark, sf):
 
 
 @register("fine_totals", _sq("""SELECT contrato_id, tipo_incumplimiento, count(*) AS fines,
-  CAST(sum(monto_multa_uf) AS DECIMAL(38,2)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
+  CAST(sum(monto_multa_uf) AS DECIMAL(38,12)) AS total_uf FROM t_multas WHERE is_active GROUP BY ALL"""))
 def q_fine_totals(spark, sf):
     """F7."""
     return A.fine_totals(star(spark, sf).multas)

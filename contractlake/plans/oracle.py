@@ -120,11 +120,34 @@ def d2_json(j: str) -> str:
     return (f"(CASE WHEN {falsy(j)} THEN NULL WHEN {jtype(j)} = 'VARCHAR' THEN {d2_text(jtext(j))} END)")
 
 
-def d3(t: str) -> str:
+def d3_digits(t: str) -> str:
     st = strip(t)
     cleaned = f"replace(regexp_replace({st}, '[^0-9.,]', '', 'g'), ',', '.')"
-    return (f"(CASE WHEN {t} IS NULL OR {st} = '' OR lower({st}) = 'null' OR {cleaned} = '' THEN NULL "
-            f"ELSE TRY_CAST(TRY_CAST({cleaned} AS DOUBLE) AS DECIMAL(18,2)) END)")
+    return f"(CASE WHEN lower({st}) <> 'null' AND regexp_full_match({cleaned}, '[0-9]+\\.?[0-9]*|\\.[0-9]+') THEN {cleaned} END)"
+
+
+def d3_room(t: str) -> str:
+    """Whether 26 digits before the point and 12 behind it hold the amount: digits counted in its two halves."""
+    whole, part = f"ltrim(split_part({d3_digits(t)}, '.', 1), '0')", f"rtrim(split_part({d3_digits(t)}, '.', 2), '0')"
+    return f"(length({whole}) <= 26 AND length({part}) <= 12)"
+
+
+def d3(t: str) -> str:
+    padded = f"'0' || rtrim({d3_digits(t)}, '.')"
+    return f"(CASE WHEN {d3_room(t)} THEN CAST({padded} AS DECIMAL(38,12)) END)"
+
+
+def is_exp(j: str) -> str:
+    return f"({jtype(j)} IN {NUMERIC} AND contains(upper(CAST({j} AS VARCHAR)), 'E'))"
+
+
+def d3_json(j: str) -> str:
+    """Numbers with an exponent by their value, all else by its text."""
+    return f"(CASE WHEN {is_exp(j)} THEN CAST(abs(CAST({jtext(j)} AS DOUBLE)) AS DECIMAL(38,12)) ELSE {d3(jtext(j))} END)"
+
+
+def d3_json_bad(j: str) -> str:
+    return f"(NOT {is_exp(j)} AND NOT coalesce({d3_room(jtext(j))}, true))"
 
 
 def safe_str(t: str) -> str:
@@ -183,6 +206,12 @@ def payload_ctes() -> list[tuple[str, str]]:
 
     def with_default(f: str, d: str) -> str:
         return f"CASE WHEN f_{f} IS NULL THEN {q(d)} ELSE {jtext('f_' + f)} END"
+    def no_value(f: str, value: str) -> str:
+        return f"WHEN f_{f} IS NOT NULL AND json_type(f_{f}) <> 'NULL' AND {value} IS NULL THEN '{f}'"
+    flags = ["renovacion_automatica", "termino_anticipado_activo", "exclusividad_activo"]
+    days = "termino_anticipado_plazo_dias"
+    f_days = f"f_{days}"
+    unreadable = f"CASE {' '.join(no_value(f, flag('f_' + f)) for f in flags)} {no_value(days, f'TRY_CAST({jtext(f_days)} AS INTEGER)')} END"
     start_text = f"CASE WHEN f_fecha_inicio IS NULL THEN '{AS_OF_DATE}' ELSE {jtext('f_fecha_inicio')} END"
     ctes.append(("cv", f"""SELECT *,
         {with_default('tipo_contrato', 'Contrato General')} AS tipo_contrato,
@@ -206,6 +235,7 @@ def payload_ctes() -> list[tuple[str, str]]:
              AND {iso_strict(start_text)} IS NOT NULL)) AS start_bad,
         ((NOT {falsy('f_fecha_inicio')} AND json_type(f_fecha_inicio) <> 'VARCHAR')
           OR (NOT {falsy('f_fecha_termino')} AND json_type(f_fecha_termino) <> 'VARCHAR')) AS date_error,
+        {unreadable} AS bad_value,
         CASE WHEN {has_field('company', 'comp', 'nombre')} THEN {jtext(field_json('company', 'comp', 'nombre'))} ELSE '' END AS comp_nombre,
         CASE WHEN {has_field('company', 'comp', 'rut')} THEN {jtext(field_json('company', 'comp', 'rut'))} ELSE '' END AS comp_rut,
         CASE WHEN {has_field('company', 'comp', 'domicilio')} THEN {jtext(field_json('company', 'comp', 'domicilio'))} ELSE '' END AS comp_domicilio,
@@ -245,12 +275,13 @@ def payload_ctes() -> list[tuple[str, str]]:
     ctes.append(("fine_v", f"""SELECT event_id, pos,
         {safe_str(ftext('tipo_incumplimiento'))} AS tipo_incumplimiento,
         {safe_str(ftext('implicancias'))} AS implicancias,
-        {d3(ftext('monto_multa_uf'))} AS monto_multa_uf,
+        CASE WHEN {d3_json_bad('uf')} THEN NULL ELSE {d3_json('uf')} END AS monto_multa_uf, {d3_json_bad('uf')} AS uf_bad,
         {safe_str(ftext('plazo_constancia'))} AS plazo_constancia,
-        {safe_str(ftext('descripcion_completa'))} AS descripcion_completa FROM fine_e"""))
+        {safe_str(ftext('descripcion_completa'))} AS descripcion_completa, CAST(e AS VARCHAR) AS text
+      FROM (SELECT *, {field_json('fine', 'e', 'monto_multa_uf')} AS uf FROM fine_e)"""))
     ctes.append(("ent_v", f"""SELECT event_id, pos,
         {safe_str(jtext(field_json('entity', 'e', 'tipo')))} AS tipo,
-        {safe_str(jtext(field_json('entity', 'e', 'valor')))} AS valor FROM ent_e"""))
+        {safe_str(jtext(field_json('entity', 'e', 'valor')))} AS valor, CAST(e AS VARCHAR) AS text FROM ent_e"""))
 
     def ptext(name: str) -> str:
         return f"CASE WHEN {has_field('company', 'e', name)} THEN {jtext(field_json('company', 'e', name))} ELSE '' END"
@@ -269,6 +300,7 @@ def payload_ctes() -> list[tuple[str, str]]:
              WHEN coalesce(rf.rep_type_err, false) THEN 'representative field is not text'
              WHEN {not_iter('s_multas')} THEN 'Multas is not iterable'
              WHEN date_error THEN 'database_error: date is not text'
+             WHEN bad_value IS NOT NULL THEN 'database_error: value can''t be read'
              WHEN {too_long({c: 255 for c in ['tipo_contrato', 'tipo_servicio', 'parte_cliente', 'parte_proveedor', 'nombre']})}
                THEN 'database_error: value too long for Contrato'
              WHEN {too_long({'comp_nombre': 255, 'comp_rut': 20, 'comp_domicilio': 255})}
@@ -307,7 +339,7 @@ def star_ctes() -> list[tuple[str, str]]:
     ctes.append(child("t_entidades", "ent_v", "tipo, valor", "(tipo <> '' OR valor <> '') AND length(tipo) <= 255"))
     ctes.append(child("t_multas", "fine_v",
                       "tipo_incumplimiento, implicancias, monto_multa_uf, plazo_constancia, descripcion_completa",
-                      "tipo_incumplimiento <> '' AND length(plazo_constancia) <= 255"))
+                      "tipo_incumplimiento <> '' AND NOT uf_bad AND length(plazo_constancia) <= 255"))
     return ctes
 
 

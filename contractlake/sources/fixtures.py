@@ -69,7 +69,7 @@ def amount_text(k: str, cents: str) -> str:
       WHEN 4 THEN '1.234.567'
       WHEN 5 THEN ''
       WHEN 6 THEN 'N/A'
-      WHEN 7 THEN '99999999999999999'
+      WHEN 7 THEN CASE WHEN {k} % 2 = 0 THEN '0.0125' ELSE '99999999999999999' END
       ELSE NULL END"""
 
 
@@ -124,9 +124,11 @@ def payload_sql(dialect: str, sf_dir: str | None = None) -> str:
     n = _s("l_partkey % 100")
     tipo = (f"CASE WHEN l_partkey % 10 = 0 THEN '  ' WHEN l_partkey % 7 = 0 "
             f"THEN ' Retraso ' || l_returnflag || ' ' ELSE 'Incumplimiento ' || l_returnflag || l_linestatus END")
-    amt = f"""CASE l_suppkey % 6 WHEN 0 THEN 'null' WHEN 1 THEN '"UF ' || {n} || ',5"'
-        WHEN 2 THEN '"null"' WHEN 3 THEN '"entre ' || {n} || ' y 10"' WHEN 4 THEN '0'
-        ELSE '"' || {n} || '."' END"""
+    amt = f"""CASE l_suppkey % 14 WHEN 0 THEN 'null' WHEN 1 THEN '"UF ' || {n} || ',5"'
+        WHEN 2 THEN '"null"' WHEN 3 THEN '"entre ' || {n} || ' y 10"' WHEN 4 THEN '0' WHEN 5 THEN '"' || {n} || '."'
+        WHEN 6 THEN '"0.0125"' WHEN 7 THEN '99999999999999999' WHEN 8 THEN '1e7' WHEN 9 THEN '0.0125'
+        WHEN 10 THEN '"123456789012345678901234567890"' WHEN 11 THEN '-3.5' WHEN 12 THEN '"1.2.3"'
+        ELSE '"0.00000000000000001"' END"""
     akey = ("CASE l_partkey % 3 WHEN 0 THEN 'monto_multa_uf' WHEN 1 THEN 'Monto de la multa en UF' "
             "ELSE 'Monto de la Multa en UF' END")
     impl = f"'Implica ' || {_s('l_linenumber')}"
@@ -174,8 +176,9 @@ def payload_sql(dialect: str, sf_dir: str | None = None) -> str:
            ELSE coalesce('"' || ({amount_text(k, cents)}) || '"', 'null') END
       || ',"multa_monto":0,"multa_penalidades":"ver anexo","termino_anticipado_activo":'
       || CASE WHEN {k} % 4 = 0 THEN 'true' ELSE 'false' END || ','
-      || CASE WHEN {k} % 8 = 1 THEN '' ELSE '"termino_anticipado_plazo_dias":' || {_s(f'{k} % 90')} || ',' END
-      || '"exclusividad_activo":' || CASE WHEN {k} % 6 = 0 THEN 'true' ELSE 'false' END
+      || CASE WHEN {k} % 8 = 1 THEN '' WHEN {k} % 107 = 0 THEN '"termino_anticipado_plazo_dias":"treinta",'
+           ELSE '"termino_anticipado_plazo_dias":' || {_s(f'{k} % 90')} || ',' END
+      || '"exclusividad_activo":' || CASE WHEN {k} % 103 = 0 THEN '"quiza"' WHEN {k} % 6 = 0 THEN 'true' ELSE 'false' END
       || ',"exclusividad_detalles":"' || CASE WHEN {k} % 6 = 0 THEN 'Exclusivo' ELSE '' END
       || '","descripcion":"Pedido ' || o_orderstatus || '","nombre":"Contrato ' || {ks} || '"}}'"""
     contrato_sec = (f"CASE WHEN {k} % 47 = 0 THEN '{{}}' WHEN {k} % 53 = 0 THEN '[' || {contrato} || ']' "
