@@ -25,6 +25,7 @@ too, and 64 bits wide. No words give no rows; equal scores go by count, then phr
 from __future__ import annotations
 
 import struct
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -237,6 +238,52 @@ class Automaton:
             theirs, mine, way = asked.target[arc][on], self.target[own][on], way[on]
         return summed(asked.words, np.vstack([f[0] for f in found]), np.concatenate([f[1] for f in found]))
 
+    def restricted(self, lo: Phrase | None, hi: Phrase | None) -> Automaton | None:
+        """The automaton of the phrases from ``lo`` on and before ``hi``; None if there are none. States off the two edges are
+        taken over as they are; on each edge, the states along it are cut."""
+        def label(word: bytes) -> float:
+            k = bisect_left(self.words, word)
+            return k + 1 if k < len(self.words) and self.words[k] == word else k + 0.5
+
+        edges = [None if e is None else [label(w) for w in e] for e in (lo, hi)]
+        cut: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # new states, children first
+
+        def cut_state(state: int, low: list[float] | None, high: list[float] | None) -> int:
+            """Number, from -1 down, of the new state; 0 if nothing is left."""
+            here = slice(self.first[state], self.first[state + 1])
+            names, weights, targets = (x[here].copy() for x in (self.label, self.weight, self.target))
+            keep = np.ones(len(names), dtype=bool)
+            if low is not None:
+                keep &= names >= low[0]
+                weights[(names == low[0]) & (len(low) > 1)] = 0
+            if high is not None:
+                keep &= (names < high[0]) | ((names == high[0]) & (len(high) > 1))
+            names, weights, targets = names[keep], weights[keep], targets[keep]
+            for k in {k for e in (low, high) if e is not None and len(e) > 1 for k in np.flatnonzero(names == e[0]).tolist()}:
+                below = [e[1:] if e is not None and len(e) > 1 and names[k] == e[0] else None for e in (low, high)]
+                if targets[k] > 0:
+                    targets[k] = cut_state(int(targets[k]), *below)
+            keep = (weights > 0) | (targets != 0)
+            if not keep.any():
+                return 0
+            cut.append((names[keep], weights[keep], targets[keep]))
+            return -len(cut)
+
+        if self.root == 0 or cut_state(self.root, *edges) == 0:
+            return None
+        known = np.unique(np.concatenate([t[t > 0] for _, _, t in cut]))
+        for _ in range(LONGEST):
+            _, arc = self._step(known)
+            known = np.unique(np.concatenate((known, self.target[arc][self.target[arc] > 0])))
+        _, arc = self._step(known)
+        columns = [np.concatenate(x) for x in zip((self.label[arc], self.weight[arc], self.target[arc]), *cut)]
+        first = np.concatenate(([0, 0], np.cumsum(np.concatenate((self.first[known + 1] - self.first[known], [len(c[0]) for c in cut])))))
+        number = np.where(columns[2] > 0, np.searchsorted(known, columns[2]) + 1, np.where(columns[2] < 0, len(known) - columns[2], 0))
+        used = np.flatnonzero(np.bincount(columns[0], minlength=len(self.words) + 1))
+        names = np.zeros(len(self.words) + 1, dtype=np.int64)
+        names[used] = np.arange(1, len(used) + 1)
+        return Automaton([self.words[k - 1] for k in used.tolist()], first.astype(np.int64), names[columns[0]], columns[1], number, len(known) + len(cut))
+
     def pack(self) -> bytes:
         text = b" ".join(self.words)  # words hold no blanks
         arrays = [x.astype(np.int64 if x.size and x.max() >= 1 << 31 else np.int32) for x in (self.first, self.label, self.weight, self.target)]
@@ -261,8 +308,7 @@ class Automaton:
 
 def build(p: Phrases) -> Automaton:
     """The automaton of sorted phrases, over the words that they use."""
-    used = np.unique(p.ids)
-    used = used[used > 0]
+    used = np.flatnonzero(np.bincount(p.ids.ravel(), minlength=len(p.words) + 1)[1:]) + 1
     number = np.zeros(len(p.words) + 1, dtype=np.int64)
     number[used] = np.arange(1, len(used) + 1)
     builder = Builder()
@@ -304,15 +350,22 @@ class _Run:
     def counted(self) -> tuple[int, Phrases]:
         """Number of words, and all phrases with their counts."""
         words = sorted(w for w in self.known if w != BREAK)
-        rank = np.zeros(len(self.known), dtype=np.int32)
+        rank = np.zeros(len(self.known), dtype=np.int64)
         rank[[self.known[w] for w in words]] = np.arange(1, len(words) + 1)
-        flat = rank[np.concatenate(self.texts)]
-        flat = np.concatenate((flat, np.zeros(LONGEST, dtype=np.int32)))
+        flat = np.concatenate((rank[np.concatenate(self.texts)], np.zeros(LONGEST, dtype=np.int64)))
         n = len(flat) - LONGEST
-        ids = np.stack([flat[k:k + n] for k in range(LONGEST)], axis=1)
-        ids = ids[ids[:, 0] > 0]
-        ids[:, 2][ids[:, 1] == 0] = 0
-        return len(ids), with_prefixes(summed(words, ids, np.ones(len(ids), dtype=np.int64)))  # the longest phrase from each word on
+        one, two, three = (flat[k:k + n] for k in range(LONGEST))
+        three = np.where(two > 0, three, 0)
+        begins = np.flatnonzero(one > 0)  # the longest phrase from each word on
+        one, two, three = one[begins], two[begins], three[begins]
+        base = len(words) + 1
+        if base ** LONGEST >= 1 << 62:
+            return len(begins), with_prefixes(summed(words, np.stack((one, two, three), axis=1), np.ones(len(begins), dtype=np.int64)))
+        key = np.sort((one * base + two) * base + three)
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
+        counts, key = np.diff(np.append(starts, len(key))), key[starts]
+        ids = np.stack((key // (base * base), key // base % base, key % base), axis=1).astype(np.int32)
+        return len(begins), with_prefixes(Phrases(words, ids, counts))
 
 
 def with_prefixes(full: Phrases) -> Phrases:
@@ -381,8 +434,10 @@ def _cut(cuts: dict[str, list[Phrase]]) -> Callable[[Iterator[pa.RecordBatch]],
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, data in zip(batch["lang"].to_pylist(), batch["automaton"]):
-                for k, part in _parts(cuts, lang, Automaton.unpack(data.as_buffer()).phrases()):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), pa.array([build(part).pack()])], ["lang", "part", "automaton"])
+                whole, edges = Automaton.unpack(data.as_buffer()), [None, *cuts.get(lang, []), None]
+                for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
+                    if (part := whole.restricted(lo, hi)) is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), pa.array([part.pack()])], ["lang", "part", "automaton"])
 
     return pieces
 

@@ -106,5 +106,11 @@ def test_automata_round_trip_share_endings_unite_and_compose():
         both.update(two)
         assert as_dict(co.united([phrases_of(words, one), phrases_of(words, two)])) == dict(both)
         assert as_dict(first.compose(co.build(phrases_of(words, two)))) == {p: one[p] for p in two if p in one}
+        for _ in range(12):
+            lo, hi = sorted(tuple(rng.choice([*words, b"ab", b"zz", b"A"]) for _ in range(rng.randrange(1, 4))) for _ in range(2))
+            lo, hi = rng.choice([(lo, hi), (None, hi), (lo, None), (None, None)])
+            part = first.restricted(lo, hi)
+            want = {p: c for p, c in one.items() if (lo is None or p >= lo) and (hi is None or p < hi)}
+            assert (as_dict(co.Automaton.unpack(part.pack()).phrases()) if part else {}) == want, (lo, hi)
     shared = co.build(phrases_of([b"a", b"b", b"c"], {(x, y, z): 1 for x in (b"a", b"b", b"c") for y in (b"a", b"b", b"c") for z in (b"a", b"b")}))
     assert len(shared.first) - 1 == 4  # end, after two words, after one, start
