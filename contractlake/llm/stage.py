@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``. Only a one-machine session may do without one (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    spark.conf.set("spark.checkpoint.dir", folder := "file://" + tempfile.mkdtemp(prefix="contractlake-llm-"))
-    return folder
+from contractlake.session import checkpoint_dir
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
