@@ -130,7 +130,8 @@ def gate_events(events: DataFrame, markers: DataFrame | None = None,
     # One pass: identical copies of the first passing delivery become one 'pass' row plus one
     # 'already processed' row carrying the remaining copies (inline of a 1- or 2-element array).
     is_pass = F.col("status") == "pass"
-    main = F.struct(F.when(is_pass, F.lit(1)).otherwise(F.col("copies")).cast("bigint").alias("copies"),
+    # (deliveries without an id can't be told to be repeats: each passes, with all its copies)
+    main = F.struct(F.when(is_pass & is_first, F.lit(1)).otherwise(F.col("copies")).cast("bigint").alias("copies"),
                     F.col("status").alias("status"), F.col("reason").alias("reason"))
     rep = F.struct((F.col("copies") - 1).cast("bigint").alias("copies"), F.lit("skipped").alias("status"),
                    F.lit(R_ALREADY).alias("reason"))
@@ -146,11 +147,6 @@ def already_processed(events: DataFrame, markers: DataFrame) -> DataFrame:
     return events.join(markers.select("event_id"), "event_id", "left_semi")
 
 
-def new_events(events: DataFrame, markers: DataFrame) -> DataFrame:
-    """Events without a marker (left anti join)."""
-    return events.join(markers.select("event_id"), "event_id", "left_anti")
-
-
 def mark_processed(gated: DataFrame, markers: DataFrame | None, as_of: str = AS_OF) -> DataFrame:
     """A5: marker rows to append -- passing events not marked yet (idempotent: re-running on the
     same batch appends nothing). Written *before* processing by default (T12, at-most-once)."""

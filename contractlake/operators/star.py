@@ -10,15 +10,17 @@ From normalized payload rows (``operators.payload.normalize_payloads``):
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contractlake.functions.scalars import AS_OF, as_of_ts, py_strip
 from contractlake.operators import payload as P
 from contractlake.operators.ids import assign_dense_ids
-from contractlake.session import checkpoint_dir
+from contractlake.session import saved
+from contractlake.sources.buckets import read_or_empty
 
 STAR_TABLES = ["contrato", "compania_info", "proveedores_info", "representantes", "entidades", "multas"]
 
@@ -121,22 +123,59 @@ def one_per_event(payloads: DataFrame) -> DataFrame:
     return payloads.groupBy("event_id").agg(F.min("payload").alias("payload"))
 
 
-def publish(star: Star, location: str, batch_id: int | None = None) -> Star:
-    """Write the six tables and the rejects as Parquet below ``location`` and return them read back, so that reports
-    scan them with pushed filters and pruned columns. With ``batch_id`` each table's partition of that batch is
-    replaced: writing a batch again changes nothing."""
+MANIFEST_SCHEMA = "version bigint, folder string, tables array<struct<name:string,ddl:string>>"
+
+
+def _write(df: DataFrame, path: str, mode: str = "error") -> None:
+    df.write.mode(mode).parquet(path)
+
+
+def publish_batch(star: Star, location: str, batch_id: int) -> Star:
+    """A6 for one batch of a stream: each table's partition of that batch is replaced, so writing a batch again changes
+    nothing. Returns the tables with all their batches."""
     out = {}
     for name, df in {**star.tables(), "rejected": star.rejected}.items():
         path = f"{location.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path if batch_id is None else f"{path}/batch_id={batch_id}")
+        _write(df, f"{path}/batch_id={batch_id}", "overwrite")
         out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     return Star(**out)
 
 
+def publish(star: Star, location: str) -> Star:
+    """A6 + K8: write the six tables and the rejects as a new version below ``location`` and return them read back.
+
+    Each attempt writes to a folder of its own. The manifest gets one row when all tables are whole, and readers
+    follow the manifest: a crash between any two writes leaves them on the version before, and what the attempt
+    wrote is never read. One writer at a time; of two that race, both versions are whole and the later folder name wins.
+    """
+    spark, root = star.contrato.sparkSession, location.rstrip("/")
+    versions = read_or_empty(spark, f"{root}/manifest", MANIFEST_SCHEMA).agg(F.max("version")).first()
+    version = (versions[0] or 0) + 1
+    folder = f"version-{version}-{uuid.uuid4().hex}"
+    tables = {**star.tables(), "rejected": star.rejected}
+    for name, df in tables.items():
+        _write(df, f"{root}/{folder}/{name}")
+    entries = [(name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)) for name, df in tables.items()]
+    record = spark.createDataFrame([(version, folder, entries)], MANIFEST_SCHEMA).coalesce(1)
+    _write(record, f"{root}/manifest", "append")
+    return read_star(spark, location, version)
+
+
+def read_star(spark: SparkSession, location: str, version: int | None = None) -> Star:
+    """The star as published: its newest whole version, or an earlier one."""
+    root = location.rstrip("/")
+    rows = read_or_empty(spark, f"{root}/manifest", MANIFEST_SCHEMA)
+    if version is not None:
+        rows = rows.filter(F.col("version") == version)
+    newest = rows.agg(F.max_by(F.struct("folder", "tables"), F.struct("version", "folder")).alias("r")).first()["r"]
+    if newest is None:
+        raise ValueError(f"no published version{'' if version is None else f' {version}'} in {location}")
+    return Star(**{t["name"]: spark.read.schema(t["ddl"]).parquet(f"{root}/{newest['folder']}/{t['name']}") for t in newest["tables"]})
+
+
 def write_star(payloads: DataFrame, location: str, as_of: str = AS_OF) -> Star:
     """A6 as one batch: payload rows (event_id, payload) -> one per event -> normalized once -> published tables."""
-    checkpoint_dir(payloads.sparkSession)
-    norm = P.normalize_payloads(one_per_event(payloads)).checkpoint(eager=True)
+    norm = saved(P.normalize_payloads(one_per_event(payloads)), "normalized")
     return publish(build_star(norm, as_of), location)
 
 

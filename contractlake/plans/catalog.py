@@ -18,7 +18,7 @@ from contractlake.operators import star as ST
 from contractlake.plans import oracle as O
 from contractlake.functions.scalars import AS_OF
 from contractlake.sources import fixtures as fx
-from contractlake.session import checkpoint_dir
+from contractlake.session import checkpoint_dir, saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -38,13 +38,11 @@ _STAR_CACHE: dict[tuple[str, str], ST.Star] = {}
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalized payloads, computed once and cut from their lineage with a reliable checkpoint in
-    the cluster's ``spark.checkpoint.dir`` (survives executor loss; the six star tables and all
-    reports read it instead of re-parsing every payload)."""
+    """Normalized payloads, computed once and written to the shared folder (survives executor loss; the six star tables
+    and all reports read it, each only its columns, instead of parsing every payload again)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _NORM_CACHE:
-        checkpoint_dir(spark)
-        _NORM_CACHE[key] = P.normalize_payloads(fx.payload_docs(spark, sf_dir)).checkpoint(eager=True)
+        _NORM_CACHE[key] = saved(P.normalize_payloads(fx.payload_docs(spark, sf_dir)), "normalized")
     return _NORM_CACHE[key]
 
 
@@ -256,8 +254,15 @@ from contractlake.operators import gate as G  # noqa: E402
 GC = O.gate_ctes()
 
 
+_GATE_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
 def gated(spark, sf):
-    return G.gate_events(fx.blob_events(spark, sf), fx.markers(spark, sf))
+    """Gate decisions, taken once per session and input folder and written to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _GATE_CACHE:
+        _GATE_CACHE[key] = saved(G.gate_events(fx.blob_events(spark, sf), fx.markers(spark, sf)), "gated")
+    return _GATE_CACHE[key]
 
 
 @register("event_source", O.with_ctes(GC[:1], "SELECT * FROM ev"))
@@ -324,6 +329,44 @@ def q_status_summary(spark, sf):
     return G.status_summary(gated(spark, sf))
 
 
+from contractlake.operators import outcome as OC  # noqa: E402
+from contractlake.sources import buckets as BK  # noqa: E402
+
+
+@register("stream_dedupe", O.with_ctes(GC, "SELECT event_id, event_time, url FROM gate_out WHERE status = 'pass'"))
+def q_stream_dedupe(spark, sf):
+    """Each event id at most once, against the marker table in buckets, of which only those of the events' ids are read."""
+    events, place = fx.blob_events(spark, sf), f"{checkpoint_dir(spark).rstrip('/')}/markers-{uuid.uuid4().hex}"
+    BK.write_buckets(fx.markers(spark, sf), place, "event_id")
+    known = BK.read_buckets(spark, place, "event_id string, marked_at timestamp_ntz", "event_id", events)
+    return G.gate_events(events, known).filter(F.col("status") == "pass").select("event_id", "event_time", "url")
+
+
+@register("mark_before_process", O.with_ctes(GC, """SELECT event_id, event_time, subject, url, copies,
+    CASE WHEN static_reason = 'processed-events container' THEN static_reason
+         WHEN marked OR event_id IN (SELECT event_id FROM g3 WHERE status = 'pass') THEN 'already processed' ELSE static_reason END AS reason FROM g3"""))
+def q_mark_before_process(spark, sf):
+    """The same events delivered again, after a first batch that marked what it passed before it worked on it: nothing is tried
+    twice, whatever became of it."""
+    events, seeded = fx.blob_events(spark, sf), fx.markers(spark, sf).select("event_id")
+    first = G.mark_processed(gated(spark, sf), fx.markers(spark, sf)).select("event_id")
+    return G.gate_events(events, seeded.unionByName(first)).select("event_id", "event_time", "subject", "url", "copies", "reason")
+
+
+# payloads of the blob events: one or more for most, only an empty one for some, none for others
+EVENT_PC = O.payload_ctes("SELECT event_id, 0 AS doc_key, min(payload) AS payload FROM ev_payloads WHERE event_id IN (SELECT event_id FROM gate_out WHERE status = 'pass') GROUP BY event_id")
+
+
+@register("event_to_star", O.with_ctes([*GC, ("ev_payloads", fx.event_payloads_sql("duckdb")), *EVENT_PC], """SELECT g.event_id, g.event_type, g.subject, g.url, g.event_time, g.copies,
+    CASE WHEN g.status <> 'pass' THEN g.status WHEN n.reason = 'ok' THEN 'success' ELSE 'error' END AS status,
+    CASE WHEN g.status <> 'pass' THEN g.reason WHEN n.event_id IS NULL THEN 'failed to load json' WHEN n.reason <> 'ok' THEN n.reason END AS reason,
+    CASE WHEN g.status = 'pass' THEN k.contrato_id END AS contract_id
+  FROM gate_out g LEFT JOIN norm n ON n.event_id = g.event_id LEFT JOIN keys k ON k.event_id = g.event_id"""))
+def q_event_to_star(spark, sf):
+    """J4, the batch twin of the stream: the terminal status of every delivery, with its contract id or the reason."""
+    return OC.process_gated(gated(spark, sf), fx.event_payloads(spark, sf)).statuses()
+
+
 # ---------------------------------------------------------------------------
 # access paths and reports over the star
 # ---------------------------------------------------------------------------

@@ -180,9 +180,9 @@ CONTRACT_FIELDS = ["tipo_contrato", "tipo_servicio", "parte_cliente", "parte_pro
                    "descripcion", "nombre"]
 
 
-def payload_ctes() -> list[tuple[str, str]]:
-    """CTE chain for the payload flow (FIXTURES §3.3 input)."""
-    ctes: list[tuple[str, str]] = [("pl", fx.payload_sql("duckdb"))]
+def payload_ctes(payloads: str | None = None) -> list[tuple[str, str]]:
+    """CTE chain for the payload flow over ``payloads`` (event_id, doc_key, payload), else the input of FIXTURES §3.3."""
+    ctes: list[tuple[str, str]] = [("pl", payloads or fx.payload_sql("duckdb"))]
     ctes.append(("cls", """SELECT event_id, doc_key,
         CASE WHEN payload IS NULL THEN 'semantic extraction failed'
              WHEN NOT coalesce(json_valid(payload), false) THEN 'json_decode_error'

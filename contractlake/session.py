@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "contractlake") -> SparkSession:
-    """Local/test session. On a cluster, build the session outside and call ``configure``."""
+                app_name: str = "contractlake", shared_folder: str | None = None) -> SparkSession:
+    """Local/test session. On a cluster, build the session outside and call ``configure``. ``shared_folder`` sets
+    ``spark.checkpoint.dir`` where Spark's defaults don't."""
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     b = (SparkSession.builder.master(master or f"local[{cpus}]")
          .appName(app_name)
@@ -38,7 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in REQUIRED_CONF.items():
+    for k, v in (REQUIRED_CONF | ({"spark.checkpoint.dir": shared_folder} if shared_folder else {})).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,20 +46,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
-
-    A session on one machine (``local`` or ``local[n]``, as in tests) that names none gets a fresh scratch folder;
-    anywhere else a missing setting is an error, as a machine-local folder would be lost with its executor.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="contractlake-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The folder that the driver and all executors share, as the session names it in ``spark.checkpoint.dir``. Spark takes that
+    setting when the session is built only; a session without it is an error, as a machine-local folder would be lost with its executor."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("build the session with spark.checkpoint.dir set to a folder that the driver and all executors share")
+    return folder
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:

@@ -236,6 +236,16 @@ def payload_sql(dialect: str, sf_dir: str | None = None) -> str:
       ) d"""
 
 
+def event_payloads_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Payload rows of the blob events: event e's is that of document e. Every 29th has none, every 31st only an empty
+    row beside it, every 37th an empty row alone, every 41st its payload twice."""
+    id_ = f"'e' || lpad({_s('doc_key')}, 12, '0')"
+    rows = f"SELECT {id_} AS event_id, doc_key, payload FROM ({payload_sql(dialect, sf_dir)}) p WHERE doc_key % 29 <> 0"
+    return f"""SELECT event_id, CASE WHEN doc_key % 37 = 0 THEN NULL ELSE payload END AS payload FROM ({rows}) a
+      UNION ALL SELECT event_id, NULL AS payload FROM ({rows}) b WHERE doc_key % 31 = 0
+      UNION ALL SELECT event_id, payload FROM ({rows}) c WHERE doc_key % 41 = 0 AND doc_key % 37 <> 0"""
+
+
 def page_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
     """Document text as page lines (§3.4): split on newline, 5 lines per page, numbered from 1."""
     t = refs(dialect, sf_dir)
@@ -301,6 +311,10 @@ def payload_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(payload_sql("spark", sf_dir))
 
 
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(event_payloads_sql("spark", sf_dir))
+
+
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(page_lines_sql("spark", sf_dir))
 
