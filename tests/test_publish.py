@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from contractlake.operators import payload as P
 from contractlake.operators import star as ST
+from contractlake.session import saved
 
 ONE = """{"Contrato": {"tipo_contrato": "%s", "fecha_inicio": "2024-01-01"}, "CompaniaInfo": {"nombre": "n"}, "ProveedoresInfo": [{"nombre": "p"}],
           "Representantes": [], "Multas": [{"tipo_incumplimiento": "x", "monto_multa_uf": 0.0125}], "Entidades": []}"""
@@ -12,7 +13,7 @@ ONE = """{"Contrato": {"tipo_contrato": "%s", "fecha_inicio": "2024-01-01"}, "Co
 
 def star_of(spark, kind, n):
     rows = spark.range(n).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), F.lit(ONE % kind).alias("payload"))
-    return ST.build_star(P.normalize_payloads(rows.unionByName(spark.createDataFrame([("bad", "{")], "event_id string, payload string"))))
+    return ST.build_star(saved(P.normalize_payloads(rows.unionByName(spark.createDataFrame([("bad", "{")], "event_id string, payload string"))), "test"))
 
 
 def test_a_crash_after_any_write_leaves_the_old_version(spark, scratch, monkeypatch):
