@@ -112,7 +112,8 @@ class Builder:
     by two 64-bit sums over their arcs, which are taken for the arcs themselves."""
 
     def __init__(self) -> None:
-        self.register: dict[int, tuple[int, int]] = {}
+        self.known = np.zeros(0, dtype=np.uint64)  # first sums of frozen states, sorted, with their second sums and numbers
+        self.known_other, self.known_state = self.known, np.zeros(0, dtype=np.int64)
         self.states, self.arcs = 1, 0  # state 0 ends
         self.first: list[np.ndarray] = [np.zeros(2, dtype=np.int64)]
         self.done_arcs: list[tuple[np.ndarray, ...]] = []
@@ -131,20 +132,24 @@ class Builder:
             x ^= x >> np.uint64(31)
             x *= salt[3]
             sums.append(np.add.reduceat(x ^ (x >> np.uint64(29)), starts))
-        known, at, same = np.unique(sums[0], return_index=True, return_inverse=True)
-        state, fresh = np.empty(len(known), dtype=np.int64), np.zeros(len(known), dtype=bool)
-        for k, (key, other) in enumerate(zip(known.tolist(), sums[1][at].tolist())):
-            found = self.register.get(key)
-            if found is None or found[1] != other:
-                found = self.register[key] = (self.states, other)
-                self.states += 1
-                fresh[k] = True
-            state[k] = found[0]
+        key, at, same = np.unique(sums[0], return_index=True, return_inverse=True)
+        other = sums[1][at]
+        place = np.minimum(np.searchsorted(self.known, key), max(len(self.known) - 1, 0))
+        seen = (self.known[place] == key) & (self.known_other[place] == other) if len(self.known) else np.zeros(len(key), dtype=bool)
+        fresh = ~seen
+        state = np.empty(len(key), dtype=np.int64)
+        state[seen] = self.known_state[place[seen]]
+        state[fresh] = np.arange(self.states, self.states + int(fresh.sum()))
+        self.states += int(fresh.sum())
+        order = np.argsort(both := np.concatenate((self.known, key[fresh])), kind="stable")
+        self.known = both[order]
+        self.known_other = np.concatenate((self.known_other, other[fresh]))[order]
+        self.known_state = np.concatenate((self.known_state, state[fresh]))[order]
         out = state[same]
-        odd = np.flatnonzero(sums[1] != sums[1][at][same])  # equal in one sum only: a state of its own
+        odd = np.flatnonzero(sums[1] != other[same])  # equal in one sum only: a state of its own
         out[odd] = np.arange(self.states, self.states + len(odd))
         self.states += len(odd)
-        new = np.concatenate((at[fresh][np.argsort(state[fresh])], odd))
+        new = np.concatenate((at[fresh], odd))
         ends = np.append(starts, len(label))
         n = ends[new + 1] - ends[new]
         arc = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[new], n)
@@ -208,15 +213,26 @@ class Automaton:
 
     def phrases(self) -> Phrases:
         """All phrases, sorted."""
-        found, states, way = [], np.array([self.root]), np.zeros((1, 0), dtype=np.int32)
-        for depth in range(LONGEST):
-            at, arc = self._step(states)
-            way = np.hstack((way[at], self.label[arc, None].astype(np.int32)))
-            ends = self.weight[arc] > 0
-            found.append((np.pad(way[ends], ((0, 0), (0, LONGEST - depth - 1))), self.weight[arc][ends]))
-            on = self.target[arc] > 0
-            states, way = self.target[arc][on], way[on]
-        return summed(self.words, np.vstack([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+        if not self.root:
+            return Phrases(self.words, np.zeros((0, LONGEST), dtype=np.int32), np.zeros(0, dtype=np.int64))
+        _, one = self._step(np.array([self.root]))
+        under, two = self._step(self.target[one])
+        below, three = self._step(self.target[two])
+        ends_one, ends_two = self.weight[one] > 0, self.weight[two] > 0
+        # where each stands among all, an arc's own phrase before those that go on from it
+        sizes = ends_two + np.bincount(below, minlength=len(two))
+        ahead_one, ahead_two = np.cumsum(ends_one), np.cumsum(ends_two)
+        sums = np.bincount(under, weights=sizes, minlength=len(one)).astype(np.int64)
+        places = [(ahead_one + np.cumsum(sums) - sums - 1)[ends_one], (ahead_one[under] + np.cumsum(sizes) - sizes)[ends_two],
+                  ahead_one[under[below]] + ahead_two[below] + np.arange(len(three))]
+        n = sum(len(x) for x in places)
+        ids, counts = np.zeros((n, LONGEST), dtype=np.int32), np.empty(n, dtype=np.int64)
+        ways = [(one[ends_one],), (one[under][ends_two], two[ends_two]), (one[under[below]], two[below], three)]
+        for place, way in zip(places, ways):
+            for k, arc in enumerate(way):
+                ids[place, k] = self.label[arc]
+            counts[place] = self.weight[way[-1]]
+        return Phrases(self.words, ids, counts)
 
     def compose(self, asked: Automaton) -> Phrases:
         """``asked``'s phrases that this automaton has, with its weights: both are walked together, a word at a time."""
@@ -353,19 +369,22 @@ class _Run:
         rank = np.zeros(len(self.known), dtype=np.int64)
         rank[[self.known[w] for w in words]] = np.arange(1, len(words) + 1)
         flat = np.concatenate((rank[np.concatenate(self.texts)], np.zeros(LONGEST, dtype=np.int64)))
-        n = len(flat) - LONGEST
-        one, two, three = (flat[k:k + n] for k in range(LONGEST))
-        three = np.where(two > 0, three, 0)
-        begins = np.flatnonzero(one > 0)  # the longest phrase from each word on
-        one, two, three = one[begins], two[begins], three[begins]
-        base = len(words) + 1
+        self.texts = []
+        n, base = len(flat) - LONGEST, len(words) + 1
+        first, second = flat[:n], flat[1:n + 1]
+        third = np.where(second > 0, flat[2:n + 2], 0)
+        begins = first > 0  # the longest phrase from each word on
         if base ** LONGEST >= 1 << 62:
-            return len(begins), with_prefixes(summed(words, np.stack((one, two, three), axis=1), np.ones(len(begins), dtype=np.int64)))
-        key = np.sort((one * base + two) * base + three)
+            ids = np.stack((first[begins], second[begins], third[begins]), axis=1)
+            return len(ids), with_prefixes(summed(words, ids, np.ones(len(ids), dtype=np.int64)))
+        key = ((first * base + second) * base + third)[begins]
+        del flat, first, second, third, begins
+        key.sort()
+        n = len(key)
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
         counts, key = np.diff(np.append(starts, len(key))), key[starts]
         ids = np.stack((key // (base * base), key // base % base, key % base), axis=1).astype(np.int32)
-        return len(begins), with_prefixes(Phrases(words, ids, counts))
+        return n, with_prefixes(Phrases(words, ids, counts))
 
 
 def with_prefixes(full: Phrases) -> Phrases:
