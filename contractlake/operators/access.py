@@ -91,6 +91,17 @@ def contracts_by_document(contrato: DataFrame) -> DataFrame:
             .groupBy("nombre").agg(F.count(F.lit(1)).alias("contracts"), F.min("id").alias("first_id")))
 
 
+def with_metadata(contrato: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Star B's view of a contract: the parent row with its document's metadata (``contrato_id`` and a metadata record)."""
+    return contrato.join(metadata.withColumnRenamed("contrato_id", "id"), "id", "left")
+
+
+def contracts_by_reference(contratos: DataFrame) -> DataFrame:
+    """M8: active contracts by document name and internal reference (star B has both, the second in no index of star A)."""
+    return (active(contratos).filter(F.col("referencia_interna").isNotNull() | F.col("nombre_documento").isNotNull())
+            .groupBy("nombre_documento", "referencia_interna").agg(F.count(F.lit(1)).alias("contracts"), F.min("id").alias("first_id")))
+
+
 def _per_contract_count(df: DataFrame, name: str) -> DataFrame:
     return active(df).groupBy("contrato_id").agg(F.count(F.lit(1)).alias(name))
 
@@ -123,7 +134,7 @@ def star_view(contrato: DataFrame, compania: DataFrame, multas: DataFrame, reps:
     c = active(contrato).select(F.col("id").alias("contrato_id"), "event_id", "tipo_contrato",
                                 "parte_cliente", "monto_total", "fecha_inicio")
     comp = (active(compania).groupBy("contrato_id")
-            .agg(F.first(F.struct("nombre", "rut")).alias("compania")))
+            .agg(F.min_by(F.struct("nombre", "rut"), "id").alias("compania")))
     fin = (active(multas).groupBy("contrato_id")
            .agg(F.sort_array(F.collect_list(F.struct("id", "tipo_incumplimiento", "monto_multa_uf"))).alias("multas")))
     rep = (active(reps).groupBy("contrato_id")

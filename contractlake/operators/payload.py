@@ -85,10 +85,17 @@ def classify_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
 # C2 / C3 / B11 / H2 helpers
 # ---------------------------------------------------------------------------
 
-def section_value(obj: Column, name: str) -> Column:
-    """C2 ``safe_get`` on an object: VARIANT of the section, SQL NULL when the key is absent.
-    (The list form of C2 never applies on the live path: the payload is an object by then.)"""
-    return F.try_variant_get(obj, f"$.{name}", "variant")
+def _member(v: Column, key: str) -> Column:
+    return F.try_variant_get(v, f'$["{key}"]', "variant")
+
+
+def safe_get(source: Column, key: str) -> Column:
+    """VARIANT of ``key`` in an object, or in the first object of a list that has it; SQL NULL where there is none.
+    A JSON null under the key is a value."""
+    kind = vtype(source)
+    objects = F.filter(F.when(is_arr(kind), F.try_variant_get(source, "$", "array<variant>")), lambda x: is_obj(vtype(x)))
+    found = F.filter(F.transform(objects, lambda x: _member(x, key)), lambda v: v.isNotNull())
+    return F.when(is_obj(kind), _member(source, key)).otherwise(F.try_element_at(found, F.lit(1)))
 
 
 def ensure_object(sec_v: Column, sec_s: Column, sec_text: Column) -> tuple[Column, Column]:
@@ -430,6 +437,25 @@ def quarantine(norm: DataFrame, key: str = "event_id") -> DataFrame:
     return norm.select(key, F.inline(rows))
 
 
+def structured_envelope(norm: DataFrame, key: str = "event_id", as_of: str = AS_OF) -> DataFrame:
+    """A10: each accepted contract as one nested record: id, the sections, the entities in both forms (``Entidades`` the first
+    or a blank one, ``EntidadesList`` all) and the processing time. The id has the second of ``as_of``, as the reference's; ``key``
+    beside it tells contracts of one batch apart (T14). Values are the normalized ones."""
+    at = F.to_timestamp_ntz(F.lit(as_of))
+    modelled = F.struct(*[F.col("contract")[f].alias(f) for f in CONTRACT_FIELDS])
+    blank = F.struct(F.lit("").alias("tipo"), F.lit("").alias("valor"))
+    entities = F.transform("entities", lambda x: F.struct(x["tipo"].alias("tipo"), x["valor"].alias("valor")))
+    fine_fields = ["tipo_incumplimiento", "implicancias", "monto_multa_uf", "plazo_constancia", "descripcion_completa"]
+    return accepted(norm).select(key, F.struct(
+        F.concat(F.lit("contrato_"), F.date_format(at, "yyyyMMdd_HHmmss")).alias("id"),
+        modelled.alias("Contrato"), F.col("company").alias("CompaniaInfo"), F.col("provider").alias("ProveedoresInfo"),
+        F.coalesce(F.transform("reps", lambda r: F.struct(r["nombre"].alias("nombre"), r["cedula_identidad"].alias("cedula_identidad"))), F.array()).alias("Representantes"),
+        F.coalesce(F.transform("fines", lambda m: F.struct(*[m[f].alias(f) for f in fine_fields])), F.array()).alias("Multas"),
+        F.coalesce(F.try_element_at(entities, F.lit(1)), blank).alias("Entidades"),
+        F.coalesce(entities, F.array()).alias("EntidadesList"),
+        F.struct(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("processedDate")).alias("metadata")).alias("envelope"))
+
+
 def main_entity(norm: DataFrame, key: str = "event_id") -> DataFrame:
     """First entity of each accepted contract, or the blank legacy entity."""
     first = F.try_element_at(F.col("entities"), F.lit(1))
@@ -438,11 +464,20 @@ def main_entity(norm: DataFrame, key: str = "event_id") -> DataFrame:
         F.coalesce(first["valor"], F.lit("")).alias("valor"))
 
 
-def entities_from_map(m: Column) -> Column:
-    """Object of objects -> list of its object values (as VARIANTs)."""
-    return F.filter(F.map_values(m), lambda x: is_obj(vtype(x)))
+def entities_from_map(df: DataFrame, text_col: str, key: str) -> DataFrame:
+    """Rows (key, pos, name, tipo, valor): the object values of an object of objects, in the order of the document, canonicalized
+    (C7); values that are no objects are skipped, and text that is no object gives no row."""
+    is_object = py_strip(F.col(text_col)).startswith("{")
+    # the text of each value keeps its keys in order, the VARIANT tells its type
+    texts = F.map_entries(F.when(is_object, F.from_json(text_col, "map<string,string>")))
+    values = F.map_values(F.when(is_object, F.from_json(text_col, "map<string,variant>")))
+    both = F.zip_with(texts, values, lambda t, v: F.struct(t["key"].alias("name"), t["value"].alias("text"), is_obj(vtype(v)).alias("is_object")))
+    rows = df.select(key, F.posexplode(both).alias("pos", "x")).filter("x.is_object")
+    rows = rows.withColumn("e", canon.canon_entries("entity", F.from_json("x.text", "map<string,variant>")))
+    text = {f: safe_string(variant_text(canon.field(F.col("e"), f))).alias(f) for f in ("tipo", "valor")}
+    return rows.select(key, "pos", F.col("x.name").alias("name"), text["tipo"], text["valor"])
 
 
 def metadata_record(obj: Column) -> Column:
-    """C20: the four document-metadata fields of an object (VARIANT)."""
+    """C20: the four document-metadata fields of an object (VARIANT); NULL where a field is absent or the value no object."""
     return F.struct(*[variant_text(F.try_variant_get(obj, f"$.{f}", "variant")).alias(f) for f in METADATA_FIELDS])

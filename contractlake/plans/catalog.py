@@ -206,6 +206,76 @@ def q_entity_fallback(spark, sf):
     return P.main_entity(normalized(spark, sf))
 
 
+SAFE_GET_KEYS = ["implicancias", "Nota Extra", "descripcion_completa"]
+
+
+def _first_with(key: str, section: str = "s_multas") -> str:
+    objs = f"list_filter(CASE json_type({section}) WHEN 'ARRAY' THEN json_extract({section}, '$[*]') WHEN 'OBJECT' THEN [{section}] END, lambda e: json_type(e) = 'OBJECT')"
+    return f"json_extract_string(list_filter({objs}, lambda e: list_contains(json_keys(e), '{key}'))[1], '$.\"{key}\"')"
+
+
+@register("safe_get", O.with_ctes(PC[:3], f"""SELECT event_id, {_first_with('rut', 's_companiainfo')} AS rut, {_first_with('RUT', 's_companiainfo')} AS rut_upper,
+    {', '.join(f'{_first_with(k)} AS f{i}' for i, k in enumerate(SAFE_GET_KEYS))} FROM secs WHERE reason1 = 'ok'"""))
+def q_safe_get(spark, sf):
+    """A key of an object section, and of the first object of a list section that has it."""
+    c = P.classify_payload(fx.payload_docs(spark, sf)).select("event_id", "reason", "_obj")
+    c = P.keep_rows(c, F.col("reason") == P.OK)
+    c = c.select("event_id", P.safe_get(F.col("_obj"), "Multas").alias("m"), P.safe_get(F.col("_obj"), "CompaniaInfo").alias("co"))
+    fields = {"rut": P.safe_get(F.col("co"), "rut"), "rut_upper": P.safe_get(F.col("co"), "RUT")}
+    fields |= {f"f{i}": P.safe_get(F.col("m"), k) for i, k in enumerate(SAFE_GET_KEYS)}
+    return c.select("event_id", *[S.variant_text(v).alias(k) for k, v in fields.items()])
+
+
+@register("entities_from_map", f"""SELECT doc_key, CAST(list_position(ks, name) - 1 AS INTEGER) AS pos, name,
+    {O.safe_str(O.jtext(O.field_json('entity', 'e', 'tipo')))} AS tipo, {O.safe_str(O.jtext(O.field_json('entity', 'e', 'valor')))} AS valor
+  FROM (SELECT doc_key, ks, name, json_extract(entidades, '$."' || name || '"') AS e
+        FROM (SELECT doc_key, json_keys(entidades) AS ks, unnest(json_keys(entidades)) AS name, entidades FROM ({fx.entity_maps_sql('duckdb')}) m WHERE json_type(entidades) = 'OBJECT') k) x
+  WHERE json_type(e) = 'OBJECT'""")
+def q_entities_from_map(spark, sf):
+    """An object of objects as a list of entities, in document order, other values skipped."""
+    return P.entities_from_map(fx.entity_maps(spark, sf), "entidades", "doc_key")
+
+
+@register("metadata_record", f"""SELECT doc_key, {', '.join(f"json_extract_string(metadata, '$.{f}') AS {f}" for f in P.METADATA_FIELDS)} FROM ({fx.metadata_sql('duckdb')}) m""")
+def q_metadata_record(spark, sf):
+    """C20: the four document-metadata fields of an object."""
+    return fx.metadata(spark, sf).select("doc_key", P.metadata_record(F.try_parse_json("metadata")).alias("m")).select("doc_key", "m.*")
+
+
+def _js(c: str) -> str:
+    return f"coalesce(CAST(to_json({c}) AS VARCHAR), 'null')"
+
+
+def _jobj(fields: dict[str, str]) -> str:
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in fields.items()) + " || '}'"
+
+
+def _plain(c: str) -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), 'null')"
+
+
+ENV_PLAIN = ["renovacion_automatica", "termino_anticipado_activo", "exclusividad_activo", "termino_anticipado_plazo_dias", "monto_total"]
+ENV_CONTRACT = {f: _plain(f) if f in ENV_PLAIN else _js(f"CAST({f} AS VARCHAR)") for f in CONTRACT_OUT if not f.startswith("multa_")}
+ENV_FINE = {f: _plain(f) if f == "monto_multa_uf" else _js(f) for f in ["tipo_incumplimiento", "implicancias", "monto_multa_uf", "plazo_constancia", "descripcion_completa"]}
+ENV_ENT = _jobj({"tipo": _js("tipo"), "valor": _js("valor")})
+ENV_SQL = _jobj({"id": _js("'contrato_20260101_000000'"), "Contrato": _jobj(ENV_CONTRACT),
+                 **{s: _jobj({f: _js(f"{p}_{f}") for f in ("nombre", "rut", "domicilio")}) for s, p in (("CompaniaInfo", "comp"), ("ProveedoresInfo", "prov"))},
+                 "Representantes": "'[' || coalesce(rl, '') || ']'", "Multas": "'[' || coalesce(fl, '') || ']'",
+                 "Entidades": "coalesce(e1, '{\"tipo\":\"\",\"valor\":\"\"}')", "EntidadesList": "'[' || coalesce(el, '') || ']'",
+                 "metadata": _jobj({"processedDate": _js("'2026-01-01T00:00:00'")})})
+
+
+@register("structured_envelope", O.with_ctes(PC, f"""SELECT a.event_id, {ENV_SQL} AS envelope FROM acc a
+  LEFT JOIN (SELECT event_id, string_agg({_jobj({'nombre': _js('nombre'), 'cedula_identidad': _js('cedula_identidad')})}, ',' ORDER BY pos) AS rl FROM rep_v GROUP BY event_id) r USING (event_id)
+  LEFT JOIN (SELECT event_id, string_agg({_jobj(ENV_FINE)}, ',' ORDER BY pos) AS fl FROM fine_v GROUP BY event_id) f USING (event_id)
+  LEFT JOIN (SELECT event_id, string_agg({ENV_ENT}, ',' ORDER BY pos) AS el, arg_min({ENV_ENT}, pos) AS e1 FROM ent_v GROUP BY event_id) e USING (event_id)"""))
+def q_structured_envelope(spark, sf):
+    """A10: the nested record of each accepted contract, as JSON text."""
+    e = P.structured_envelope(normalized(spark, sf))
+    text = F.to_json("envelope", {"ignoreNullFields": "false"})
+    return e.select("event_id", F.regexp_replace(text, r":0E-12([,}])", ":0.000000000000$1").alias("envelope"))  # the same number, as SQL writes it
+
+
 # ---------------------------------------------------------------------------
 # star
 # ---------------------------------------------------------------------------
@@ -271,6 +341,20 @@ def q_event_source(spark, sf):
     return fx.blob_events(spark, sf)
 
 
+@register("event_files", f"""SELECT CASE WHEN ok THEN json_extract_string(line, '$.event_id') END AS event_id, CASE WHEN ok THEN json_extract_string(line, '$.event_type') END AS event_type,
+    CASE WHEN ok THEN json_extract_string(line, '$.subject') END AS subject, CASE WHEN ok THEN json_extract_string(line, '$.url') END AS url,
+    CASE WHEN ok THEN TRY_CAST(json_extract_string(line, '$.event_time') AS TIMESTAMP) END AS event_time, CASE WHEN NOT ok THEN line END AS rejected_line
+  FROM (SELECT line, coalesce(json_valid(line) AND TRY_CAST(json_extract_string(CASE WHEN json_valid(line) THEN line END, '$.event_time') AS TIMESTAMP) IS NOT NULL, false) AS ok
+        FROM ({fx.event_lines_sql('duckdb')}) l) x""")
+def q_event_files(spark, sf):
+    """A1: events read from JSON files, an event a line; lines that hold none are kept aside with their text."""
+    from contractlake.streaming import ingest as IN
+    place = f"{checkpoint_dir(spark).rstrip('/')}/event-files-{uuid.uuid4().hex}"
+    fx.event_lines(spark, sf).write.text(place)
+    read, bad = IN.read_events(spark, place), F.col(IN.CORRUPT).isNotNull()
+    return read.select(*[F.when(~bad, F.col(c)).alias(c) for c in G.EVENT_COLS], F.col(IN.CORRUPT).alias("rejected_line"))
+
+
 @register("parse_blob_url", O.with_ctes(GC[:5], "SELECT event_id, event_time, account, container, blob_path FROM p2"))
 def q_parse_blob_url(spark, sf):
     ev = fx.blob_events(spark, sf).groupBy(*G.EVENT_COLS).count()
@@ -372,6 +456,7 @@ def q_event_to_star(spark, sf):
 # ---------------------------------------------------------------------------
 
 from contractlake.operators import access as A  # noqa: E402
+from contractlake.operators import changes as CH  # noqa: E402
 
 
 def _sq(sel: str) -> str:
@@ -457,6 +542,19 @@ def q_contracts_by_document(spark, sf):
     return A.contracts_by_document(star(spark, sf).contrato)
 
 
+@register("contracts_by_reference", _sq(f"""SELECT nombre_documento, referencia_interna, count(*) AS contracts, min(c.id) AS first_id
+  FROM t_contrato c JOIN (SELECT 'c' || lpad(CAST(doc_key AS VARCHAR), 12, '0') AS event_id, json_extract_string(metadata, '$.nombre_documento') AS nombre_documento,
+                                 json_extract_string(metadata, '$.referencia_interna') AS referencia_interna FROM ({fx.metadata_sql('duckdb')}) m) d ON d.event_id = c.event_id
+  WHERE c.is_active AND c.id % 11 <> 0 AND (nombre_documento IS NOT NULL OR referencia_interna IS NOT NULL) GROUP BY ALL"""))
+def q_contracts_by_reference(spark, sf):
+    """M8 + B9: active contracts by document name and internal reference, some soft-deleted before."""
+    c = star(spark, sf).contrato
+    meta = fx.metadata(spark, sf).select(F.concat(F.lit("c"), F.lpad(F.col("doc_key").cast("string"), 12, "0")).alias("event_id"), P.metadata_record(F.try_parse_json("metadata")).alias("m"))
+    meta = meta.join(c.select("event_id", F.col("id").alias("contrato_id")), "event_id").select("contrato_id", "m.nombre_documento", "m.referencia_interna")
+    live = CH.soft_delete(c, c.filter(F.col("id") % 11 == 0), F.to_timestamp_ntz(F.lit("2026-01-03 00:00:00")))
+    return A.contracts_by_reference(A.with_metadata(live, meta))
+
+
 @register("section_counts", _sq("""SELECT c.id AS contrato_id, c.event_id,
     coalesce(r.n, 0) AS representantes, coalesce(m.n, 0) AS multas, coalesce(e.n, 0) AS entidades
   FROM t_contrato c
@@ -544,6 +642,8 @@ def q_number_pages(spark, sf):
 
 
 @register("doc_stats", f"""SELECT doc_id,
+    CAST(sum(len(regexp_extract_all(line, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]'))) AS BIGINT) AS numero_tokens,
+    count(*) FILTER (WHERE regexp_matches(lower({O.strip('line')}), '^anexo\\s+([0-9]+|[a-z])(\\W|$)')) AS total_anexos,
     CAST(sum(CASE WHEN {O.strip('line')} = '' THEN 0 ELSE len(regexp_split_to_array({O.strip('line')}, '{WSP}')) END) AS BIGINT) AS total_palabras,
     count(*) AS lines, max(page_no) AS numero_pagina, CAST(sum(length(line)) AS BIGINT) AS chars
   FROM ({PLS}) pl GROUP BY doc_id""")
@@ -561,7 +661,7 @@ def q_doc_stats(spark, sf):
 def q_read_document(spark, sf):
     """A3 + T19 + T21: passing events look up their document; missing -> 'failed to load json'."""
     req = gated(spark, sf).filter(F.col("status") == "pass").select("event_id", "folder", "file")
-    store = PG.doc_store(fx.page_lines(spark, sf))
+    store = PG.doc_store(fx.page_lines(spark, sf), req)
     return PG.read_document(req, store).select("event_id", "blob_path", "doc_id", "load_status")
 
 
@@ -609,18 +709,103 @@ def q_extract_fields(spark, sf):
     return X.extract_fields(fx.labeled_lines(spark, sf))
 
 
-@register("extraction_request", None)
+def _indented(pages: str) -> str:
+    """Pages (doc_id, page_no, line_no, line) as JSON with two blanks a level, in SQL of its own."""
+    return f"""SELECT doc_id, '{{' || chr(10) || string_agg(page, ',' || chr(10) ORDER BY page_no) || chr(10) || '}}' AS j
+      FROM (SELECT doc_id, page_no, '  "Page-' || page_no || '": [' || chr(10) || string_agg('    ' || to_json(line), ',' || chr(10) ORDER BY line_no) || chr(10) || '  ]' AS page
+            FROM ({pages}) pl GROUP BY doc_id, page_no) q GROUP BY doc_id"""
+
+
+@register("extraction_request", f"""SELECT doc_id, {O.q(X.REQUEST_HEAD)} || chr(10) || '---' || chr(10) || j || chr(10) || '---' || chr(10) || {O.q(X.REQUEST_TAIL)} AS request
+  FROM ({_indented(PLS)}) i""")
 def q_extraction_request(spark, sf):
-    """Request text per document (rows-only check)."""
+    """Request text per document, its pages as indented JSON."""
     return X.extraction_request(fx.page_lines(spark, sf))
 
 
+XC = O.extraction_ctes(fx.contract_lines_sql("duckdb"))
+
+
+@register("extract_sections", O.with_ctes(XC, "SELECT doc_id, section, part, field, value FROM kv"))
+def q_extract_sections(spark, sf):
+    """The first value of each label under each heading of the contract documents."""
+    return X.labelled(fx.contract_lines(spark, sf)).filter("field IS NOT NULL").select("doc_id", "section", "part", "field", "value")
+
+
+EXTRACTED_PC = O.payload_ctes("SELECT 'd' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS event_id, doc_id AS doc_key, payload FROM extracted")
+_EXTRACTED: dict[tuple[str, str], DataFrame] = {}
+
+
+def extracted(spark, sf):
+    """Payloads of the contract documents, normalized once per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _EXTRACTED:
+        docs = X.extract_payloads(fx.contract_lines(spark, sf))
+        docs = docs.select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("event_id"), "payload")
+        _EXTRACTED[key] = saved(P.normalize_payloads(docs), "extracted")
+    return _EXTRACTED[key]
+
+
+@register("extracted_contracts", O.with_ctes([*XC, *EXTRACTED_PC], "SELECT event_id, reason, " + ", ".join(f"CASE WHEN reason = 'ok' THEN {c} END AS {c}" for c in CONTRACT_OUT) + " FROM norm"))
+def q_extracted_contracts(spark, sf):
+    """C19 -> C1-C15: what normalization makes of the payloads extracted from page lines."""
+    n = extracted(spark, sf)
+    return n.select("event_id", "reason", *[F.when(F.col("reason") == P.OK, F.col("contract")[c]).alias(c) for c in CONTRACT_OUT])
+
+
+@register("extracted_fines", O.with_ctes([*XC, *EXTRACTED_PC], """SELECT f.event_id, f.pos, tipo_incumplimiento, implicancias, monto_multa_uf, plazo_constancia, descripcion_completa
+  FROM fine_v f JOIN acc USING (event_id) WHERE tipo_incumplimiento <> '' AND NOT uf_bad AND length(plazo_constancia) <= 255"""))
+def q_extracted_fines(spark, sf):
+    """C19 -> C10: the fines found on the pages of accepted documents."""
+    return P.explode_fines(extracted(spark, sf))
+
+
+def page_json_of(spark, sf):
+    """A3 + A4: the pages of the documents that passing events name, written next to them and read back."""
+    requests = gated(spark, sf).filter(F.col("status") == "pass").select("event_id", "folder", "file", "json_name")
+    store = PG.doc_store(fx.contract_lines(spark, sf), requests)
+    found = PG.read_document(requests, store).filter("load_status = 'loaded'").select("folder", "json_name", "page_json")
+    place = f"{checkpoint_dir(spark).rstrip('/')}/page-json-{uuid.uuid4().hex}"
+    PG.write_page_json(found, place)
+    back = PG.read_page_json(spark, place)
+    asked = requests.select("event_id", F.col("folder").alias("f"), F.col("json_name").alias("j"))
+    return asked.join(back, F.col("f").eqNullSafe(F.col("folder")) & (F.col("j") == F.col("json_name"))).select("event_id", "folder", "json_name", "page_json")
+
+
+CONTRACT_LINES = fx.contract_lines_sql("duckdb")
+FLOW_DOCS = [("asked", "SELECT event_id, folder, json_name, CASE WHEN folder IS NULL OR folder = '' THEN file ELSE folder || '/' || file END AS bp FROM gate_out WHERE status = 'pass'"),
+             ("asked_lines", f"""SELECT a.event_id, a.folder, a.json_name, l.* FROM ({CONTRACT_LINES}) l
+                 JOIN asked a ON a.bp = CASE WHEN l.doc_id % 2 = 0 THEN 'in/2024/' ELSE '' END || 'c' || CAST(l.doc_id AS VARCHAR) || '.pdf'""")]
+
+
+@register("write_page_json", O.with_ctes([*GC, *FLOW_DOCS], "SELECT event_id, folder, json_name, page_no, line_no, line FROM asked_lines"))
+def q_write_page_json(spark, sf):
+    """A4: page JSON of passing events' documents as written by folder, read back to lines."""
+    lines = PG.unpack_pages(page_json_of(spark, sf).withColumn("doc_id", F.struct("event_id", "folder", "json_name")))
+    return lines.select("doc_id.*", "page_no", "line_no", "line")
+
+
+FLOW_PC = O.payload_ctes("SELECT doc_id AS event_id, 0 AS doc_key, payload FROM extracted")
+TERMINAL = """CASE WHEN g.status <> 'pass' THEN g.status WHEN n.reason = 'ok' THEN 'success' ELSE 'error' END AS status,
+    CASE WHEN g.status <> 'pass' THEN g.reason WHEN n.event_id IS NULL THEN 'failed to load json' WHEN n.reason <> 'ok' THEN n.reason END AS reason,
+    CASE WHEN g.status = 'pass' THEN k.contrato_id END AS contract_id
+  FROM gate_out g LEFT JOIN norm n ON n.event_id = g.event_id LEFT JOIN keys k ON k.event_id = g.event_id"""
+
+
+@register("document_flow", O.with_ctes([*GC, *FLOW_DOCS, *O.extraction_ctes("SELECT event_id AS doc_id, page_no, line_no, line FROM asked_lines"), *FLOW_PC],
+                                       f"SELECT g.event_id, g.event_time, g.copies, {TERMINAL}"))
+def q_document_flow(spark, sf):
+    """The whole way: event -> gate -> document -> page JSON, written and read back -> extraction -> payload -> star -> terminal status."""
+    lines = PG.unpack_pages(page_json_of(spark, sf).withColumn("doc_id", F.col("event_id")))
+    payloads = X.extract_payloads(lines).select(F.col("doc_id").alias("event_id"), "payload")
+    return OC.process_gated(gated(spark, sf), saved(payloads, "payloads")).statuses().select("event_id", "event_time", "copies", "status", "reason", "contract_id")
+
+
 # ---------------------------------------------------------------------------
 # quality (K3-K6, F5, H1) and changes
 # ---------------------------------------------------------------------------
 
 from contractlake import schemas as SCH  # noqa: E402
-from contractlake.operators import changes as CH  # noqa: E402
 from contractlake.operators import quality as QL  # noqa: E402
 
 

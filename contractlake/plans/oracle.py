@@ -7,10 +7,28 @@ tables, as pre-registered DuckDB views) and compares results. Everything is plai
 
 from __future__ import annotations
 
-from contractlake.functions.canon import COMPANY_ALIASES, ENTITY_ALIASES, FINE_ALIASES, REP_ALIASES
-from contractlake.functions.scalars import AS_OF, SPANISH_MONTHS
 from contractlake.sources import fixtures as fx
 
+# Fixed values, written out here once more so that a slip in the code under test shows: the processing time, the months,
+# raw key -> canonical key of each record type, and what the extractor's headings and labels mean.
+AS_OF = "2026-01-01 00:00:00"
+SPANISH_MONTHS = dict(zip("enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(), range(1, 13)))
+FINE_ALIASES = {"Tipo de incumplimiento": "tipo_incumplimiento", "tipo de incumplimiento": "tipo_incumplimiento", "tipo_incumplimiento": "tipo_incumplimiento",
+                "Implicancias": "implicancias", "implicancias": "implicancias",
+                "Monto de la multa en UF": "monto_multa_uf", "monto de la multa en uf": "monto_multa_uf", "monto_multa_uf": "monto_multa_uf",
+                "Plazo para la constancia": "plazo_constancia", "plazo para la constancia": "plazo_constancia", "plazo_constancia": "plazo_constancia",
+                "Descripción completa": "descripcion_completa", "descripción completa": "descripcion_completa", "descripcion_completa": "descripcion_completa"}
+REP_ALIASES = {"Nombre": "nombre", "nombre": "nombre", "Cédula de Identidad": "cedula_identidad", "cedula de identidad": "cedula_identidad",
+               "cedula_identidad": "cedula_identidad", "Cedula de Identidad": "cedula_identidad", "cedula identidad": "cedula_identidad"}
+COMPANY_ALIASES = {"Nombre": "nombre", "nombre": "nombre", "RUT": "rut", "rut": "rut", "Domicilio": "domicilio", "domicilio": "domicilio"}
+ENTITY_ALIASES = {"tipo": "tipo", "Tipo": "tipo", "tipo_entidad": "tipo", "Tipo_entidad": "tipo", "valor": "valor", "Valor": "valor", "nombre": "valor", "Nombre": "valor"}
+HEADINGS = {"contrato": "Contrato", "compañia": "CompaniaInfo", "compania": "CompaniaInfo", "proveedor": "ProveedoresInfo", "representante": "Representantes",
+            "multa": "Multas", "entidad": "Entidades"}
+CONTRACT_LABELS = {"tipo de contrato": "tipo_contrato", "tipo de servicio": "tipo_servicio", "parte cliente": "parte_cliente", "parte proveedor": "parte_proveedor",
+                   "fecha de inicio": "fecha_inicio", "fecha de termino": "fecha_termino", "renovacion automatica": "renovacion_automatica", "monto total": "monto_total",
+                   "termino anticipado": "termino_anticipado_activo", "plazo de termino anticipado": "termino_anticipado_plazo_dias", "exclusividad": "exclusividad_activo",
+                   "detalles de exclusividad": "exclusividad_detalles", "descripcion": "descripcion", "nombre del contrato": "nombre"}
+
 WS = (r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}"
       r"\x{205F}\x{3000}]")
 AS_OF_DATE = AS_OF[:10]
@@ -391,3 +409,43 @@ def gate_ctes() -> list[tuple[str, str]]:
                 CASE WHEN ends_with(lower(file), '.pdf') THEN left(file, length(file) - 4) || '.json'
                      ELSE file || '.json' END END AS json_name FROM gated"""),
     ]
+
+
+def extraction_ctes(lines: str) -> list[tuple[str, str]]:
+    """CTE chain from page lines to payload text (``extracted``: doc_id, payload), by headings and labels."""
+    def case(x: str, names: dict[str, str]) -> str:
+        return f"CASE {x} " + " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in names.items()) + " END"
+
+    def many(s: str) -> str:
+        return f"'[' || coalesce(string_agg(obj, ',' ORDER BY part) FILTER (WHERE section = '{s}'), '') || ']'"
+
+    def one(s: str) -> str:
+        return f"coalesce(arg_min(obj, part) FILTER (WHERE section = '{s}'), '{{}}')"
+
+    rx = r"^\s*([^:]+?)\s*:\s*(.*?)\s*$"
+    party = "'nombre', 'rut', 'domicilio'"
+    known = {"CompaniaInfo": ("company", party), "ProveedoresInfo": ("company", party), "Representantes": ("rep", "'nombre', 'cedula_identidad'"),
+             "Multas": ("fine", "'tipo_incumplimiento', 'implicancias', 'monto_multa_uf', 'plazo_constancia', 'descripcion_completa'"),
+             "Entidades": ("entity", "'tipo', 'valor'")}
+    field = f"CASE WHEN opens IS NOT NULL OR label = '' THEN NULL WHEN section = 'Contrato' THEN {case('lower(label)', CONTRACT_LABELS)} " + " ".join(
+        f"WHEN section = '{s}' AND {canon_sql(kind, 'label')} IN ({names}) THEN label" for s, (kind, names) in known.items()) + " END"
+    flags, days = "('renovacion_automatica', 'termino_anticipado_activo', 'exclusividad_activo')", "termino_anticipado_plazo_dias"
+    value = f"""CASE WHEN field IN {flags} AND lower(value) IN ('si', 'sí') THEN 'true' WHEN field IN {flags} AND lower(value) = 'no' THEN 'false'
+        WHEN field = '{days}' AND regexp_matches(value, '^[0-9]{{1,9}}(\\s|$)') THEN CAST(CAST(regexp_extract(value, '^([0-9]{{1,9}})', 1) AS INTEGER) AS VARCHAR)
+        ELSE CAST(to_json(value) AS VARCHAR) END"""
+    heading = f"regexp_replace(lower({strip('line')}), '\\s*[0-9]+$', '')"
+    return [
+        ("xl", lines),
+        ("xh", f"SELECT *, {case(heading, HEADINGS)} AS opens FROM xl"),
+        ("xs", f"""SELECT *, last_value(opens IGNORE NULLS) OVER w AS section, count(opens) OVER w AS part, regexp_extract(line, '{rx}', 1) AS label
+            FROM xh WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+        ("xf", f"SELECT *, {field} AS field FROM xs"),
+        ("kv", f"""SELECT doc_id, section, part, field, regexp_extract(line, '{rx}', 2) AS value, page_no, line_no
+            FROM xf WHERE field IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, part, field ORDER BY page_no, line_no) = 1"""),
+        ("xo", f"""SELECT p.doc_id, p.section, p.part, '{{' || coalesce(string_agg(CAST(to_json(field) AS VARCHAR) || ':' || {value}, ',' ORDER BY page_no, line_no)
+                FILTER (WHERE field IS NOT NULL), '') || '}}' AS obj
+            FROM (SELECT DISTINCT doc_id, section, part FROM xs) p LEFT JOIN kv ON kv.doc_id = p.doc_id AND kv.part = p.part GROUP BY ALL"""),
+        ("extracted", f"""SELECT doc_id, '{{"Contrato":' || {one('Contrato')} || ',"Multas":' || {many('Multas')} || ',"CompaniaInfo":' || {one('CompaniaInfo')}
+            || ',"ProveedoresInfo":' || {many('ProveedoresInfo')} || ',"Representantes":' || {many('Representantes')} || ',"Entidades":' || {many('Entidades')} || '}}' AS payload
+            FROM xo GROUP BY doc_id"""),
+    ]

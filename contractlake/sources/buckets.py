@@ -18,10 +18,10 @@ def bucket_of(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
     """The table at ``path`` (any file system Spark reads), or no rows if it was never written."""
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

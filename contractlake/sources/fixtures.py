@@ -281,6 +281,99 @@ def labeled_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
     return f"SELECT doc_id, page_no, line_no, line FROM ({page_lines_sql(dialect, sf_dir)}) pl UNION ALL {labels}"
 
 
+#: Pages of a contract document come before its prose; fines and entities start at their own page numbers.
+FINE_PAGES, ENTITY_PAGES, PROSE_PAGES = 10, 1000, 5000
+
+
+def contract_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Contract documents as page lines (§3.4, extractor input): one for each order (doc_id = o_orderkey), with headings and
+    ``Label: value`` lines: page 1 the contract, page 2 the parties, a page for each lineitem as a fine and as an entity;
+    the lines of the document of that id follow as prose."""
+    t = refs(dialect, sf_dir)
+    k, nl = "o_orderkey", "chr(10)"
+    y1 = _s("year(o_orderdate) + 1")
+    mm, dd = f"lpad({_s('month(o_orderdate)')}, 2, '0')", f"lpad({_s('day(o_orderdate)')}, 2, '0')"
+
+    def flag(m: int) -> str:
+        return f"CASE WHEN {k} % {m} = 0 THEN 'Sí' ELSE 'no' END"
+    contract = [
+        "'CONTRATO'",
+        f"CASE WHEN {k} % 17 = 0 THEN 'sin tipo' ELSE 'Tipo de contrato: ' || o_orderpriority END",
+        "'Tipo de servicio : ' || c_mktsegment", "'  PARTE CLIENTE:' || c_name || '  '", f"'Parte proveedor: Proveedor ' || {_s(f'{k} % 100')}",
+        f"CASE WHEN {k} % 11 = 0 THEN '' ELSE 'Fecha de inicio: ' || coalesce({date_text(k, 'o_orderdate')}, '') END",
+        f"CASE WHEN {k} % 3 = 0 THEN '' ELSE 'Fecha de termino: ' || {y1} || '-' || {mm} || '-' || {dd} END",
+        f"'Renovacion automatica: ' || {flag(2)}",
+        f"'Monto total: ' || coalesce({amount_text(k, 'CAST(floor(o_totalprice * 100) AS BIGINT)')}, '')",
+        f"'Termino anticipado: ' || {flag(4)}", f"'Plazo de termino anticipado: ' || {_s(f'{k} % 90')} || CASE WHEN {k} % 7 = 0 THEN '' ELSE ' dias' END",
+        f"'Exclusividad: ' || CASE WHEN {k} % 103 = 0 THEN 'quiza' ELSE {flag(6)} END", "'Detalles de exclusividad:'",
+        "'Descripcion: Pedido \"' || o_orderstatus || '\": todo'", f"'Nombre del contrato: Contrato ' || {_s(k)}", "'Tipo de contrato: repetido'"]
+    rut = f"{_s('c_custkey')} || '-' || {_s('c_custkey % 10')}"
+    parties = [
+        f"CASE WHEN {k} % 29 = 0 THEN 'Empresa' ELSE 'COMPAÑIA' END", "'Nombre: ' || c_name", f"'RUT: ' || {rut}", f"'Domicilio: Calle ' || {_s('c_nationkey')}", "''",
+        "'Proveedor 1'", f"'nombre: Proveedor ' || {_s(f'{k} % 100')} || '-1'", f"'RUT: 7' || {_s(f'{k} % 1000')} || '-1'", "'PROVEEDOR 2'", "'Nombre: otro'",
+        "'REPRESENTANTE'", "'Nombre: ' || c_name", f"'cedula identidad: ' || {_s('c_custkey')} || '-K'",
+        "'Representante'", f"'Nombre: Rep ' || {_s(f'{k} % 1000')}", f"'Cédula de identidad: ' || {_s(k)} || '-R'"]
+    fine = [f"'MULTA ' || {_s('seq')}", "'Tipo de incumplimiento: ' || CASE WHEN l_partkey % 10 = 0 THEN '' ELSE 'Retraso ' || l_returnflag END",
+            f"'Implicancias: Implica ' || {_s('l_linenumber')}",
+            f"'Monto de la multa en UF: UF ' || {_s('l_partkey % 100')} || ',5'", f"'Plazo para la constancia: ' || {_s('l_linenumber * 5')} || ' dias'",
+            f"'Descripción completa: Multa ' || {_s('l_orderkey')}"]
+    entity = ["'ENTIDAD'", "'Tipo: ' || coalesce(p_type, '')", "'Nombre: ' || coalesce(p_name, '')", "'Otro dato: x'"]
+
+    def page(parts: list[str]) -> str:
+        return f" || {nl} || ".join(f"({x})" for x in parts)
+    items = f"""(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS seq
+      FROM {t['lineitem']} l LEFT JOIN {t['part']} p ON l.l_partkey = p.p_partkey WHERE l_orderkey IN (SELECT o_orderkey FROM {t['orders']}))"""
+    pages = " UNION ALL ".join([
+        f"SELECT {k} AS doc_id, 1 AS page_no, {page(contract)} AS text FROM {t['orders']} o JOIN {t['customer']} c ON o.o_custkey = c.c_custkey",
+        f"SELECT {k} AS doc_id, 2 AS page_no, {page(parties)} AS text FROM {t['orders']} o JOIN {t['customer']} c ON o.o_custkey = c.c_custkey",
+        f"SELECT l_orderkey AS doc_id, CAST(seq AS INT) + {FINE_PAGES} AS page_no, {page(fine)} AS text FROM {items} i",
+        f"SELECT l_orderkey AS doc_id, CAST(seq AS INT) + {ENTITY_PAGES} AS page_no, {page(entity)} AS text FROM {items} i WHERE l_partkey % 2 = 0"])
+    if dialect == "spark":
+        lines = f"SELECT doc_id, page_no, pos, line FROM ({pages}) p LATERAL VIEW posexplode(split(text, '\n')) x AS pos, line"
+    else:
+        lines = f"SELECT doc_id, page_no, unnest(range(len(arr))) AS pos, unnest(arr) AS line FROM (SELECT doc_id, page_no, string_split(text, chr(10)) AS arr FROM ({pages}) p)"
+    return f"""SELECT doc_id, page_no, CAST(pos AS INT) + 1 AS line_no, line FROM ({lines}) e
+      UNION ALL SELECT doc_id, page_no + {PROSE_PAGES} AS page_no, line_no, line FROM ({page_lines_sql(dialect, sf_dir)}) d"""
+
+
+def event_lines_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Blob events as the lines of JSON files; every 13th is cut off, every 17th has a time that is none."""
+    t = refs(dialect, sf_dir)
+    e = "event_id"
+    at = (f"{_s('year(ts)')} || '-' || lpad({_s('month(ts)')}, 2, '0') || '-' || lpad({_s('day(ts)')}, 2, '0') || 'T' || "
+          f"lpad({_s('hour(ts)')}, 2, '0') || ':' || lpad({_s('minute(ts)')}, 2, '0') || ':00'")
+    whole = f"""'{{"event_id":"e' || {_s(e)} || '","event_type":"' || event_type || '","subject":"a ' || chr(92) || '"quoted' || chr(92) || '" ' || {_s('user_id')} || '","url":'
+      || CASE WHEN {e} % 7 = 0 THEN 'null' ELSE '"https://acct.blob.core.windows.net/docs/c' || {_s(e)} || '.pdf"' END
+      || ',"event_time":"' || CASE WHEN {e} % 17 = 0 THEN 'ayer' ELSE {at} END || '","extra":[1]}}'"""
+    return f"SELECT CASE WHEN {e} % 13 = 0 THEN substring(line, 1, 30) ELSE line END AS line FROM (SELECT event_id, {whole} AS line FROM {t['events']}) x"
+
+
+def entity_maps_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Entities as an object of objects: for each order one JSON object with a key for each lineitem, in no sorted order, whose values
+    are entities under several key names, or no objects."""
+    t = refs(dialect, sf_dir)
+    key = f"'k' || {_s('9 - l_linenumber')} || '-' || {_s('l_partkey')} || '-' || {_s('l_suppkey')}"
+    value = f"""CASE l_partkey % 6 WHEN 0 THEN '{{"tipo":"T' || {_s('l_linenumber')} || '","valor":"V"}}'
+      WHEN 1 THEN '{{"Tipo_entidad":"U","nombre":"' || {_s('l_suppkey')} || '"}}' WHEN 2 THEN '"text"' WHEN 3 THEN '[{{"tipo":"in a list"}}]'
+      WHEN 4 THEN 'null' ELSE '{{"valor":"old","Valor":"' || l_returnflag || '"}}' END"""
+    entry = f"'\"' || {key} || '\":' || {value}"
+    return f"""SELECT l_orderkey AS doc_key, CASE WHEN l_orderkey % 19 = 0 THEN '[1]' ELSE '{{' || {ordered_concat(dialect, entry, 'l_linenumber DESC, l_suppkey, l_partkey')} || '}}' END AS entidades
+      FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM {t['lineitem']}) l GROUP BY l_orderkey"""
+
+
+def metadata_sql(dialect: str, sf_dir: str | None = None) -> str:
+    """Metadata objects of the contract documents, one for each order; fields missing, null or of another type in some."""
+    t = refs(dialect, sf_dir)
+    k = "o_orderkey"
+    ks = _s(k)
+    return f"""SELECT {k} AS doc_key, CASE WHEN {k} % 23 = 0 THEN '[]' ELSE
+        '{{"nombre_documento":"contrato ' || {_s(f'{k} % 700')} || '.pdf"'
+        || CASE WHEN {k} % 3 = 0 THEN '' ELSE ',"numero_pagina":' || {_s(f'{k} % 40')} END
+        || ',"anexos_incluidos":' || CASE WHEN {k} % 5 = 0 THEN 'null' ELSE '"Anexo ' || {_s(f'{k} % 4')} || '"' END
+        || ',"referencia_interna":' || CASE WHEN {k} % 7 = 0 THEN {ks} ELSE '"REF-' || {_s(f'{k} % 300')} || '"' END || ',"otro":true}}' END AS metadata
+      FROM {t['orders']}"""
+
+
 def file_catalogue_sql(dialect: str, sf_dir: str | None = None) -> str:
     """A2 listing: every blob event's path placed under ``{yyyy-MM-dd}/`` of its event day."""
     t = refs(dialect, sf_dir)
@@ -323,5 +416,21 @@ def labeled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(labeled_lines_sql("spark", sf_dir))
 
 
+def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(contract_lines_sql("spark", sf_dir))
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(event_lines_sql("spark", sf_dir))
+
+
+def entity_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(entity_maps_sql("spark", sf_dir))
+
+
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(metadata_sql("spark", sf_dir))
+
+
 def file_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(file_catalogue_sql("spark", sf_dir))
