@@ -8,8 +8,16 @@ sidebars, notices, adverts, forms or reader comments are left out, which are kno
 only make an element suspect (headings and paragraphs never): one that holds the marked article or most of the page's words
 stays, a name that also fits a section of an article counts if half of the words are links, else it only sets the words' weight.
 
-Words of a run have one weight, so the scan goes by runs. Pages are parsed as browsers would: tags may stay open, end
-tags may be missing, scripts and styles end at their own end tag only, comments that never end hide the rest.
+The region that the scan finds is widened to whole elements, so that tables, lists and short blocks at the edges of an
+article, whose tags outweigh their words, stay: to the marked articles that it touches, or where none is marked to the smallest
+element inside the body that holds it (then without blocks that are mostly links). A form is furniture unless it holds the
+marked article or most of the page's words; so is a list of links beside a marked article. Text that scripts would show or hide
+stays if it stands in a marked article.
+
+Words of a run have one weight, so the scan goes by runs; tags of cells and list items count once between words. Pages are parsed
+as browsers would: tags may stay open, end tags may be missing, scripts and styles end at their own end tag only, comments that
+never end hide the rest. Parsing takes time in proportion to the page, however deep or broken its tags. Weights are learned
+for tag names of up to 16 ASCII characters; others keep their prior.
 
 Contract: null and empty html give the empty text; nothing is cut; character references are decoded once; white
 space in a block becomes one space, blocks are joined by a line feed; of equally good regions the first and longest is
@@ -36,15 +44,19 @@ LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 # Fixed values of the HTML standard.
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg annotation annotation-xml mphantom object audio video canvas select".split())
+RAW = frozenset("script style template textarea title iframe noembed noframes xmp svg annotation annotation-xml mphantom object audio video canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img "
                    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME_CLOSES = frozenset("li dt dd tr td th option thead tbody tfoot".split())
+CELLS = frozenset("table caption colgroup thead tbody tfoot tr td th ul ol li dl dt dd".split())
+LISTS = frozenset("ul ol".split())
 # What page furniture is called.
-FURNITURE_TAGS = frozenset("nav aside footer form button fieldset menu dialog head".split())
-FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
+FORM_ROLES = frozenset("search form".split())
+FURNITURE_TAGS = frozenset("nav aside footer button menu dialog head".split())
+FORM_TAGS = frozenset("form fieldset".split())
+FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary dialog alert alertdialog menu menubar toolbar tablist".split())
 FURNITURE_NAMES = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar topbar "
     "header masthead footer copyright legal colophon "
@@ -75,17 +87,32 @@ class Run:
     words: int = 0
     block: int = -1
     inside: bool = False  # of a marked article
+    element: int = 0
+    link: bool = False
 
 
 @dataclass
 class Suspect:
-    """An element whose class or id may name furniture (``sure``: surely), and what it holds outside of tags and roles of furniture."""
+    """An element that may be furniture by its class or id (``sure``: surely), as a form (sure) or as a list of links (``plain``), and
+    what it holds outside of tags and roles of furniture."""
     sure: bool
     inside: bool  # of a marked article
     within: int = -1  # the suspect around it
     words: int = 0
     links: int = 0
     articles: int = 0
+    plain: bool = False
+
+
+@dataclass
+class Element:
+    """An element outside of furniture, by the runs in it."""
+    tag: str
+    parent: int
+    depth: int
+    first: int
+    last: int = -1  # the run after its last one
+    marked: str = ""  # article or main
 
 
 @dataclass
@@ -96,6 +123,20 @@ class Page:
     articles: int = 0
     words: int = 0
     suspects: dict[int, Suspect] = field(default_factory=dict)  # by the place of their tag in the source
+    elements: list[Element] = field(default_factory=list)
+
+
+@dataclass(slots=True)
+class Open:
+    """An element that is open, and what holds for text in it."""
+    tag: str
+    furniture: bool
+    inside: bool  # of a marked article
+    around: int  # place of the innermost suspect
+    block: str  # tag of the innermost block
+    block_at: int  # its place in the stack
+    link_at: int  # place of the innermost link
+    element: int
 
 
 def is_furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -103,14 +144,16 @@ def is_furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool
         return False
     if tag in FURNITURE_TAGS or (tag == "header" and not in_article) or attributes.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+    if not in_article and ("hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower()):
         return True
-    return False
+    return tag == "noscript" and not in_article
 
 
 def suspect(tag: str, attributes: dict[str, str], in_article: bool) -> Suspect | None:
     if tag in OWN_ARTICLE or tag in HEADINGS or tag == "p":
         return None
+    if tag in FORM_TAGS or attributes.get("role", "").lower() in FORM_ROLES:
+        return Suspect(True, in_article)
     named, sure, content = False, False, False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
         parts = [p.lower() for p in NAME_PART.findall(name)]
@@ -120,13 +163,17 @@ def suspect(tag: str, attributes: dict[str, str], in_article: bool) -> Suspect |
         elif NOT_SO.isdisjoint(parts[:first]) and not (in_article and tag == "header" and FURNITURE_NAMES.isdisjoint(set(parts) - {"header"})):
             named = True
             sure |= FURNITURE_NAMES | BESIDE >= set(parts) and not ALSO_SECTIONS | BESIDE >= set(parts)
-    return Suspect(sure and not content, in_article) if named else None
+    if named:
+        return Suspect(sure and not content, in_article)
+    return Suspect(False, False, plain=True) if tag in LISTS and not in_article else None
 
 
 def is_named_furniture(found: Suspect, page: Page) -> bool:
     """Whether a suspect is left out. One that holds a marked article never is, nor one that holds most words, unless the article is beside it."""
     if found.articles or (2 * found.words >= page.words and (found.inside or not page.articles)):
         return False
+    if found.plain:
+        return bool(page.articles and found.words) and 2 * found.links >= found.words
     return found.sure or 2 * found.links >= found.words
 
 
@@ -144,26 +191,23 @@ def parse(source: str) -> Page:
             outer = page.suspects[found.within]
             outer.words, outer.links, outer.articles = outer.words + found.words, outer.links + found.links, outer.articles + found.articles
     named = {k: is_named_furniture(v, page) for k, v in page.suspects.items()}
-    return parse_as(source, named, frozenset(k for k, v in page.suspects.items() if not named[k] and not v.articles and 2 * v.words < page.words))
+    return parse_as(source, named, frozenset(k for k, v in page.suspects.items() if not named[k] and not v.plain and not v.articles and 2 * v.words < page.words))
 
 
 def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = frozenset()) -> Page:
     """Runs, blocks and suspects of a page; ``named`` tells whether the suspect at a place of the source is furniture, ``weighed`` has those
     whose words have a weight of their own."""
-    page, at, n = Page(), 0, len(source)
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, furniture or below it, in a marked article, innermost suspect around
+    page, at, n, last_end = Page(), 0, len(source), source.rfind(">")
+    page.elements.append(Element("body", -1, 0, 0))
+    stack: list[Open] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each name in the stack
     text: list[str] = []
-    here = ("body", False, False, False, -1)  # block tag, furniture, inside, link, innermost suspect around
-
-    def place() -> None:
-        nonlocal here
-        block = next((t for t, *_ in reversed(stack) if t not in INLINE), "body")
-        here = (block, *(stack[-1][1:3] if stack else (False, False)), any(t == "a" for t, *_ in stack[-4:]), stack[-1][3] if stack else -1)
+    root = here = Open("body", False, False, -1, "body", -1, -1, 0)
 
     def end_block() -> None:
         if text:
             page.blocks.append(text.copy())
-            page.furniture.append(here[1])
+            page.furniture.append(here.furniture)
             text.clear()
 
     def add_text(raw: str) -> None:
@@ -171,21 +215,32 @@ def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = froz
             words = len(raw.split())
             text.append(raw)
             if words:
-                block, furniture, inside, link, around = here
-                if not furniture:
+                link = here.link_at >= 0 and len(stack) - here.link_at <= 4
+                if not here.furniture:
                     page.words += words
-                    if around >= 0:
-                        page.suspects[around].words += words
-                        page.suspects[around].links += words * link
-                page.runs.append(Run(f"word {'furniture' if furniture else 'named' if around in weighed else 'heading' if block in HEADINGS else block}{' link' if link else ''}", words, len(page.blocks), inside))
+                    if here.around >= 0:
+                        page.suspects[here.around].words += words
+                        page.suspects[here.around].links += words * link
+                kind = "furniture" if here.furniture else "named" if here.around in weighed else "heading" if here.block in HEADINGS else here.block
+                page.runs.append(Run(f"word {kind}{' link' if link else ''}", words, len(page.blocks), here.inside, here.element, link))
+
+    def add_tag(name: str, inside: bool, element: int) -> None:
+        if name in CELLS and page.runs and page.runs[-1].key[:4] == "tag " and page.runs[-1].key[4:] in CELLS:
+            return  # between two words, cells and items count once
+        page.runs.append(Run(f"tag {name}", inside=inside, element=element))
 
     def pop(to: int) -> None:
-        del stack[to:]
-        place()
+        nonlocal here
+        while len(stack) > to:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone.element != (stack[-1].element if stack else 0):
+                page.elements[gone.element].last = len(page.runs)
+        here = stack[-1] if stack else root
 
     while at < n:
         start = source.find("<", at)
-        if start < 0:
+        if start < 0 or start > last_end:
             add_text(html.unescape(source[at:]))
             break
         found = TAG.match(source, start) or LOOSE.match(source, start)
@@ -207,33 +262,33 @@ def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = froz
             continue
         block = tag not in INLINE
         if found[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
             if block:
                 end_block()
-            _, furniture, inside, _ = stack[k] if k >= 0 else ("", here[1], here[2], -1)
-            if k >= 0:
+            inside, furniture, element = here.inside, here.furniture, here.element
+            if places.get(tag):
+                k = places[tag][-1]
+                inside, furniture, element = stack[k].inside, stack[k].furniture, stack[k].element
                 pop(k)
             if not furniture:
-                page.runs.append(Run(f"tag {tag}", inside=inside and tag not in OWN_ARTICLE))
+                add_tag(tag, inside and tag not in OWN_ARTICLE, element)
             continue
         attributes = {a[0].lower(): html.unescape(a[1] or a[2] or a[3]) for a in ATTRIBUTE.findall(found[3] or "")} if found[3] else {}
         if block:
             end_block()
             if tag in SAME_CLOSES or tag in CLOSES_P:
-                closing = {tag} if tag in SAME_CLOSES else {"p"}
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in closing:
-                        pop(k)
-                        break
-                    if stack[k][0] not in INLINE and not (tag in SAME_CLOSES and stack[k][0] == "p"):
-                        break
-        _, below, inside, around = stack[-1] if stack else ("", False, False, -1)
-        furniture = below or is_furniture(tag, attributes, inside) or named.get(start, False)
-        if attributes and not furniture and (found_name := suspect(tag, attributes, inside)):
+                closing = tag if tag in SAME_CLOSES else "p"
+                k = here.block_at
+                while k >= 0 and stack[k].tag != closing and tag in SAME_CLOSES and stack[k].tag == "p":
+                    k = stack[k - 1].block_at if k else -1
+                if k >= 0 and stack[k].tag == closing:
+                    pop(k)
+        furniture = here.furniture or is_furniture(tag, attributes, here.inside) or named.get(start, False)
+        around, inside = here.around, here.inside
+        if not furniture and (found_name := suspect(tag, attributes, inside)):
             found_name.within, page.suspects[start], around = around, found_name, start
         article = marks_article(tag, attributes) and not furniture
-        if not below:  # furniture counts as one tag, whatever is in it
-            page.runs.append(Run(f"tag {'furniture' if furniture else tag}", inside=inside))
+        if not here.furniture:  # furniture counts as one tag, whatever is in it
+            add_tag("furniture" if furniture else tag, inside, here.element)
         if article and not inside:
             page.articles += 1
             if around >= 0:
@@ -243,9 +298,18 @@ def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = froz
             at = n if end is None else (source.find(">", end.start()) + 1 or n)
             continue
         if tag not in VOID and not (found[3] or "").rstrip().endswith("/"):
-            stack.append((tag, furniture, (inside or article) and not furniture, around))
-            place()
+            element = here.element
+            if block and not furniture:
+                kind = "" if not article else "main" if tag == "main" or attributes.get("role", "").lower() == "main" else "article"
+                page.elements.append(Element(tag, element, page.elements[element].depth + 1, len(page.runs), marked=kind))
+                element = len(page.elements) - 1
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(Open(tag, furniture, (inside or article) and not furniture, around, tag if block else here.block, len(stack) if block else here.block_at,
+                              len(stack) if tag == "a" else here.link_at, element))
+            here = stack[-1]
     end_block()
+    pop(0)
+    page.elements[0].last = len(page.runs)
     return page
 
 
@@ -279,6 +343,30 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
+def chosen(page: Page, start: int, end: int) -> list[int]:
+    """The blocks of the region from run ``start`` to ``end``, widened to whole elements."""
+    blocks = {run.block for run in page.runs[start:end] if run.words}
+    for kind in ("article", "main"):  # where a main holds articles, they are what it marks
+        touched = [e for e in page.elements if e.marked == kind and e.first < end and start < e.last]
+        if touched:
+            return sorted(blocks | {run.block for e in touched for run in page.runs[e.first:e.last] if run.words})
+    if start < end and not page.articles:
+        a, b = page.runs[start].element, page.runs[end - 1].element
+        while a != b:  # up to the smallest element that holds both ends
+            ea, eb = page.elements[a], page.elements[b]
+            a, b = (ea.parent, b) if ea.depth > eb.depth else (a, eb.parent) if eb.depth > ea.depth else (ea.parent, eb.parent)
+        around = page.elements[a]
+        if around.depth and around.tag not in ("html", "body"):
+            words: dict[int, list[int]] = {}
+            for run in page.runs[around.first:around.last]:
+                if run.words:
+                    n = words.setdefault(run.block, [0, 0])
+                    n[0] += run.words
+                    n[1] += run.words * run.link
+            blocks |= {k for k, (n, links) in words.items() if 2 * links < n}
+    return sorted(blocks)
+
+
 def main_text(source: str | None, weights: dict[str, float], counts: dict[str, tuple[float, float]]) -> str:
     page = parse(source or "")
     scores = []
@@ -286,9 +374,7 @@ def main_text(source: str | None, weights: dict[str, float], counts: dict[str, t
         if run.key not in weights:
             weights[run.key] = weight(run.key, counts)
         scores.append(weights[run.key] * (run.words or 1))
-    start, end = best_region(scores)
-    chosen = sorted({run.block for run in page.runs[start:end] if run.words})
-    texts = (" ".join("".join(page.blocks[b]).split()) for b in chosen if not page.furniture[b])
+    texts = (" ".join("".join(page.blocks[b]).split()) for b in chosen(page, *best_region(scores)) if not page.furniture[b])
     return "\n".join(t for t in texts if t)
 
 
