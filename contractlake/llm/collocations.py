@@ -39,7 +39,7 @@ from contractlake.llm.stage import broadcast_if_small, saved
 
 LONGEST = 3
 #: Words that a task gathers before it builds automata of them; phrases of a range, about; phrases for each cut that a shard proposes.
-RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 20, 1 << 20, 1 << 15
+RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 20, 1 << 21, 1 << 15
 #: Phrases that a builder takes at a time.
 BLOCK_PHRASES = 1 << 18
 NO_LANGUAGE = "und"
@@ -287,14 +287,19 @@ class Automaton:
 
         if self.root == 0 or cut_state(self.root, *edges) == 0:
             return None
-        known = np.unique(np.concatenate([t[t > 0] for _, _, t in cut]))
-        for _ in range(LONGEST):
-            _, arc = self._step(known)
-            known = np.unique(np.concatenate((known, self.target[arc][self.target[arc] > 0])))
+        reached = np.zeros(len(self.first) - 1, dtype=bool)
+        for _, _, targets in cut:
+            reached[targets[targets > 0]] = True
+        _, arc = self._step(np.flatnonzero(reached))  # states after one word or two; what they lead to comes after two or three
+        reached[self.target[arc]] = True
+        reached[0] = False
+        known = np.flatnonzero(reached)
         _, arc = self._step(known)
         columns = [np.concatenate(x) for x in zip((self.label[arc], self.weight[arc], self.target[arc]), *cut)]
         first = np.concatenate(([0, 0], np.cumsum(np.concatenate((self.first[known + 1] - self.first[known], [len(c[0]) for c in cut])))))
-        number = np.where(columns[2] > 0, np.searchsorted(known, columns[2]) + 1, np.where(columns[2] < 0, len(known) - columns[2], 0))
+        place = np.zeros(len(reached), dtype=np.int64)
+        place[known] = np.arange(1, len(known) + 1)
+        number = np.where(columns[2] >= 0, place[columns[2]], len(known) - columns[2])
         used = np.flatnonzero(np.bincount(columns[0], minlength=len(self.words) + 1))
         names = np.zeros(len(self.words) + 1, dtype=np.int64)
         names[used] = np.arange(1, len(used) + 1)
