@@ -240,8 +240,9 @@ def parse_as(source: str, named: dict[int, bool], weighed: frozenset[int] = froz
 
     while at < n:
         start = source.find("<", at)
-        if start < 0 or start > last_end:
-            add_text(html.unescape(source[at:]))
+        if start < 0 or start > last_end:  # no tag ends any more; a comment that opens here hides the rest
+            hidden = source.find("<!--", max(start, at)) if start >= 0 else -1
+            add_text(html.unescape(source[at:hidden] if hidden >= 0 else source[at:]))
             break
         found = TAG.match(source, start) or LOOSE.match(source, start)
         if not found:
