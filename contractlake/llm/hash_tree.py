@@ -6,7 +6,7 @@ proportion to their weights. Draws don't depend on the other children: when a ch
 its subtree, and when it falls, only out of it. A shard that is added to a running layout gets a region of its own, so
 the rows it takes are the only ones that move.
 
-Draws are DataFrame expressions; only ids and sizes are shuffled. Contract: a null key is a key of its own; a null text has
+Draws are DataFrame expressions; only ids and sizes are shuffled, by ranges of (shard, id), which an id on many rows is spread over. Contract: a null key is a key of its own; a null text has
 no bytes; repeated rows go to one shard and have neighbouring slots; an empty table gives an empty result.
 """
 
@@ -14,14 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
+from contractlake.operators.ids import assign_dense_ids
 
 REGION_RACKS, RACK_SHARDS = 2, 4
-#: Ids of a numbering block: slots are counted per shard and block, then blocks are added up.
-BLOCK_IDS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -87,11 +86,10 @@ def place(docs: DataFrame, tree: Node, grown: Node | None = None, id_col: str =
     """Rows (doc_id, size, text_crc32, law, shard, slot, grown_shard), one per input row. ``slot`` numbers a shard's rows by id without gaps."""
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                        descend(key, tree).alias("shard"), (descend(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
-    rows = saved(rows.withColumn("block", F.coalesce(F.floor(F.col(id_col) / BLOCK_IDS), F.lit(-1).cast("long"))), "placed")
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("shard", "block").count().withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    number = F.row_number().over(Window.partitionBy("shard", "block").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size"))
-    numbered = rows.withColumn("_n", number).join(saved(counts, "offsets"), ["shard", "block"])
-    return numbered.select(id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("_n") - 1 + F.col("offset")).cast("long").alias("slot"), "grown_shard")
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "placed")  # tells equal rows apart: no key fills a partition
+    ranked = assign_dense_ids(rows, ["shard", "id", "text_crc32", "size", "row"], "rank", start=0)
+    first = ranked.groupBy("shard").agg(F.min("rank").alias("first"))  # a row for each shard of the layout
+    return (ranked.join(F.broadcast(first), "shard")
+            .select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("rank") - F.col("first")).alias("slot"), "grown_shard"))

@@ -7,7 +7,7 @@ budget holds at the bucket's padded length (one, if a single document is over th
 
 The histogram has a cell for each distinct length, rounded nowhere: it grows with the distinct lengths (n tokens in all have about
 sqrt(2 n) of them at most), not with the rows, and the dynamic programme takes n log n steps for each bucket, in vector steps.
-A bucket may hold a third of all rows: numbering goes by (bucket, hash part) and adds up the parts' counts.
+A bucket, or an id, may hold a third of all rows: they are numbered by ranges of (bucket, hash, id), which split both.
 
 Contract: a token is a run of other than ASCII white space, a null or empty text has none and counts as length 0 (its
 bucket pads to the longest of its documents, a bucket of empty texts to 0); equal lengths share a bucket; repeated
@@ -17,15 +17,14 @@ rows are packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
+from contractlake.operators.ids import assign_dense_ids
 
 EXACT_LENGTH = 1024
 BUCKETS, TOKEN_BUDGET = 16, 65536
-#: Rows of a numbering part, about.
-PART_ROWS = 50_000
 
 
 def tokens(text: Column) -> Column:
@@ -75,18 +74,17 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_tokens, bucket, padded_tokens, batch, slot), one per input row. Batches are numbered inside their bucket from 0, slots inside their batch."""
-    rows = saved(docs.select(id_col, tokens(F.col(text_col)).alias("n_tokens")), "lengths")
+    rows = saved(docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("n_tokens"), F.monotonically_increasing_id().alias("row")), "lengths")
     found = sorted(tuple(r) for r in rows.groupBy("n_tokens").count().collect())  # a row per distinct length
     ends = boundaries(np.array([c for c, _ in found], dtype=np.int64), np.array([n for _, n in found], dtype=np.int64), buckets)
-    parts = max(1, sum(n for _, n in found) // PART_ROWS)
     bucket, padded = F.lit(None).cast("int"), F.lit(None).cast("long")
     for number, end in reversed(list(enumerate(ends))):
         inside = F.col("n_tokens") <= end
         bucket, padded = F.when(inside, F.lit(number)).otherwise(bucket), F.when(inside, F.lit(end).cast("long")).otherwise(padded)
-    placed = rows.select(id_col, "n_tokens", bucket.alias("bucket"), padded.alias("padded_tokens"), F.pmod(F.xxhash64(id_col, "n_tokens"), F.lit(parts)).alias("part"))
-    before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy("bucket", "part").count().withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    number = F.row_number().over(Window.partitionBy("bucket", "part").orderBy(F.col(id_col).asc_nulls_first(), "n_tokens"))
-    numbered = placed.withColumn("_n", number).join(saved(counts, "offsets"), ["bucket", "part"]).withColumn("_k", F.col("_n") - 1 + F.col("offset"))
+    # documents are mixed inside their bucket by a hash; ``row`` tells equal ones apart, so that no id fills a partition
+    placed = rows.select("id", "n_tokens", bucket.alias("bucket"), padded.alias("padded_tokens"), F.xxhash64("id", "n_tokens").alias("draw"), "row")
+    ranked = assign_dense_ids(placed, ["bucket", "draw", "id", "n_tokens", "row"], "rank", start=0)
+    first = ranked.groupBy("bucket").agg(F.min("rank").alias("first"))  # a row for each bucket
+    numbered = ranked.join(F.broadcast(first), "bucket").withColumn("_k", F.col("rank") - F.col("first"))
     room = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest("padded_tokens", F.lit(1)))).cast("long")
-    return numbered.select(id_col, "n_tokens", "bucket", "padded_tokens", F.floor(F.col("_k") / room).cast("long").alias("batch"), (F.col("_k") % room).cast("long").alias("slot"))
+    return numbered.select(F.col("id").alias(id_col), "n_tokens", "bucket", "padded_tokens", F.floor(F.col("_k") / room).cast("long").alias("batch"), (F.col("_k") % room).cast("long").alias("slot"))
