@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
-from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, held_out, labelled_sample
+from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, held_out, labelled_sample, sampled_texts
 
 KINDS, BITS, DIM, EPOCHS, BATCH, RATE, SEED = 4, 17, 8, 6, 32, 0.3, 7
 #: A small sample is gone through more often, so that so many steps are taken.
@@ -135,8 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                 batch.column(0), pa.array([x.astype(np.int32).tobytes() for x in np.split(pair & 0xFFFFFFFF, cut)]),
                 pa.array([x.astype(np.float32).tobytes() for x in np.split(share, cut)])], names=["y", "ids", "share"])
 
-    own = docs.select(id_col, F.col(text_col).cast("binary").alias("_bytes")).join(F.broadcast(sample), id_col)  # TRAIN_ROWS rows at most
-    rows = saved(own.select("y", "_bytes").mapInArrow(count, "y int, ids binary, share binary"), "quality-sample").toLocalIterator()
+    own = sampled_texts(docs, sample, id_col, text_col)  # TRAIN_ROWS rows at most
+    rows = saved(own.mapInArrow(count, "y int, ids binary, share binary"), "quality-sample").toLocalIterator()
     rows = sorted((r["y"], bytes(r["ids"]), bytes(r["share"])) for r in rows if r["ids"])
     return train([(y, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for y, i, s in rows])
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.components import connected_components
-from contractlake.llm.stage import saved
+from contractlake.llm.stage import free, saved
 
 SEED = 42
 TOP_BITS = 16
@@ -252,12 +252,13 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 3, budget: int = 3, id_co
         prints = b"".join(fingerprint(v.as_py() or b"", words_per_shingle) for v in texts)
         return pa.array(np.frombuffer(prints, ">i8").astype(np.int64))
 
-    printed = saved(docs.withColumn("_fp", print_of(F.col(text_col).cast("binary"))), "printed")  # the fingerprint goes with its row: ids repeat
-    named = named_leaves(printed.select(id_col, F.col("_fp").alias("fp")), budget, id_col)
+    fp, first_fp, first_id, root, row = (free(c, docs) for c in ("_fp", "_first_fp", "_first_id", "_root", "_row"))
+    printed = saved(docs.withColumn(fp, print_of(F.col(text_col).cast("binary"))), "printed")  # the fingerprint goes with its row: ids repeat
+    named = named_leaves(printed.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")), budget, "id")
     first = saved(named.where(F.col("least").eqNullSafe(F.col("component_id")))
-                  .select(F.col("fp").alias("_first_fp"), F.col("component_id").alias("_first_id"), F.col("root").alias("_root")), "first")
-    may_stay = printed.join(first, (printed["_fp"] == first["_first_fp"]) & printed[id_col].eqNullSafe(first["_first_id"]))
+                  .select(F.col("fp").alias(first_fp), F.col("component_id").alias(first_id), F.col("root").alias(root)), "first")
+    may_stay = printed.join(first, (printed[fp] == first[first_fp]) & printed[id_col].eqNullSafe(first[first_id]))
     others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
     order = F.struct(F.col(text_col), *([F.to_json(F.struct(*others))] if others else []))
-    once = may_stay.groupBy("_root").agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))  # before the exchange, each part keeps a row per component
-    return once.select("_row.*")
+    once = may_stay.groupBy(root).agg(F.min_by(F.struct(*docs.columns), order).alias(row))  # before the exchange, each part keeps a row per component
+    return once.select(f"{row}.*")

@@ -33,6 +33,15 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_TEXT else df
 
 
-def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows per Arrow batch: whole documents can be long, so batches are kept small."""
+def free(name: str, *taken: DataFrame) -> str:
+    """``name``, or with underscores behind it, so that none of the tables has such a column."""
+    while any(name.lower() == c.lower() for df in taken for c in df.columns):
+        name += "_"
+    return name
+
+
+def batch_rows(spark: SparkSession, rows: int = 1000, size: int = 32 << 20) -> None:
+    """Rows and bytes per Arrow batch: whole documents can be long, so batches are kept small. These are settings of the session, which
+    the plans that are run later read: they stay as they are set here."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

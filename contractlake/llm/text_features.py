@@ -34,6 +34,14 @@ def labelled_sample(labels: DataFrame, label_col: str, most: int, id_col: str =
     return one.orderBy(F.xxhash64(id_col), id_col).limit(most)
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (y, _bytes), one for each id of the bounded ``sample`` (id, y) that has documents: of an id's texts that with the smallest
+    hash, so that an id on many rows brings one to the driver and weighs as any other. A minimum that each task takes first."""
+    text = F.col(text_col)
+    rows = docs.select(id_col, F.struct(F.xxhash64(text).alias("h"), text.cast("binary").alias("b")).alias("t")).join(F.broadcast(sample), id_col)
+    return rows.groupBy(id_col, "y").agg(F.min("t").alias("t")).select("y", F.col("t.b").alias("_bytes"))
+
+
 @lru_cache(maxsize=4)
 def powers(n: int, base: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
-from contractlake.llm.text_features import LETTER, LOWER, Chunk, chunks, held_out, labelled_sample
+from contractlake.llm.text_features import LETTER, LOWER, Chunk, chunks, held_out, labelled_sample, sampled_texts
 
 BITS, SEED = 22, 11
 #: Labelled documents that entries are picked from, and all documents the label model and the classifier learn from, at most.
@@ -36,6 +36,7 @@ LABELLED_ROWS, SAMPLE_ROWS = 8000, 9000
 ENTRY_DOCS, ENTRY_SHARE, ENTRY_ODDS, ENTRIES, LEXICONS = 4, 0.012, 2.8, 4000, 6
 PREFIXES = (4, 5, 6)
 SILENCE = 0.3
+NEAR, SKETCH = 0.8, 64
 EPOCHS, BATCH, RATE, SHRINK = 12, 64, 0.2, 1e-5
 # English words of abuse.
 INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "clown", "pathetic", "worthless", "disgusting", "trash",
@@ -85,10 +86,30 @@ def tally(rows: list[np.ndarray], weights: np.ndarray | None = None) -> np.ndarr
     return total
 
 
+def without_near_copies(rows: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
+    """One of each group of near copies: a document is left out only if it shares NEAR of its features with one of its label that stays.
+    The smallest SKETCH hashes tell which are worth comparing in full."""
+    kept: list[tuple[int, np.ndarray]] = []
+    for label in (0, 1):
+        own = [f for y, f in rows if y == label and len(f)]
+        sketches, stay = np.full((len(own), SKETCH), -1, dtype=np.int64), []
+        for f in own:
+            head = f[:SKETCH]
+            shared = np.isin(sketches[:len(stay)], head).sum(axis=1)
+            near = False
+            for k in np.flatnonzero(shared >= (2 * NEAR - 1) * len(head)).tolist():
+                both = len(np.intersect1d(f, stay[k], assume_unique=True))
+                near = near or both >= NEAR * (len(f) + len(stay[k]) - both)
+            if not near:
+                sketches[len(stay), :len(head)] = head
+                stay.append(f)
+        kept += [(label, f) for f in stay]
+    return kept
+
+
 def pick_entries(rows: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
     """Lexicons: features that are much more frequent in toxic documents, dealt to LEXICONS lists of each kind by rank."""
-    sketch = {(y, *f[:3].tolist()): (y, f) for y, f in reversed(rows) if len(f)}  # near copies share their smallest hashes
-    toxic, clean = ([f for y, f in sketch.values() if y == k] for k in (1, 0))
+    toxic, clean = ([f for y, f in without_near_copies(rows) if y == k] for k in (1, 0))
     n1, n0 = len(toxic), len(clean)
     count, other = tally(toxic), tally(clean)
     names = np.flatnonzero(count >= max(ENTRY_DOCS, ENTRY_SHARE * n1))
@@ -218,8 +239,8 @@ def classifier(rows: list[np.ndarray], p: np.ndarray) -> Model:
     return Model(names, weights, bias)
 
 
-def _feature_rows(docs: DataFrame, text_col: str) -> list:
-    """(y, features, pattern votes) of a bounded set of documents, to the driver, in a fixed order."""
+def _feature_rows(docs: DataFrame) -> list:
+    """(y, features, pattern votes) of a bounded set of documents (y, _bytes), to the driver, in a fixed order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             feats = distinct_features(batch.column(1))
@@ -227,7 +248,7 @@ def _feature_rows(docs: DataFrame, text_col: str) -> list:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(np.int32).tobytes() for f in feats], pa.binary()),
                                               pa.array(votes, pa.list_(pa.int8()))], names=["y", "feats", "votes"])
 
-    found = saved(docs.select("y", F.col(text_col).cast("binary").alias("_bytes")).mapInArrow(run, "y int, feats binary, votes array<tinyint>"), "toxicity-sample")
+    found = saved(docs.mapInArrow(run, "y int, feats binary, votes array<tinyint>"), "toxicity-sample")
     rows = sorted((-1 if r["y"] is None else r["y"], bytes(r["feats"]), list(r["votes"])) for r in found.toLocalIterator())
     return [(y, np.frombuffer(f, np.int32), v) for y, f, v in rows]
 
@@ -238,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     picked = (docs.where(~held_out(id_col) & F.col(id_col).isNotNull()).select(id_col).distinct()
               .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS - LABELLED_ROWS))
     sample = known.union(picked.join(known, id_col, "left_anti").select(id_col, F.lit(None).cast("int"))).select(id_col, "y")
-    rows = _feature_rows(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col)  # SAMPLE_ROWS rows at most
+    rows = _feature_rows(sampled_texts(docs, sample, id_col, text_col))  # SAMPLE_ROWS rows at most
     labelled = [(y, f) for y, f, _ in rows if y >= 0]
     lexicons = pick_entries(labelled) if any(y == 1 for y, _ in labelled) else []
     feats = [f for _, f, _ in rows]
