@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from contractlake.llm.stage import saved
 from contractlake.operators.ids import assign_dense_ids
 
-EXACT_LENGTH = 1024
 BUCKETS, TOKEN_BUDGET = 16, 65536
 
 
@@ -31,12 +30,6 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def cell(length: Column) -> Column:
-    """``length`` itself, or rounded up to 7 leading bits where it is over ``EXACT_LENGTH``. Boundaries don't use it."""
-    grain = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(2)))) - 7).cast("long")
-    return F.when(length <= EXACT_LENGTH, length).otherwise(F.ceil(length / grain).cast("long") * grain).cast("long")
-
-
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper ends of at most ``buckets`` ranges of the sorted ``lengths`` with the least padding in all."""
     n = len(lengths)

@@ -116,13 +116,6 @@ def test_packing_is_optimal_and_gapless(spark):
     assert packing.pack(docs_of(spark, []).limit(0)).count() == 0
 
 
-def test_long_lengths_share_cells(spark):
-    lengths = [1, 1024, 1025, 2047, 2048, 5000, 123456789, 1 << 40]
-    cells = [r["c"] for r in spark.createDataFrame([(x,) for x in lengths], "n long").select(packing.cell(F.col("n")).alias("c")).collect()]
-    assert cells[:2] == [1, 1024]
-    assert all(x <= c <= x * (1 + 1 / 128) + 1 for x, c in zip(lengths, cells))
-
-
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body class="with-sidebar"><header class="site-header"><h1>Site</h1><ul class=menu><li><a href=/>Home</a></ul></header>
 <div id="cookie-notice">We use cookies</div><div class="content"><h2>Head &eacute;</h2><p>One two <a href=x>three</a> four\n\n five.<p>Next <i>x</i>y &lt;b&gt; 1 < 2 &amp;amp; more words here.
 <div class="ad-slot">Buy</div><ul><li>Item one<li>item two</ul><form>mail <input></form><p>Last one with words.</div><aside>Side</aside>
