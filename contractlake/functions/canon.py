@@ -66,15 +66,19 @@ ALIASES = {"fine": FINE_ALIASES, "rep": REP_ALIASES, "company": COMPANY_ALIASES,
            "entity": ENTITY_ALIASES}
 
 
-def _alias_map(aliases: dict[str, str]) -> Column:
-    return F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])
+def literal_map(names: dict) -> Column:
+    """A constant map, written as SQL: one expression to hand over in place of one for each key and value."""
+    def text(x) -> str:
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(x, str) else str(x)
+
+    return F.expr("map(" + ", ".join(f"{text(k)}, {text(v)}" for k, v in names.items()) + ")")
 
 
 def canon_key(kind: str, key: Column) -> Column:
     """Canonical name of one raw key."""
     low = F.lower(key)
     fallback = F.replace(low, F.lit(" "), F.lit("_")) if _UNDERSCORE[kind] else low
-    return F.coalesce(F.try_element_at(_alias_map(ALIASES[kind]), key), fallback)
+    return F.coalesce(F.try_element_at(literal_map(ALIASES[kind]), key), fallback)
 
 
 def canon_entries(kind: str, m: Column) -> Column:
@@ -94,6 +98,5 @@ def has_field(entries: Column, name: str) -> Column:
 
 def unmapped_keys(entries: Column, known: list[str]) -> Column:
     """Raw keys whose canonical name no record reads (T6 side column)."""
-    lits = F.array(*[F.lit(k) for k in known])
-    return F.transform(F.filter(entries, lambda e: ~F.array_contains(lits, e["key"])),
+    return F.transform(F.filter(entries, lambda e: ~e["key"].isin(known)),
                        lambda e: e["raw"])

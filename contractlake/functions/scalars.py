@@ -33,6 +33,9 @@ AS_OF = "2026-01-01 00:00:00"
 # Characters Python's str.strip() removes (str.isspace), as a Java regex class.
 PY_SPACE = r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
+# The same characters one by one: trimming them looks at the ends of a text only, where a pattern reads all of it.
+PY_SPACES = "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 # Spark layouts equivalent to DATE_LAYOUTS, each guarded by a full-match shape test
 # (Python %Y is exactly 4 digits, %m / %d one or two).
 _LAYOUTS = [
@@ -50,7 +53,7 @@ def as_of_ts(as_of: str = AS_OF) -> Column:
 
 def py_strip(c: Column) -> Column:
     """Python ``str.strip()``: trims Unicode whitespace, not only blanks (Spark ``trim``)."""
-    return F.regexp_replace(c, f"^{PY_SPACE}+|{PY_SPACE}+$", "")
+    return F.btrim(c, F.lit(PY_SPACES))
 
 
 def vtype(v: Column) -> Column:
@@ -71,16 +74,6 @@ def is_num(s: Column) -> Column:
     return s.rlike("^(DECIMAL|BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT)")
 
 
-def variant_kind(v: Column) -> Column:
-    """JSON type name of a VARIANT: OBJECT, ARRAY, STRING, NUMBER, BOOLEAN, NULL; SQL NULL if absent.
-
-    Convenience form for one-off use; hot paths test ``vtype`` strings directly."""
-    s = F.schema_of_variant(v)
-    return (F.when(is_obj(s), "OBJECT").when(is_arr(s), "ARRAY")
-            .when(s.isin("STRING", "BOOLEAN"), s).when(s == "VOID", "NULL")
-            .when(s.isNotNull(), "NUMBER"))
-
-
 def variant_text(v: Column) -> Column:
     """Scalar JSON value as text (string unquoted, number / boolean rendered); NULL for JSON null."""
     return F.try_variant_get(v, "$", "string")
@@ -147,8 +140,8 @@ def normalize_date_text(s: Column) -> Column:
     day = py_strip(F.element_at(parts, 1))
     mon_name = py_strip(F.element_at(parts, 2))
     year = py_strip(F.element_at(parts, 3))
-    months = F.create_map(*[x for k, m in SPANISH_MONTHS.items() for x in (F.lit(k), F.lit(m))])
-    mon = F.try_element_at(months, mon_name)
+    months = ", ".join(f"'{k}', {m}" for k, m in SPANISH_MONTHS.items())
+    mon = F.try_element_at(F.expr(f"map({months})"), mon_name)
     day2 = F.when(F.length(day) < 2, F.lpad(day, 2, "0")).otherwise(day)
     candidate = F.concat_ws("-", year, F.lpad(mon.cast("string"), 2, "0"), day2)
     spanish = F.when(candidate.rlike(r"^\d{4}-\d{2}-\d{1,2}$"),

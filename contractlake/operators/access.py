@@ -8,7 +8,7 @@ pre-aggregated per contract before joining the parent (no row fan-out, no cross
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -142,17 +142,6 @@ def star_view(contrato: DataFrame, compania: DataFrame, multas: DataFrame, reps:
     return c.join(comp, "contrato_id", "left").join(fin, "contrato_id", "left").join(rep, "contrato_id", "left")
 
 
-def star_view_flat(view: DataFrame) -> DataFrame:
-    """E5 rendered as comparable text columns (for the oracle)."""
-    return view.select(
-        "contrato_id", "event_id", "tipo_contrato", "parte_cliente", "monto_total", "fecha_inicio",
-        F.col("compania.nombre").alias("compania_nombre"), F.col("compania.rut").alias("compania_rut"),
-        F.array_join(F.transform("multas", lambda m: F.concat_ws(":", m["id"].cast("string"),
-                                                                    m["tipo_incumplimiento"])), "|").alias("multas"),
-        F.array_join(F.transform("representantes", lambda r: F.concat_ws(":", r["id"].cast("string"), r["nombre"])),
-                     "|").alias("representantes"))
-
-
 def star_view_full(view: DataFrame, proveedores: DataFrame, ents: DataFrame) -> DataFrame:
     """E5 with all of a contract's children: ``star_view`` with its provider and entities, pre-aggregated per contract."""
     prov = (active(proveedores).groupBy("contrato_id")
@@ -162,12 +151,24 @@ def star_view_full(view: DataFrame, proveedores: DataFrame, ents: DataFrame) ->
     return view.join(prov, "contrato_id", "left").join(ent, "contrato_id", "left")
 
 
+def _children_text(c: str, *fields: str) -> Column:
+    """Children as text: their fields as id:field:field, none for NULL."""
+    parts = F.transform(c, lambda x: F.concat_ws(":", x["id"].cast("string"), *[F.coalesce(x[f], F.lit("")) for f in fields]))
+    return F.array_join(parts, "|").alias(c)
+
+
 def star_view_full_flat(view: DataFrame) -> DataFrame:
-    """``star_view_full`` rendered as comparable text columns: a child's fields as id:field:field, none for NULL."""
-    def text(c: str, *fields: str):
-        parts = F.transform(c, lambda x: F.concat_ws(":", x["id"].cast("string"), *[F.coalesce(x[f], F.lit("")) for f in fields]))
-        return F.array_join(parts, "|").alias(c)
-    return view.select("contrato_id", "event_id", text("proveedores", "nombre", "rut"), text("entidades", "tipo", "valor"))
+    """A contract's providers and entities of ``star_view_full`` as comparable text columns."""
+    return view.select("contrato_id", "event_id", _children_text("proveedores", "nombre", "rut"), _children_text("entidades", "tipo", "valor"))
+
+
+def star_view_flat(view: DataFrame) -> DataFrame:
+    """``star_view_full`` rendered as comparable text columns (for the oracle)."""
+    return view.select(
+        "contrato_id", "event_id", "tipo_contrato", "parte_cliente", "monto_total", "fecha_inicio",
+        F.col("compania.nombre").alias("compania_nombre"), F.col("compania.rut").alias("compania_rut"),
+        _children_text("multas", "tipo_incumplimiento"), _children_text("representantes", "nombre"),
+        _children_text("proveedores", "nombre", "rut"), _children_text("entidades", "tipo", "valor"))
 
 
 def active_rows(tables: dict[str, DataFrame]) -> DataFrame:

@@ -53,7 +53,8 @@ def parse_variant(text: Column) -> Column:
     """``try_parse_json`` plus the strictness Python's loader has and Spark's lacks: text that
     opens with a bracket must also close with one (no trailing garbage)."""
     t = py_strip(text)
-    tail_ok = ~t.rlike(r"^[\[{]") | t.rlike(r"[}\]]$")
+    opens, closes = t.startswith("{") | t.startswith("["), t.endswith("}") | t.endswith("]")
+    tail_ok = ~opens | closes
     return F.when(tail_ok, F.try_parse_json(text))
 
 
@@ -62,7 +63,7 @@ def classify_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     object) and ``_obj_text`` (its text in document order)."""
     p = F.col(payload_col)
     c = df.withColumn("_v", parse_variant(p))
-    c = c.withColumn("_vs", vtype(F.col("_v"))).withColumn("_f0", F.try_variant_get(F.col("_v"), "$[0]", "variant"))
+    c = c.withColumns({"_vs": vtype(F.col("_v")), "_f0": F.try_variant_get(F.col("_v"), "$[0]", "variant")})
     c = c.withColumn("_f0s", vtype(F.col("_f0")))
     v, vs, f0, f0s = F.col("_v"), F.col("_vs"), F.col("_f0"), F.col("_f0s")
     obj = F.when(is_obj(vs), v).when(is_arr(vs) & is_obj(f0s), f0)
@@ -76,8 +77,7 @@ def classify_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
               .when((vs == "OBJECT<>") | (is_arr(vs) & (f0s == "OBJECT<>")), "no_contract_data")
               .otherwise(OK))
     return (c.withColumn("reason", reason)
-            .withColumn("_obj", F.when(F.col("reason") == OK, obj))
-            .withColumn("_obj_text", F.when(F.col("reason") == OK, obj_text))
+            .withColumns({"_obj": F.when(F.col("reason") == OK, obj), "_obj_text": F.when(F.col("reason") == OK, obj_text)})
             .drop("_v", "_vs", "_f0", "_f0s"))
 
 
@@ -158,11 +158,9 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     """
     c = classify_payload(df, payload_col)
     c = c.withColumn("_sec", F.from_json(F.col("_obj_text"), "map<string,string>"))
-    for s in SECTIONS:
-        c = (c.withColumn(f"_v_{s}", F.try_variant_get(F.col("_obj"), f"$.{s}", "variant"))
-             .withColumn(f"_t_{s}", F.try_element_at(F.col("_sec"), F.lit(s))))
-    for s in SECTIONS:
-        c = c.withColumn(f"_s_{s}", vtype(F.col(f"_v_{s}")))
+    c = c.withColumns({f"_v_{s}": F.try_variant_get(F.col("_obj"), f"$.{s}", "variant") for s in SECTIONS}
+                      | {f"_t_{s}": F.try_element_at(F.col("_sec"), F.lit(s)) for s in SECTIONS})
+    c = c.withColumns({f"_s_{s}": vtype(F.col(f"_v_{s}")) for s in SECTIONS})
 
     def sec(s: str) -> tuple[Column, Column, Column]:
         return F.col(f"_v_{s}"), F.col(f"_s_{s}"), F.col(f"_t_{s}")
@@ -171,23 +169,18 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     cv, _ = ensure_object(*sec("Contrato"))
     comp_v, comp_t = ensure_object(*sec("CompaniaInfo"))
     prov_v, prov_t = ensure_object(*sec("ProveedoresInfo"))
-    c = (c.withColumn("_c", cv).withColumn("_comp_v", comp_v).withColumn("_comp_t", comp_t)
-         .withColumn("_prov_v", prov_v).withColumn("_prov_t", prov_t))
+    c = c.withColumns({"_c": cv, "_comp_v": comp_v, "_comp_t": comp_t, "_prov_v": prov_v, "_prov_t": prov_t})
     fields = CONTRACT_FIELDS + (["multa_monto", "multa_penalidades"] if keep_penalty_fields else [])
-    for f in fields:
-        c = c.withColumn(f"_f_{f}", F.try_variant_get(F.col("_c"), f"$.{f}", "variant"))
-    for f in fields:
-        c = (c.withColumn(f"_fs_{f}", vtype(F.col(f"_f_{f}")))
-             .withColumn(f"_ft_{f}", variant_text(F.col(f"_f_{f}"))))
+    c = c.withColumns({f"_f_{f}": F.try_variant_get(F.col("_c"), f"$.{f}", "variant") for f in fields})
+    c = c.withColumns({f"_fs_{f}": vtype(F.col(f"_f_{f}")) for f in fields} | {f"_ft_{f}": variant_text(F.col(f"_f_{f}")) for f in fields})
 
     def fv(f: str) -> tuple[Column, Column, Column]:
         return F.col(f"_f_{f}"), F.col(f"_fs_{f}"), F.col(f"_ft_{f}")
 
     start_v, start_s, start_txt = fv("fecha_inicio")
     start_present = start_v.isNotNull()
-    c = (c.withColumn("_start_text", F.when(start_present, start_txt)
-                      .otherwise(F.date_format(F.to_timestamp_ntz(F.lit(as_of)), "yyyy-MM-dd")))
-         .withColumn("_end_falsy", is_falsy(*fv("fecha_termino"))))
+    c = c.withColumns({"_start_text": F.when(start_present, start_txt).otherwise(F.date_format(F.to_timestamp_ntz(F.lit(as_of)), "yyyy-MM-dd")),
+                       "_end_falsy": is_falsy(*fv("fecha_termino"))})
     start_text, end_falsy = F.col("_start_text"), F.col("_end_falsy")
     start_bad_for_default = end_falsy & ~((~start_present | (start_s == "STRING"))
                                           & iso_date_strict(start_text).isNotNull())
@@ -227,12 +220,12 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     # D2 raises on a truthy non-text date; the default end date is text, so only given values count.
     date_error = F.when(date_not_text(*fv("fecha_inicio")), "fecha_inicio").when(~end_falsy & date_not_text(*fv("fecha_termino")), "fecha_termino")
 
-    c = (c.withColumn("_comp_e", canon.canon_entries("company", F.from_json(F.col("_comp_t"), "map<string,variant>")))
-         .withColumn("_prov_e", canon.canon_entries("company", F.from_json(F.col("_prov_t"), "map<string,variant>")))
-         .withColumn("_reps", object_elements(*sec("Representantes"), "rep"))
-         .withColumn("_fines", object_elements(*sec("Multas"), "fine"))
-         .withColumn("_ents", object_elements(*sec("Entidades"), "entity", single_ok=True))
-         .withColumn("_provs", object_elements(*sec("ProveedoresInfo"), "company", single_ok=True)))
+    c = c.withColumns({
+        "_comp_e": canon.canon_entries("company", F.from_json(F.col("_comp_t"), "map<string,variant>")),
+        "_prov_e": canon.canon_entries("company", F.from_json(F.col("_prov_t"), "map<string,variant>")),
+        "_reps": object_elements(*sec("Representantes"), "rep"), "_fines": object_elements(*sec("Multas"), "fine"),
+        "_ents": object_elements(*sec("Entidades"), "entity", single_ok=True),
+        "_provs": object_elements(*sec("ProveedoresInfo"), "company", single_ok=True)})
 
     def party(e: Column) -> Column:
         return F.struct(text_field(e, "nombre").alias("nombre"), text_field(e, "rut").alias("rut"),
@@ -269,7 +262,7 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     ents = F.transform(F.col("_ents"), lambda x: F.struct(
         x["pos"].alias("pos"), safe_string(ftext(x["e"], "tipo")).alias("tipo"),
         safe_string(ftext(x["e"], "valor")).alias("valor"), x["text"].alias("text")))
-    c = c.withColumn("_fine_rows", fines).withColumn("_ent_rows", ents)
+    c = c.withColumns({"_fine_rows": fines, "_ent_rows": ents})
 
     def judged(row: Column, cols: list[Column], problems: list[tuple[str, Column, str]]) -> Column:
         problem = F.lit(None).cast("struct<field:string,reason:string>")
@@ -311,18 +304,10 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
             out = out | F.coalesce(F.char_length(vals[k]) > n, F.lit(False))
         return out
 
-    c = (c.withColumn("contract", F.struct(*contract_cols))
-         .withColumn("company", party(F.col("_comp_e")))
-         .withColumn("provider", party(F.col("_prov_e")))
-         .withColumn("reps", reps)
-         .withColumn("fines", fines)
-         .withColumn("entities", ents)
-         .withColumn("providers", provs)
-         .withColumn("unmapped_keys", unmapped)
-         .withColumn("_rep_type_error", rep_type_error)
-         .withColumn("_date_error", date_error)
-         .withColumn("_bad_value", bad_value)
-         .withColumn("_start_bad", start_bad_for_default))
+    c = c.withColumns({
+        "contract": F.struct(*contract_cols), "company": party(F.col("_comp_e")), "provider": party(F.col("_prov_e")),
+        "reps": reps, "fines": fines, "entities": ents, "providers": provs, "unmapped_keys": unmapped,
+        "_rep_type_error": rep_type_error, "_date_error": date_error, "_bad_value": bad_value, "_start_bad": start_bad_for_default})
 
     ct, co, pv = F.col("contract"), F.col("company"), F.col("provider")
     # (reason, field at fault, condition), in the order in which the rules are applied
@@ -345,7 +330,7 @@ def normalize_payloads(df: DataFrame, payload_col: str = "payload", as_of: str =
     for why, name, broken in reversed(rules):
         verdict = F.when(broken, F.struct(F.lit(why).alias("reason"), name.alias("field"))).otherwise(verdict)
     verdict = F.when(F.col("reason") != OK, F.struct(F.col("reason"), F.lit("payload").alias("field"))).otherwise(verdict)
-    c = c.withColumn("_verdict", verdict).withColumn("reason", F.col("_verdict.reason")).withColumn("rejected_field", F.col("_verdict.field"))
+    c = c.withColumn("_verdict", verdict).withColumns({"reason": F.col("_verdict.reason"), "rejected_field": F.col("_verdict.field")})
     c = c.withColumn("rejected_payload", F.when(F.col("reason") != OK, F.col(payload_col)))
     return c.drop(*[x for x in c.columns if x.startswith("_")], payload_col)
 

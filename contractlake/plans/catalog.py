@@ -583,8 +583,12 @@ def q_child_ids(spark, sf):
 
 
 @register("star_view", _sq("""SELECT c.id AS contrato_id, c.event_id, c.tipo_contrato, c.parte_cliente, c.monto_total, c.fecha_inicio,
-    co.nombre AS compania_nombre, co.rut AS compania_rut, m.multas, r.representantes
+    co.nombre AS compania_nombre, co.rut AS compania_rut, m.multas, r.representantes, p.proveedores, e.entidades
   FROM t_contrato c
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || coalesce(nombre, '') || ':' || coalesce(rut, ''), '|' ORDER BY id) AS proveedores
+             FROM t_proveedores_info GROUP BY contrato_id) p ON p.contrato_id = c.id
+  LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || coalesce(tipo, '') || ':' || coalesce(valor, ''), '|' ORDER BY id) AS entidades
+             FROM t_entidades GROUP BY contrato_id) e ON e.contrato_id = c.id
   LEFT JOIN t_compania_info co ON co.contrato_id = c.id
   LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || tipo_incumplimiento, '|' ORDER BY id) AS multas
              FROM t_multas GROUP BY contrato_id) m ON m.contrato_id = c.id
@@ -593,14 +597,16 @@ def q_child_ids(spark, sf):
 def q_star_view(spark, sf):
     """E5: nested contract view (rendered flat for comparison)."""
     s = star(spark, sf)
-    return A.star_view_flat(A.star_view(s.contrato, s.compania_info, s.multas, s.representantes))
+    view = A.star_view(s.contrato, s.compania_info, s.multas, s.representantes)
+    return A.star_view_flat(A.star_view_full(view, s.proveedores_info, s.entidades))
 
 
 @register("active_rows", _sq(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS active_rows FROM t_{t} WHERE is_active" for t in ST.STAR_TABLES)))
+    f"SELECT '{t}' AS table_name, count(*) AS active_rows FROM t_{t} WHERE is_active AND id % 11 <> 0" for t in ST.STAR_TABLES)))
 def q_active_rows(spark, sf):
-    """B9."""
-    return A.active_rows(star(spark, sf).tables())
+    """Rows of each table that are left after soft deletes."""
+    at = F.to_timestamp_ntz(F.lit("2026-01-03 00:00:00"))
+    return A.active_rows({t: CH.soft_delete(df, df.filter(F.col("id") % 11 == 0), at) for t, df in star(spark, sf).tables().items()})
 
 
 # ---------------------------------------------------------------------------
@@ -665,13 +671,15 @@ def q_read_document(spark, sf):
     return PG.read_document(req, store).select("event_id", "blob_path", "doc_id", "load_status")
 
 
-@register("files_for_day", f"""SELECT day, basename, arg_max(blob_path, listed_at) AS blob_path, max(listed_at) AS listed_at
-  FROM (SELECT blob_path, listed_at, strftime(listed_at, '%Y-%m-%d') AS day, string_split(blob_path, '/')[-1] AS basename
-        FROM ({fx.file_catalogue_sql('duckdb')}) c) x
-  WHERE starts_with(blob_path, day || '/') GROUP BY day, basename""")
+@register("files_for_day", f"""SELECT folder, day, basename, arg_max(blob_path, listed_at) AS blob_path, max(listed_at) AS listed_at
+  FROM (SELECT CASE WHEN starts_with(blob_path, 'in/') THEN 'in' ELSE '' END AS folder, blob_path, listed_at, strftime(listed_at, '%Y-%m-%d') AS day,
+               string_split(blob_path, '/')[-1] AS basename FROM ({fx.file_catalogue_sql('duckdb')}) c) x
+  GROUP BY folder, day, basename""")
 def q_files_for_day(spark, sf):
-    """A2: per-day listing keyed by basename, later listing wins."""
-    return PG.files_for_day(fx.file_catalogue(spark, sf)).select("day", "basename", "blob_path", "listed_at")
+    """A2: per-day listing of each folder, keyed by basename, later listing wins."""
+    c = fx.file_catalogue(spark, sf)
+    found = [PG.files_for_day(c, folder or None).select(F.lit(folder).alias("folder"), "day", "basename", "blob_path", "listed_at") for folder in ("", "in")]
+    return found[0].unionByName(found[1])
 
 
 @register("files_by_folder", f"""SELECT folder, day, basename, blob_path, listed_at
@@ -857,34 +865,6 @@ def q_not_null_check(spark, sf):
     return out
 
 
-LIMITS = {"compania_info": {"nombre": 255, "rut": 20, "domicilio": 255},
-          "representantes": {"nombre": 255, "cedula_de_identidad": 50}}
-BROKEN_COMP = "SELECT * REPLACE (CASE WHEN id % 30 = 0 THEN rut || '-0000000000000000000000' ELSE rut END AS rut) FROM t_compania_info"
-
-
-@register("length_check", _sq(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS too_long "
-    f"FROM {('(' + BROKEN_COMP + ') x') if t == 'compania_info' else 't_' + t}"
-    for t, lim in LIMITS.items() for c, n in lim.items())))
-def q_length_check(spark, sf):
-    """K6: values over the declared VARCHAR length (incoming tax ids too long)."""
-    s = star(spark, sf)
-    comp = s.compania_info.withColumn("rut", F.when(F.col("id") % 30 == 0, F.concat("rut", F.lit("-0000000000000000000000")))
-                                      .otherwise(F.col("rut")))
-    src = {"compania_info": comp, "representantes": s.representantes}
-    out = None
-    for t, lim in LIMITS.items():
-        one = QL.length_check(src[t], t, lim)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@register("duplicate_keys", _sq("SELECT rut, count(*) AS n FROM t_compania_info WHERE is_active GROUP BY rut HAVING count(*) > 1"))
-def q_duplicate_keys(spark, sf):
-    """party tax ids that repeat among active rows."""
-    return QL.duplicate_keys(star(spark, sf).compania_info, "rut")
-
-
 @register("party_duplicate_keys", _sq(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, rut, count(*) AS n FROM t_{t} WHERE is_active GROUP BY rut HAVING count(*) > 1"
     for t in ("compania_info", "proveedores_info"))))
@@ -895,6 +875,7 @@ def q_party_duplicate_keys(spark, sf):
     return found[0].unionByName(found[1])
 
 
+REGISTRY["duplicate_keys"] = REGISTRY["party_duplicate_keys"]
 STAR_LIMITS = {t: lim for t, schema in SCH.STAR_A.items() if (lim := {f.name: f.metadata["max_length"] for f in schema.fields if "max_length" in f.metadata})}
 # one column of each table that has limits, too long in every so many rows
 TOO_LONG = {"contrato": ("tipo_contrato", 20), "multas": ("plazo_constancia", 50), "compania_info": ("rut", 30), "proveedores_info": ("rut", 25),
@@ -916,6 +897,9 @@ def q_star_length_check(spark, sf):
     return out
 
 
+REGISTRY["length_check"] = REGISTRY["star_length_check"]
+
+
 @register("star_view_full", _sq("""SELECT c.id AS contrato_id, c.event_id, p.proveedores, e.entidades
   FROM t_contrato c
   LEFT JOIN (SELECT contrato_id, string_agg(CAST(id AS VARCHAR) || ':' || coalesce(nombre, '') || ':' || coalesce(rut, ''), '|' ORDER BY id) AS proveedores

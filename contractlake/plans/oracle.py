@@ -22,7 +22,7 @@ REP_ALIASES = {"Nombre": "nombre", "nombre": "nombre", "Cédula de Identidad": "
                "cedula_identidad": "cedula_identidad", "Cedula de Identidad": "cedula_identidad", "cedula identidad": "cedula_identidad"}
 COMPANY_ALIASES = {"Nombre": "nombre", "nombre": "nombre", "RUT": "rut", "rut": "rut", "Domicilio": "domicilio", "domicilio": "domicilio"}
 ENTITY_ALIASES = {"tipo": "tipo", "Tipo": "tipo", "tipo_entidad": "tipo", "Tipo_entidad": "tipo", "valor": "valor", "Valor": "valor", "nombre": "valor", "Nombre": "valor"}
-HEADINGS = {"contrato": "Contrato", "compañia": "CompaniaInfo", "compania": "CompaniaInfo", "proveedor": "ProveedoresInfo", "representante": "Representantes",
+HEADINGS = {"contrato": "Contrato", "compañía": "CompaniaInfo", "compañia": "CompaniaInfo", "compania": "CompaniaInfo", "proveedor": "ProveedoresInfo", "representante": "Representantes",
             "multa": "Multas", "entidad": "Entidades"}
 CONTRACT_LABELS = {"tipo de contrato": "tipo_contrato", "tipo de servicio": "tipo_servicio", "parte cliente": "parte_cliente", "parte proveedor": "parte_proveedor",
                    "fecha de inicio": "fecha_inicio", "fecha de termino": "fecha_termino", "renovacion automatica": "renovacion_automatica", "monto total": "monto_total",

@@ -43,6 +43,22 @@ def test_parse_uf_amount(spark):
     assert got == [Decimal("5.50"), None, Decimal("510.00"), Decimal("0.00"), Decimal("7.00"), None, None, None]
 
 
+def test_uf_amounts_keep_every_digit(spark):
+    rows = [("0.0125",), ("99999999999999999",), ("UF 12345678901234567890123456,123456789012",), ("1.2.3",), (".",), (".5",), ("007",),
+            ("123456789012345678901234567",), ("0.0000000000001",), ("1.5000000000000000",)]
+    assert _one(spark, S.parse_uf_amount(F.col("s")), rows) == [
+        Decimal("0.0125"), Decimal("99999999999999999"), Decimal("12345678901234567890123456.123456789012"), None, None, Decimal("0.5"), Decimal("7"), None, None, Decimal("1.5")]
+    assert _one(spark, S.uf_out_of_range(F.col("s")), rows) == [False] * 7 + [True, True, False]
+
+
+def test_uf_amounts_of_json_numbers(spark):
+    rows = [('{"a": 0.0125}',), ('{"a": 99999999999999999}',), ('{"a": 1e7}',), ('{"a": -3.5}',), ('{"a": 1e-3}',), ('{"a": 1e300}',), ('{"a": "1e7"}',), ('{"a": null}',), ("{}",), ('{"a": true}',)]
+    v = F.try_variant_get(F.parse_json("s"), "$.a", "variant")
+    got = _one(spark, S.uf_amount(v, S.vtype(v), S.variant_text(v)), rows)
+    assert [r.amount for r in got] == [Decimal("0.0125"), Decimal("99999999999999999"), Decimal("10000000"), Decimal("3.5"), Decimal("0.001"), None, Decimal("17"), None, None, None]
+    assert [r.no_room for r in got] == [False] * 5 + [True] + [False] * 4
+
+
 def test_py_strip_and_safe_string(spark):
     rows = [(" \ta b \n",), (None,), ("x",)]
     assert _one(spark, S.safe_string(F.col("s")), rows) == ["a b", "", "x"]
