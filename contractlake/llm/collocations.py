@@ -39,7 +39,7 @@ from contractlake.llm.stage import broadcast_if_small, saved
 
 LONGEST = 3
 #: Words that a task gathers before it builds automata of them; phrases of a range, about; phrases for each cut that a shard proposes.
-RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 20, 1 << 21, 1 << 15
+RUN_WORDS, RANGE_PHRASES, PROPOSAL = 3 << 18, 3 << 19, 1 << 15
 #: Phrases that a builder takes at a time.
 BLOCK_PHRASES = 1 << 18
 NO_LANGUAGE = "und"
@@ -481,7 +481,7 @@ def _union(least: int, range_phrases: int) -> Callable[[Iterator[pa.RecordBatch]
             for row in rows:
                 waiting.append(Automaton.unpack(row["automaton"]).phrases())
                 size += len(waiting[-1])
-                if size >= range_phrases:  # as many as the range is meant to hold: sum them up before more come
+                if 2 * size >= range_phrases:  # sum them up before more come
                     whole, waiting, size = united([*([whole] if whole else []), *waiting]), [], 0
             whole = united([*([whole] if whole else []), *waiting])
             frequent = whole.rows(whole.counts >= least)
