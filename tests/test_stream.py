@@ -155,3 +155,19 @@ def test_bounded_dedupe_drops_repeats_inside_the_span(spark, scratch):
 def test_hot_and_repeated_deliveries_without_an_id(spark):
     ev = _events_for(spark.createDataFrame([("a",)] * 5, "event_id string")).withColumn("event_id", F.lit(None).cast("string"))
     assert [(r.status, r.copies) for r in G.gate_events(ev).collect()] == [("pass", 5)]
+
+
+def test_a_marker_table_that_cannot_be_read_fails_the_batch(spark, scratch):
+    """No fail-open. An unreadable marker file must not let an event through as new."""
+    import pytest
+    from contractlake.sources.buckets import bucket_of
+    sink = StarSink(f"{scratch}/out", spark.createDataFrame([("a", GOOD)], "event_id string, payload string"))
+    ids = spark.range(500).select(F.concat(F.lit("e"), "id").alias("event_id")).withColumn("b", bucket_of("event_id"))
+    one = ids.filter("b = 0").limit(1).collect()[0].event_id
+    place = f"{scratch}/out/processed_events/bucket=0/batch_id=0"
+    os.makedirs(place)
+    with open(f"{place}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        sink.process_batch(_events_for(spark.createDataFrame([(one,)], "event_id string")), 1)
+    assert not os.path.exists(f"{scratch}/out/event_status")
