@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
-from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, held_out, labelled_sample, sampled_texts
+from contractlake.llm.text_features import SPACE, Chunk, chunks, counted, fresh, held_out, labelled_sample, one_of_each, sampled_texts
 
 KINDS, BITS, DIM, EPOCHS, BATCH, RATE, SEED = 4, 17, 8, 6, 32, 0.3, 7
 #: A small sample is gone through more often, so that so many steps are taken.
@@ -121,8 +121,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     sample = labelled_sample(labels, label_col, TRAIN_ROWS, id_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [(kind, *counted(doc, ids)) for chunk in chunks(batch.column(1)) for kind, doc, ids in features(chunk)]
+        seen: dict = {}
+        for whole in batches:
+            batch = fresh(whole, seen)
+            if not batch.num_rows:
+                continue
+            parts = [(kind, *counted(doc, ids)) for chunk in chunks(batch["bytes"]) for kind, doc, ids in features(chunk)]
             if not parts:
                 continue
             kind = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
@@ -132,11 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
             share, lengths = np.bincount(at, weights=share), np.bincount(pair >> 32, minlength=batch.num_rows)
             cut = np.cumsum(lengths)[:-1]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([x.astype(np.int32).tobytes() for x in np.split(pair & 0xFFFFFFFF, cut)]),
-                pa.array([x.astype(np.float32).tobytes() for x in np.split(share, cut)])], names=["y", "ids", "share"])
+                batch["id"], batch["h"], batch["y"], pa.array([x.astype(np.int32).tobytes() for x in np.split(pair & 0xFFFFFFFF, cut)]),
+                pa.array([x.astype(np.float32).tobytes() for x in np.split(share, cut)])], names=["id", "h", "y", "ids", "share"])
 
-    own = sampled_texts(docs, sample, id_col, text_col)  # TRAIN_ROWS rows at most
-    rows = saved(own.mapInArrow(count, "y int, ids binary, share binary"), "quality-sample").toLocalIterator()
+    own = sampled_texts(docs, sample, id_col, text_col)
+    id_type = own.schema["id"].dataType.simpleString()
+    found = saved(own.mapInArrow(count, f"id {id_type}, h long, y int, ids binary, share binary"), "quality-sample")
+    rows = one_of_each(found).toLocalIterator()  # TRAIN_ROWS rows at most
     rows = sorted((r["y"], bytes(r["ids"]), bytes(r["share"])) for r in rows if r["ids"])
     return train([(y, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for y, i, s in rows])
 

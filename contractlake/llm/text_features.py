@@ -35,11 +35,28 @@ def labelled_sample(labels: DataFrame, label_col: str, most: int, id_col: str =
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (y, _bytes), one for each id of the bounded ``sample`` (id, y) that has documents: of an id's texts that with the smallest
-    hash, so that an id on many rows brings one to the driver and weighs as any other. A minimum that each task takes first."""
+    """Rows (id, y, h, bytes) of the documents with an id in the bounded ``sample`` (id, y); h is a hash of the text. An id may be on many
+    rows: tasks go by ``fresh``, and ``one_of_each`` leaves one."""
     text = F.col(text_col)
-    rows = docs.select(id_col, F.struct(F.xxhash64(text).alias("h"), text.cast("binary").alias("b")).alias("t")).join(F.broadcast(sample), id_col)
-    return rows.groupBy(id_col, "y").agg(F.min("t").alias("t")).select("y", F.col("t.b").alias("_bytes"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("bytes")).join(
+        F.broadcast(sample.select(F.col(id_col).alias("id"), "y")), "id").select("id", "y", "h", "bytes")
+
+
+def fresh(batch: pa.RecordBatch, seen: dict) -> pa.RecordBatch:
+    """The rows of ``batch`` whose text has a smaller hash than any that this task has met of its id: of many rows of one id, the
+    logarithm of their number at most in any order of texts, and one if they agree."""
+    rows = []
+    for k, (i, h) in enumerate(zip(batch["id"].to_pylist(), batch["h"].to_pylist())):
+        if i not in seen or h < seen[i]:
+            seen[i] = h
+            rows.append(k)
+    return batch.take(pa.array(rows, pa.int64()))
+
+
+def one_of_each(rows: DataFrame) -> DataFrame:
+    """Of the rows that tasks found, one for each id: that with the smallest hash."""
+    others = [c for c in rows.columns if c not in ("id", "h")]
+    return rows.groupBy("id").agg(F.min(F.struct("h", *others)).alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in others])
 
 
 @lru_cache(maxsize=4)

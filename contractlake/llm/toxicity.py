@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlake.llm.stage import saved
-from contractlake.llm.text_features import LETTER, LOWER, Chunk, chunks, held_out, labelled_sample, sampled_texts
+from contractlake.llm.text_features import LETTER, LOWER, Chunk, chunks, fresh, held_out, labelled_sample, one_of_each, sampled_texts
 
 BITS, SEED = 22, 11
 #: Labelled documents that entries are picked from, and all documents the label model and the classifier learn from, at most.
@@ -36,7 +36,7 @@ LABELLED_ROWS, SAMPLE_ROWS = 8000, 9000
 ENTRY_DOCS, ENTRY_SHARE, ENTRY_ODDS, ENTRIES, LEXICONS = 4, 0.012, 2.8, 4000, 6
 PREFIXES = (4, 5, 6)
 SILENCE = 0.3
-NEAR, SKETCH = 0.8, 64
+NEAR, SKETCH = 0.8, 16
 EPOCHS, BATCH, RATE, SHRINK = 12, 64, 0.2, 1e-5
 # English words of abuse.
 INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "clown", "pathetic", "worthless", "disgusting", "trash",
@@ -88,20 +88,22 @@ def tally(rows: list[np.ndarray], weights: np.ndarray | None = None) -> np.ndarr
 
 def without_near_copies(rows: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
     """One of each group of near copies: a document is left out only if it shares NEAR of its features with one of its label that stays.
-    The smallest SKETCH hashes tell which are worth comparing in full."""
+    Minimum hashes tell which are worth comparing in full."""
+    factors = np.random.default_rng(SEED).integers(1, 1 << 62, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     kept: list[tuple[int, np.ndarray]] = []
     for label in (0, 1):
         own = [f for y, f in rows if y == label and len(f)]
-        sketches, stay = np.full((len(own), SKETCH), -1, dtype=np.int64), []
+        sketches, stay = np.zeros((len(own), SKETCH), dtype=np.uint64), []
         for f in own:
-            head = f[:SKETCH]
-            shared = np.isin(sketches[:len(stay)], head).sum(axis=1)
+            mixed = (f.astype(np.uint64) + np.uint64(1))[:, None] * factors[None, :]
+            sketch = (mixed ^ (mixed >> np.uint64(29))).min(axis=0)
+            alike = np.flatnonzero((sketches[:len(stay)] == sketch).sum(axis=1) >= SKETCH // 2)
             near = False
-            for k in np.flatnonzero(shared >= (2 * NEAR - 1) * len(head)).tolist():
+            for k in alike.tolist():
                 both = len(np.intersect1d(f, stay[k], assume_unique=True))
                 near = near or both >= NEAR * (len(f) + len(stay[k]) - both)
             if not near:
-                sketches[len(stay), :len(head)] = head
+                sketches[len(stay)] = sketch
                 stay.append(f)
         kept += [(label, f) for f in stay]
     return kept
@@ -240,15 +242,20 @@ def classifier(rows: list[np.ndarray], p: np.ndarray) -> Model:
 
 
 def _feature_rows(docs: DataFrame) -> list:
-    """(y, features, pattern votes) of a bounded set of documents (y, _bytes), to the driver, in a fixed order."""
+    """(y, features, pattern votes), one for each id of a bounded set of documents (id, y, h, bytes), to the driver, in a fixed order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            feats = distinct_features(batch.column(1))
-            votes = [pattern_votes(v.as_py() or b"") for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(np.int32).tobytes() for f in feats], pa.binary()),
-                                              pa.array(votes, pa.list_(pa.int8()))], names=["y", "feats", "votes"])
-
-    found = saved(docs.mapInArrow(run, "y int, feats binary, votes array<tinyint>"), "toxicity-sample")
+        seen: dict = {}
+        for whole in batches:
+            batch = fresh(whole, seen)
+            if not batch.num_rows:
+                continue
+            feats = distinct_features(batch["bytes"])
+            votes = [pattern_votes(v.as_py() or b"") for v in batch["bytes"]]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["h"], batch["y"], pa.array([f.astype(np.int32).tobytes() for f in feats], pa.binary()),
+                                              pa.array(votes, pa.list_(pa.int8()))], names=["id", "h", "y", "feats", "votes"])
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    found = one_of_each(saved(docs.mapInArrow(run, f"id {id_type}, h long, y int, feats binary, votes array<tinyint>"), "toxicity-sample"))
     rows = sorted((-1 if r["y"] is None else r["y"], bytes(r["feats"]), list(r["votes"])) for r in found.toLocalIterator())
     return [(y, np.frombuffer(f, np.int32), v) for y, f, v in rows]
 
