@@ -39,7 +39,7 @@ from contractlake.llm.stage import broadcast_if_small, saved
 
 LONGEST = 3
 #: Words that a task gathers before it builds automata of them; phrases of a range, about; phrases for each cut that a shard proposes.
-RUN_WORDS, RANGE_PHRASES, PROPOSAL = 3 << 18, 3 << 19, 1 << 15
+RUN_WORDS, RANGE_PHRASES, PROPOSAL = 1 << 20, 1 << 20, 1 << 15
 #: Phrases that a builder takes at a time.
 BLOCK_PHRASES = 1 << 18
 NO_LANGUAGE = "und"
@@ -565,6 +565,21 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "a", "l1", "r1", "l2", "r2", "head", "tail"])
 
 
+#: Automata that go to a task at a time: one can have some megabytes.
+BATCH_AUTOMATA = 8
+
+
+def saved_by_few(df: DataFrame, label: str) -> DataFrame:
+    """``saved``, with automata handed to the tasks a few at a time; the session's batch size is as before afterwards."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    try:
+        conf.set(key, str(BATCH_AUTOMATA))
+        return saved(df, label)
+    finally:
+        conf.set(key, before)
+
+
 def cuts_of(shards: DataFrame, range_phrases: int, proposal: int) -> dict[str, list[Phrase]]:
     """Sorted cuts of each language that needs some. A proposal stands for ``proposal`` phrases, so the driver sees range_phrases / proposal for each range."""
     per = max(1, range_phrases // proposal)
@@ -583,7 +598,7 @@ def counts(docs: DataFrame, least: int, text_col: str = "text", lang_col: str =
     shards = saved(texts.mapInArrow(_shards(run_words, proposal), "lang string, n_words long, n_phrases long, proposals array<binary>, automaton binary"), "phrase-shards")
     cuts = cuts_of(shards, range_phrases, proposal)
     pieces = shards.select("lang", "automaton").mapInArrow(_cut(cuts), "lang string, part int, automaton binary")
-    ranges = saved(pieces.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(_union(least, range_phrases), "lang string, part int, automaton binary"), "phrase-ranges")
+    ranges = saved_by_few(pieces.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(_union(least, range_phrases), "lang string, part int, automaton binary"), "phrase-ranges")
     return shards.groupBy("lang").agg(F.sum("n_words").alias("n")), ranges, cuts
 
 
@@ -606,9 +621,9 @@ def collocations(docs: DataFrame, least: int = 10, covered_percent: int = 50, fi
     known = ranges.select("lang", "part", F.lit(None).cast("int").alias("asker"), "automaton")
     asked = ranges.mapInArrow(_ask(cuts), shape)
     meet = lambda df: known.unionByName(df).repartition("lang", "part").sortWithinPartitions("lang", "part", F.col("asker").asc_nulls_first())
-    answers = saved(meet(asked).mapInArrow(_answer, shape), "phrase-answers")
+    answers = saved_by_few(meet(asked).mapInArrow(_answer, shape), "phrase-answers")
     found = meet(answers).mapInArrow(_candidates, "lang string, phrase string, a long, l1 long, r1 long, l2 long, r2 long, head string, tail string")
-    found = saved(found, "phrase-candidates")
+    found = saved_by_few(found, "phrase-candidates")
 
     covers = lambda part, n: F.when(F.col("a") * 100 >= F.col(n) * covered_percent, F.col(part))
     covered = (found.where(F.col("head").isNotNull())
