@@ -39,3 +39,12 @@ def test_shape(spark):
     got = df.select(P.shape(F.col("v")).alias("s"), P.member_count(F.col("v")).alias("n")).collect()
     assert [r.s.split("(")[0] for r in got] == ["OBJECT", "OBJECT", "ARRAY", "ARRAY", "STRING", "DECIMAL", "BOOLEAN", "VOID"]
     assert [r.n for r in got] == [1, 0, None, None, None, None, None, None]
+
+
+def test_kinds_copy_no_members(spark):
+    df = spark.createDataFrame([('{"a": [1], "b": {"c": 2}}',), ('[{}, 1, null, [2]]',)], "s string").select(F.try_parse_json("s").alias("v"))
+    found = df.select(P.shape(F.col("v")).alias("s"), P.member_count(F.col("v")).alias("n"))
+    assert [tuple(r) for r in found.collect()] == [("OBJECT", 2), ("ARRAY", None)]
+    plan = found._jdf.queryExecution().optimizedPlan()
+    targets = [e for e in plan.toString().lower().split("try_variant_get(")[1:]]
+    assert targets and not [t for t in targets if "variant>" in t or "varianttype" in t.split(")")[0]]
